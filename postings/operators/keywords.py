@@ -33,13 +33,17 @@ def word_counts(
     extra: Iterable[str] = EXTRA_STOP_WORDS,
     split_places: bool = False,
     tag_replacement: str = "",
+    by_place: bool = True,
 ) -> DataFrame:
     """``municipality, word, count`` without stop words; ads without a municipality are a group.
 
+    ``by_place=False`` counts over all ads, ``word, count``.
+
     The fixed stop words go before the words are counted. The place names, whose number depends on
     the data, are taken out of the counts instead of the words: that side is smaller by orders of
     magnitude, so the anti join is cheap even where it cannot be broadcast.
     """
+    # explode_outer: for an inner explode Catalyst would add a filter that tokenises once more.
     tokens = (
         ads.select(
             F.col(MUNICIPALITY).alias("municipality"),
@@ -48,10 +52,10 @@ def word_counts(
         .where(F.col("word") != "")
         .where(~F.col("word").isin(fixed_stop_words(languages, extra)))
     )
-    counts = tokens.groupBy("municipality", "word").agg(F.count("*").alias("count"))
-    return counts.join(place_words(ads, split_places), "word", "left_anti").select(
-        "municipality", "word", "count"
-    )
+    keys = ["municipality", "word"] if by_place else ["word"]
+    counts = tokens.groupBy(*keys).agg(F.count("*").alias("count"))
+    places = place_words(ads, split_places)
+    return counts.join(places, "word", "left_anti").select(*keys, "count")
 
 
 def keywords_per_municipality(counts: DataFrame, n: int = 10) -> DataFrame:

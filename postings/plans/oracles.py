@@ -177,7 +177,7 @@ def oracles() -> dict[str, str]:
         "snapshot_manifest": """
             SELECT CAST(year(o_orderdate) AS INTEGER) AS yyyy,
                    CAST(month(o_orderdate) AS INTEGER) AS mm,
-                   CAST(day(o_orderdate) AS INTEGER) AS dd, count(*) AS n
+                   1 AS dd, count(*) AS n
             FROM orders GROUP BY ALL
         """,
         "stop_words": f"""

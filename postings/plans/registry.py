@@ -99,9 +99,10 @@ def archive_over_time(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _archived_orders(spark: SparkSession, folder: str) -> DataFrame:
+    """All orders, archived as one snapshot per month of publication."""
     root = new_path(spark, "archive")
     ads = order_ads(spark, folder, vacancies=True)
-    snapshots.write_archive(ads, root, F.to_date("publication_date"))
+    snapshots.write_archive(ads, root, F.trunc(F.to_date("publication_date"), "month").cast("date"))
     return snapshots.read_archive(spark, root)
 
 
@@ -121,7 +122,9 @@ def keywords_per_municipality(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def keywords_global(spark: SparkSession, folder: str) -> DataFrame:
-    return keywords.keywords_global(keywords.word_counts(document_ads(spark, folder)))
+    return keywords.keywords_global(
+        keywords.word_counts(document_ads(spark, folder), by_place=False)
+    )
 
 
 def keywords_report(spark: SparkSession, folder: str) -> DataFrame:
