@@ -1,0 +1,56 @@
+"""The physical plans: what would not scale must not appear."""
+
+import re
+
+import pytest
+
+import __spark_entry__ as entry_points
+from postings.operators.keywords import keywords_per_municipality, word_counts
+from postings.operators.vacancies import municipality_summary
+from postings.sources.snapshots import write_archive
+from tests.ads import ad, frame
+
+FOLDER = "/root/testdata/sf0.001"
+# These train models while they are built; their plans are read in the other tests.
+TRAINING = {"cluster_ads", "choose_k", "reduce_vectors", "silhouette_labels"}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(set(entry_points.queries()) - TRAINING))
+def test_no_cross_join_python_or_unbounded_window(spark, name):
+    plan = plan_of(entry_points.queries()[name](spark, FOLDER))
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas"):
+        assert operator not in plan
+    windows = len(re.findall(r"\bWindow \[", plan))
+    partial = len(re.findall(r"WindowGroupLimit .*, Partial", plan))
+    assert windows == partial, "every window must keep its first rows before the shuffle"
+
+
+def test_top_words_are_limited_before_the_shuffle(spark):
+    ads = frame(spark, [ad("1", "a b", municipality="Lund")])
+    lines = plan_of(keywords_per_municipality(word_counts(ads))).splitlines()
+    final = next(i for i, line in enumerate(lines) if "WindowGroupLimit" in line and "Final" in line)
+    partial = next(i for i, line in enumerate(lines) if "WindowGroupLimit" in line and "Partial" in line)
+    assert any("Exchange hashpartitioning(municipality" in line for line in lines[final:partial])
+
+
+def test_text_is_split_once(spark):
+    """Neither a filter on the generator nor a projection may repeat the splitting."""
+    ads = frame(spark, [ad("1", "a b", municipality="Lund")])
+    assert plan_of(word_counts(ads)).count("split(") == 1
+
+
+def test_only_the_fields_needed_are_read(spark, tmp_path):
+    import datetime
+
+    root = str(tmp_path / "archive")
+    day = datetime.date(2025, 1, 2)
+    write_archive(frame(spark, [ad("1", "a", municipality="Lund", vacancies=1)]), root, day, "parquet")
+    ads = spark.read.parquet(root)
+    schema = re.search(r"ReadSchema: (\S+)", plan_of(municipality_summary(ads))).group(1)
+    assert schema == "struct<workplace_address:struct<municipality:string>,number_of_vacancies:int>"
+    plan = plan_of(entry_points.queries()["job_ads_per_region"](spark, FOLDER))
+    assert "lineitem" not in plan and "part.parquet" not in plan
