@@ -14,12 +14,30 @@ DAY_COLUMNS = ("yyyy", "mm", "dd")
 def read_array(spark: SparkSession, path: str, schema: T.StructType = AD_SCHEMA) -> DataFrame:
     """Files that each hold one JSON array of ads.
 
-    Such a file cannot be split: one task reads it. Land it with ``write_archive`` once and read
-    the archive from then on.
+    Such a file is parsed whole by one task, as its records cannot be told apart from inside; for
+    files beyond a few hundred megabytes there is ``read_large_array``.
     """
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
+def read_large_array(
+    spark: SparkSession, path: str, record_start: str = '{"id":', schema: T.StructType = AD_SCHEMA
+) -> DataFrame:
+    """The ads of a JSON array too large for one task, read by as many tasks as it has blocks.
+
+    ``record_start`` is the text every ad begins with, up to its first key, and no object inside an
+    ad may begin with it. (Inside a string it cannot stand, as its quotes would be escaped.) The
+    text is taken as the line separator, so each line read is one ad without its start.
+    """
+    pieces = spark.read.option("lineSep", record_start).text(path)
+    rest = F.rtrim("value", F.lit(" \t\r\n,]"))
+    # What stands before the first ad is the opening bracket.
+    records = pieces.where(F.ltrim("value", F.lit(" \t\r\n\ufeff[]")) != "").select(
+        F.from_json(F.concat(F.lit(record_start), rest), schema).alias("ad")
+    )
+    return records.select("ad.*")
+
+
 def read_lines(spark: SparkSession, path: str, schema: T.StructType = AD_SCHEMA) -> DataFrame:
     """Files with one JSON ad per line; a line that is no JSON gives a row of nulls."""
     return spark.read.schema(schema).json(path)

@@ -50,6 +50,35 @@ def test_array_and_lines_read_the_same(spark, tmp_path):
     assert lines.where("id = '8'").first()["headline"] == "Två\nrader"
 
 
+def test_large_array_is_read_by_many_tasks(spark, tmp_path):
+    made = [
+        {
+            "id": str(i),
+            "headline": 'Odd {"id": 5}, [text] ' + "ö" * (i % 50),
+            "must_have": {"skills": [{"label": "a"}, {"label": "b"}]},
+            "workplace_address": {"region": "Skåne"},
+        }
+        for i in range(3000)
+    ]
+    (tmp_path / "big.json").write_text(json.dumps(made, ensure_ascii=False))
+    (tmp_path / "indented.json").write_text(json.dumps(made[:50], indent=2))
+    small = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        ads = snapshots.read_large_array(spark, str(tmp_path / "big.json"))
+        assert ads.rdd.getNumPartitions() > 10
+        whole = snapshots.read_array(spark, str(tmp_path / "big.json"))
+        assert sorted(rows(ads)) == sorted(rows(whole))
+        indented = snapshots.read_large_array(
+            spark, str(tmp_path / "indented.json"), record_start='{\n    "id":'
+        )
+        assert sorted(rows(indented)) == sorted(rows(whole.where("int(id) < 50")))
+        (tmp_path / "none.json").write_text("[ ]")
+        assert rows(snapshots.read_large_array(spark, str(tmp_path / "none.json"))) == []
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", small)
+
+
 def test_bad_lines_are_set_apart(spark, tmp_path):
     path = write_lines(tmp_path / "l.json", ["{broken", "", '{"number_of_vacancies": "many"}'])
     parsed = snapshots.parsed_lines(spark, path)
