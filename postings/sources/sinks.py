@@ -54,4 +54,4 @@ def save_csv(
 
 def save_sorted_csv(df: DataFrame, path: str) -> None:
     """Write CSV with the columns in name order."""
-    save_csv(df.select(*[f"`{name}`" for name in sorted(df.columns)]), path)
+    save_csv(df.select(*[df[f"`{name.replace('`', '``')}`"] for name in sorted(df.columns)]), path)
