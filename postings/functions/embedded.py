@@ -48,10 +48,10 @@ def total_results(tiers: Column, max_results: int = MAX_RESULTS) -> Column:
 
 def further_offsets(total: Column) -> Column:
     """Offsets of the pages after the first: 10, 20, ... as far as the total reaches."""
-    pages = F.floor((total - 1) / PAGE_SIZE)
-    # sequence(1, 0) counts down, hence the guard.
-    offsets = F.transform(F.sequence(F.lit(1).cast("bigint"), pages), lambda i: i * PAGE_SIZE)
-    return F.when(pages >= 1, offsets).otherwise(F.array().cast("array<bigint>"))
+    # Counting from 0 and leaving it out, as sequence(1, 0) would count down.
+    pages = F.greatest(F.floor((total - 1) / PAGE_SIZE), F.lit(0))
+    numbers = F.filter(F.sequence(F.lit(0).cast("bigint"), pages), lambda i: i > 0)
+    return F.transform(numbers, lambda i: i * PAGE_SIZE)
 
 
 def search_address(query: Column, location: Column, offset: Column) -> Column:

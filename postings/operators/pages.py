@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from postings.functions import embedded
 from postings.operators.ranking import top_n_per
+from postings.shared import settle
 
 
 def search_results(pages: DataFrame, keep: Sequence[str] = ("page_id",)) -> DataFrame:
@@ -44,17 +45,21 @@ def job_details(pages: DataFrame, order: str = "page_id") -> DataFrame:
     One row per key even if its page was fetched several times (the first by ``order`` counts), so
     that joining results to it cannot multiply rows.
     """
+    # A filter on the detail would parse every page once more; an empty array gives no row.
+    found = F.filter(F.array(embedded.job_record(F.col("html"))), lambda detail: F.size(detail) > 0)
     details = pages.select(
-        embedded.job_key_of(F.col("url")).alias("job_key"),
-        embedded.job_record(F.col("html")).alias("detail"),
-        order,
-    ).where("job_key is not null and size(detail) > 0")
+        embedded.job_key_of(F.col("url")).alias("job_key"), F.explode(found).alias("detail"), order
+    ).where("job_key is not null")
     return details.groupBy("job_key").agg(F.min_by("detail", order).alias("detail"))
 
 
 def results_with_details(results: DataFrame, details: DataFrame) -> DataFrame:
-    """Results whose job page is known, with its fields; many results may share a job."""
-    return results.join(details, "job_key")
+    """Results whose job page is known, with its fields; many results may share a job.
+
+    The details are settled: joined straight to their group-by, the results of a hot job could not
+    be split, as adaptive execution splits only a join of two fresh shuffles.
+    """
+    return results.join(settle(details, "job-details"), "job_key")
 
 
 def detail_columns(

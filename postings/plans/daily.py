@@ -36,14 +36,23 @@ def run_analyses(
 
 
 def land(
-    spark: SparkSession, source: str, archive: str, day: datetime.date, is_array: bool = False
+    spark: SparkSession,
+    source: str,
+    archive: str,
+    day: datetime.date,
+    is_array: bool = False,
+    record_start: str | None = None,
 ) -> DataFrame:
     """Copy a JSON snapshot into the archive as parquet and return the ads read from there.
 
-    The analyses each read a few fields only; from parquet they read no others.
+    The analyses each read a few fields only; from parquet they read no others. With
+    ``record_start`` an array is read by many tasks, see ``read_large_array``.
     """
-    read = snapshots.read_array if is_array else snapshots.read_lines
-    snapshots.write_archive(read(spark, source), archive, day, fmt="parquet")
+    if record_start is not None:
+        ads = snapshots.read_large_array(spark, source, record_start)
+    else:
+        ads = (snapshots.read_array if is_array else snapshots.read_lines)(spark, source)
+    snapshots.write_archive(ads, archive, day, fmt="parquet")
     return snapshots.read_snapshot(spark, archive, day, fmt="parquet")
 
 
@@ -53,6 +62,7 @@ def main() -> None:
     parser.add_argument("archive", help="archive root")
     parser.add_argument("target", help="folder for the results")
     parser.add_argument("--array", action="store_true", help="the snapshot is one JSON array")
+    parser.add_argument("--record-start", help="what every ad of a large array begins with")
     parser.add_argument("--day", type=datetime.date.fromisoformat, default=None)
     parser.add_argument("--format", default="parquet", help="format of the results")
     parser.add_argument("--only", nargs="*", choices=sorted(ANALYSES))
@@ -60,7 +70,7 @@ def main() -> None:
 
     spark = SparkSession.builder.appName("postings-daily").getOrCreate()
     day = given.day or snapshots.utc_today()
-    ads = land(spark, given.source, given.archive, day, given.array)
+    ads = land(spark, given.source, given.archive, day, given.array, given.record_start)
     run_analyses(ads, lambda df, name: save_result(df, name, given.target, given.format), given.only)
     spark.stop()
 

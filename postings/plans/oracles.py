@@ -169,6 +169,8 @@ def oracles() -> dict[str, str]:
         """,
         "job_ads_per_region": _REGIONS,
         "result_json_roundtrip": _REGIONS,
+        "large_array_regions": _REGIONS,
+        "line_quality": "SELECT o_orderkey % 7 = 0 AS is_bad, count(*) AS n FROM orders GROUP BY 1",
         "top_skills": """
             SELECT p_type AS skill_label, count(*) AS count
             FROM lineitem JOIN part ON l_partkey = p_partkey

@@ -106,6 +106,25 @@ def _archived_orders(spark: SparkSession, folder: str) -> DataFrame:
     return snapshots.read_archive(spark, root)
 
 
+def large_array_regions(spark: SparkSession, folder: str) -> DataFrame:
+    """Ads per region, of ads written as the comma-separated records of JSON arrays."""
+    path = new_path(spark, "array")
+    ads = order_ads(spark, folder, place=True)
+    ads.select(F.to_json(F.struct("*"))).write.option("lineSep", ",\n").text(path)
+    return regions.job_ads_per_region(snapshots.read_large_array(spark, path))
+
+
+def line_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Good and bad lines, of ads written as JSON lines with every seventh cut short."""
+    path = new_path(spark, "lines")
+    ads = order_ads(spark, folder)
+    line = F.to_json(F.struct("*"))
+    cut = F.when(F.col("id").cast("long") % 7 == 0, F.rtrim(line, F.lit("}"))).otherwise(line)
+    ads.select(cut).write.text(path)
+    parsed = snapshots.parsed_lines(spark, path)
+    return parsed.groupBy("is_bad").agg(F.count("*").alias("n"))
+
+
 # Documents as ads.
 
 
@@ -287,6 +306,8 @@ QUERIES: dict[str, Query] = {
     "result_json_roundtrip": result_json_roundtrip,
     "snapshot_manifest": snapshot_manifest,
     "archive_over_time": archive_over_time,
+    "large_array_regions": large_array_regions,
+    "line_quality": line_quality,
     "stop_words": stop_words_query,
     "place_words_split": place_words_split,
     "keywords_per_municipality": keywords_per_municipality,

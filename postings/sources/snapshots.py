@@ -47,7 +47,9 @@ def parsed_lines(spark: SparkSession, path: str, schema: T.StructType = AD_SCHEM
     """``line, ad, is_bad``: every line with what was read from it."""
     marked = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
     lines = spark.read.text(path).withColumnRenamed("value", "line").where("trim(line) != ''")
-    parsed = lines.withColumn("ad", F.from_json("line", marked, {"mode": "PERMISSIVE"}))
+    # As the one element of a generator, so that filters on it do not parse the line again.
+    ad = F.array(F.from_json("line", marked, {"mode": "PERMISSIVE"}))
+    parsed = lines.select("line", F.explode(ad).alias("ad"))
     return parsed.withColumn("is_bad", F.col("ad._corrupt_record").isNotNull())
 
 

@@ -3,11 +3,20 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
 from postings.operators.keywords import keywords_per_municipality, word_counts
-from postings.operators.vacancies import municipality_summary
-from postings.sources.snapshots import write_archive
+from postings.operators.pages import job_details, page_offsets, results_with_details, search_results
+from postings.operators.vacancies import municipality_summary, vacancies_per_municipality
+from postings.schema import ad_columns
+from postings.sources.snapshots import (
+    bad_lines,
+    good_lines,
+    parsed_lines,
+    read_large_array,
+    write_archive,
+)
 from tests.ads import ad, frame
 
 FOLDER = "/root/testdata/sf0.001"
@@ -54,3 +63,62 @@ def test_only_the_fields_needed_are_read(spark, tmp_path):
     assert schema == "struct<workplace_address:struct<municipality:string>,number_of_vacancies:int>"
     plan = plan_of(entry_points.queries()["job_ads_per_region"](spark, FOLDER))
     assert "lineitem" not in plan and "part.parquet" not in plan
+
+
+def test_pages_and_lines_are_parsed_once(spark, tmp_path):
+    made = spark.createDataFrame([(1, "u", "h")], "page_id long, url string, html string")
+    (tmp_path / "lines.json").write_text("{}\n")
+    path = str(tmp_path / "lines.json")
+    parsed = parsed_lines(spark, path)
+    for df in (
+        search_results(made),
+        page_offsets(made),
+        job_details(made),
+        good_lines(parsed),
+        bad_lines(parsed),
+        read_large_array(spark, path),
+    ):
+        # Twice in the text of the plan of an aggregate would be its partial and final half.
+        assert plan_of(df).count("from_json(") == 1
+
+
+@pytest.fixture
+def tiny_skew(spark):
+    """Settings under which test data count as skewed and nothing is broadcast."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_hot_keys_of_shuffle_joins_are_split(spark, tiny_skew):
+    ads = spark.range(40_000, numPartitions=8).select(
+        *ad_columns(
+            id=F.col("id"),
+            label=F.lit("Cook"),
+            municipality=F.when(F.col("id") % 3 == 0, "Hot").otherwise(F.concat(F.lit("M"), F.col("id") % 500)),
+            number_of_vacancies=F.lit(1),
+        )
+    )
+    result = vacancies_per_municipality(ads)
+    hot = [row for row in result.collect() if row["municipality"] == "Hot"]
+    assert len(hot) == 13_334 and {row["num_job_ads_per_municipality"] for row in hot} == {13_334}
+    assert "SortMergeJoin(skew=true)" in plan_of(result)
+
+    results = spark.range(40_000, numPartitions=8).select(
+        F.col("id").alias("page_id"),
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 500)).alias("job_key"),
+    )
+    details = results.groupBy("job_key").agg(F.create_map(F.lit("n"), F.count("*")).alias("detail"))
+    jobs = results_with_details(results, details)
+    assert len(jobs.collect()) == 40_000
+    assert "SortMergeJoin(skew=true)" in plan_of(jobs)

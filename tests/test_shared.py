@@ -1,0 +1,42 @@
+import types
+
+import pytest
+
+from postings.shared import checkpointed, new_path, settle, shared_folder
+
+
+def fake_session(master, setting=None, current=None):
+    """A session with the three things that are asked of it."""
+    used = []
+    context = types.SimpleNamespace(
+        master=master, getCheckpointDir=lambda: current, setCheckpointDir=used.append
+    )
+    conf = types.SimpleNamespace(get=lambda key, default: setting)
+    return types.SimpleNamespace(sparkContext=context, conf=conf), used
+
+
+def test_the_setting_is_used():
+    session, used = fake_session("yarn", setting="hdfs://x/checkpoints")
+    assert shared_folder(session) == "hdfs://x/checkpoints"
+    assert used == ["hdfs://x/checkpoints"]
+    session, used = fake_session("yarn", setting="hdfs://x/checkpoints", current="hdfs://x/checkpoints/1")
+    assert shared_folder(session) == "hdfs://x/checkpoints" and used == []
+
+
+def test_no_local_folder_on_a_cluster():
+    session, _ = fake_session("yarn")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session)
+
+
+def test_a_temporary_folder_in_local_mode():
+    session, used = fake_session("local[2]")
+    assert [shared_folder(session)] == used
+
+
+def test_settled_and_checkpointed(spark):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "n long, s string")
+    for copy in (settle(df, "test"), checkpointed(df)):
+        assert copy.schema.simpleString() == df.schema.simpleString()
+        assert sorted(copy.collect()) == sorted(df.collect())
+    assert new_path(spark, "x") != new_path(spark, "x")
