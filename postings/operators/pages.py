@@ -20,6 +20,11 @@ def search_results(pages: DataFrame, keep: Sequence[str] = ("page_id",)) -> Data
     return exploded.select(*keep, "position", embedded.job_key(F.col("result")).alias("job_key"), "result")
 
 
+def without_search_data(pages: DataFrame) -> DataFrame:
+    """The pages ``search_results`` can read nothing from, for a caller that must not lose any."""
+    return pages.where(embedded.search_record(F.col("html")).isNull())
+
+
 def first_results(
     results: DataFrame,
     search: Sequence[str],

@@ -46,6 +46,7 @@ def test_search_results(spark):
         (1, 1, "b"),
         (4, 0, "c"),
     ]
+    assert sorted(rows(pages.without_search_data(made).select("page_id"))) == [(3,), (5,), (6,)]
     assert json.loads(results.where("job_key = 'b'").first()["result"]) == {"jobKey": "b", "other": {"a": [1]}}
 
 
