@@ -54,4 +54,5 @@ def save_csv(
 
 def save_sorted_csv(df: DataFrame, path: str) -> None:
     """Write CSV with the columns in name order."""
-    save_csv(df.select(*[df[f"`{name.replace('`', '``')}`"] for name in sorted(df.columns)]), path)
+    quoted = ["`" + name.replace("`", "``") + "`" for name in sorted(df.columns)]
+    save_csv(df.select(*quoted), path)

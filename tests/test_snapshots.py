@@ -128,6 +128,7 @@ def test_result_formats(spark, tmp_path):
         save_result(df, "x", str(tmp_path), fmt)
         back = spark.read.schema(df.schema).format(fmt).load(str(tmp_path / "x"))
         assert sorted(rows(back), key=str) == sorted(rows(df), key=str)
+    save_result(df, "x", fmt="noop", database="d")
     with pytest.raises(ValueError):
         save_result(df, "x")
     with pytest.raises(Exception, match="mongodb"):
