@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from postings.plans.daily import ANALYSES, land, run_analyses
-from postings.schema import AD_SCHEMA
+from postings.schema import AD_SCHEMA, ad_columns
 from postings.sources import snapshots
 from postings.sources.sinks import save_csv, save_result
 from tests.ads import ad, frame, rows
@@ -157,3 +157,28 @@ def test_daily_job(spark, tmp_path):
     vacancies = spark.read.parquet(f"{target}/vacancies").collect()
     assert [(row["id"], row["job_title"]) for row in vacancies] == [("7", "Kock")]
     assert spark.read.parquet(f"{target}/job_ads_per_region").count() == 2
+
+
+def test_a_large_day_is_written_by_several_tasks(spark, tmp_path):
+    root = tmp_path / "archive"
+    ads = spark.range(30_000, numPartitions=6).select(
+        *ad_columns(
+            id=F.col("id"),
+            headline=F.sha2(F.col("id").cast("string"), 256),
+            publication_date=F.when(F.col("id") % 3 == 0, "2025-01-01").otherwise(
+                F.date_add(F.lit(DAY), (F.col("id") % 20).cast("int")).cast("string")
+            ),
+        )
+    )
+    before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "250KB")
+    try:
+        snapshots.write_archive(ads, str(root), F.to_date("publication_date"), "parquet")
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
+    files = {str(day.relative_to(root)): len(list(day.glob("part-*"))) for day in root.glob("*/*/dd=*")}
+    assert len(files) == 21
+    assert files["yyyy=2025/mm=01/dd=01"] > 1
+    # Without gathering by day, every day would be written by all six tasks.
+    assert sum(files.values()) < 21 * 6 / 2
+    assert spark.read.parquet(str(root)).count() == 30_000
