@@ -16,6 +16,7 @@ from postings.operators.ranking import top_list, top_n_per
 from postings.schema import MUNICIPALITY
 from postings.shared import settle
 
+# The fields that words are counted in.
 TEXT_COLUMNS = (
     "headline",
     "description.conditions",
