@@ -1,12 +1,6 @@
 """The registered queries as SQL for an independent engine over the same tables."""
 
-import glob
-import os
-import zipfile
-
-import pyspark
-
-from postings.functions.stopwords import EXTRA_STOP_WORDS, LANGUAGES
+from postings.plans.oracle_words import ENGLISH, EXTRA, SWEDISH
 
 _ADS = """
     lines AS (
@@ -67,11 +61,14 @@ _JOBS = """
         SELECT page_id, 'k' || page_id || '_' || i AS job_key
         FROM pages, (VALUES (0), (1)) AS numbers(i) WHERE i < page_id % 3
     )
-    SELECT job_key, CAST(length(html) AS VARCHAR) AS chars,
-           '{"number":' || p.page_id || '}' AS company, url AS title
+    SELECT {columns}
     FROM keyed JOIN pages AS p ON job_key = 'k' || p.page_id || '_0' AND p.page_id % 5 <> 0
 """
 
+_CHARS = "CAST(length(html) AS VARCHAR) AS chars"
+_COMPANY = "'{\"number\":' || p.page_id || '}' AS company"
+_TITLE = "url AS title"
+
 _OFFSETS = """
     offsets AS (
         SELECT page_id, url, CAST(10 * unnest(range(1, greatest(1,
@@ -81,18 +78,8 @@ _OFFSETS = """
 """
 
 
-def _default_stop_words(language: str) -> list[str]:
-    """Spark's list for a language, read from its jar so that no session is needed."""
-    (jar,) = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jar) as files:
-        text = files.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
-    return text.split()
-
-
 def _fixed_stop_words() -> str:
-    words = set(EXTRA_STOP_WORDS)
-    for language in LANGUAGES:
-        words.update(_default_stop_words(language))
+    words = {*ENGLISH, *SWEDISH, *EXTRA}
     values = ", ".join("('{}')".format(word.lower().replace("'", "''")) for word in sorted(words))
     return f"SELECT * FROM (VALUES {values}) AS fixed(word)"
 
@@ -240,8 +227,9 @@ def oracles() -> dict[str, str]:
             FROM pages, (VALUES (0), (1)) AS numbers(i) WHERE i < page_id % 3
         """,
         "first_search_results": """
-            SELECT page_id % 7 AS search, 'k' || page_id || '_' || i AS job_key,
-                   CAST(row_number() OVER (PARTITION BY page_id % 7 ORDER BY page_id, i) AS INTEGER) AS rank
+            SELECT page_id % 7 AS search,
+                   CAST(row_number() OVER (PARTITION BY page_id % 7 ORDER BY page_id, i) AS INTEGER) AS rank,
+                   'k' || page_id || '_' || i AS job_key
             FROM pages, (VALUES (0), (1)) AS numbers(i) WHERE i < page_id % 3 QUALIFY rank <= 20
         """,
         "page_offsets": f'WITH {_OFFSETS} SELECT page_id, "offset" FROM offsets',
@@ -252,8 +240,8 @@ def oracles() -> dict[str, str]:
                    || '&l=S%C3%B6dra+l%C3%A4net+%2A~&filter=0&start=' || "offset" AS address
             FROM offsets
         """,
-        "job_details": f"WITH {_JOBS}",
-        "jobs_csv_roundtrip": f"WITH {_JOBS}",
+        "job_details": "WITH " + _JOBS.format(columns=f"job_key, {_CHARS}, {_COMPANY}, {_TITLE}"),
+        "jobs_csv_roundtrip": "WITH " + _JOBS.format(columns=f"{_CHARS}, {_COMPANY}, job_key, {_TITLE}"),
         "normalize_vectors": """
             WITH flat AS (
                 SELECT vec_id, unnest(range(len(embedding))) AS dim,

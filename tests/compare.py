@@ -42,6 +42,7 @@ def normal(columns, rows):
 
 
 def assert_same(actual, expected):
+    assert list(actual[0]) == list(expected[0])
     actual_columns, actual_rows = normal(*actual)
     expected_columns, expected_rows = normal(*expected)
     assert actual_columns == expected_columns
