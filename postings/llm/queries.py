@@ -5,12 +5,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from postings.llm.bpe import digests
 from postings.llm.exact_dedup import exact_duplicates
 from postings.llm.ngram_join import ngram_components
+from postings.llm.packing import pack_documents
 from postings.llm.sharding import assign_shards, number_slots, shard_of
+from postings.llm.token_counts import prefix_counts, total_tokens
+from postings.llm.token_files import read_token_files, write_token_files
+from postings.llm.tokens import BYTE_BPE, WORD_BPE, tokenizer_path
+from postings.shared import new_path, settle
 from postings.sources.tables import table
 
 SHARDS = 8
+SEQUENCE = 4096
+END_ID = 2
+TOKEN_LIMIT = 2048
 
 
 def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
@@ -33,10 +42,41 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(table(spark, folder, "documents"), digest=True)
 
 
+def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document encoded and decoded again."""
+    return digests(table(spark, folder, "documents"), tokenizer_path(BYTE_BPE))
+
+
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Tokens of every document, and which have too many."""
+    counts = prefix_counts(table(spark, folder, "documents"), tokenizer_path(WORD_BPE))
+    total = total_tokens(F.col("prefix_tokens"))
+    return counts.select("doc_id", "n_bytes", total.alias("n_tokens")).withColumn(
+        "over_limit", F.col("n_tokens") > TOKEN_LIMIT
+    )
+
+
+def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in sequences of at most 4096 tokens."""
+    return pack_documents(table(spark, folder, "documents"), tokenizer_path(WORD_BPE), END_ID, SEQUENCE)
+
+
+def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents written as token files, and what is read back from the files."""
+    target = new_path(spark, "token-files")
+    docs = table(spark, folder, "documents")
+    manifest = settle(write_token_files(docs, target, tokenizer_path(BYTE_BPE), END_ID), "token-manifest")
+    return read_token_files(manifest, target)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op3_ngram_join": op3_ngram_join,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_bpe": op6_bpe,
+    "op7_token_counts": op7_token_counts,
+    "op8_packing": op8_packing,
+    "op10_token_files": op10_token_files,
 }
 
 
