@@ -21,15 +21,16 @@ def exact_duplicates(
     prefix: int = PREFIX,
     digest: bool = False,
 ) -> DataFrame:
-    """``doc_id, keep_id, group_size, kept`` for every row: of equal texts the smallest id stays.
+    """``doc_id, keep_id, group_size, kept, text_sha256`` for every row: of equal texts the smallest id
+    stays. The hash, of the normalised text, is null for rows told apart without it.
 
     Rows are told apart by the length of the normalised text, those that share a length by the hash
     of its first ``prefix`` characters, and those that share that too by SHA-256 of the whole. Each
     level only moves what the one before left in a group of two or more. The texts are read a second
     time, and only the surviving ones moved, for the last level.
 
-    ``digest`` adds ``text_sha256`` for every row. All texts have to be hashed then, so that happens
-    in the first scan, and the last level takes the hash from there: one scan, and no text moves.
+    ``digest`` asks for the hash of every row. All texts have to be hashed then, so that happens in
+    the first scan, and the last level takes the hash from there: one scan, and no text moves.
 
     A null text counts as empty. Repeated ids: rows that repeat both id and text count each in
     ``group_size`` and share one decision. A null id comes after all others: its row stays only where
@@ -76,10 +77,12 @@ def exact_duplicates(
         .otherwise(F.col("doc_id").eqNullSafe(F.col("keep_id")))
         .alias("kept"),
     ]
-    return decided.select(*columns, *(["text_sha256"] if digest else []))
+    return decided.select(*columns, "text_sha256")
 
 
 def without_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows that stay, with all their columns."""
-    dropped = exact_duplicates(docs, key, text).where("not kept").select(F.col("doc_id").alias("dropped"))
-    return docs.join(settle(dropped.distinct(), "dedup-dropped"), F.col(key).eqNullSafe(F.col("dropped")), "left_anti")
+    """The rows that stay, with all their columns. Rows that repeat id and text stay or go together."""
+    dropped = exact_duplicates(docs, key, text).where("not kept").select("doc_id", "text_sha256").distinct()
+    dropped = settle(dropped, "dedup-dropped")
+    same = docs[key].eqNullSafe(dropped["doc_id"]) & (F.sha2(normalised(docs[text]), 256) == dropped["text_sha256"])
+    return docs.join(dropped, same, "left_anti")

@@ -228,7 +228,7 @@ def ngram_components(
     text: str = "text",
     leader_rounds: int = 2,
 ) -> DataFrame:
-    """``doc_id, n_shingles, component_id, set_id, component_set`` of every row.
+    """``doc_id, text_hash, n_shingles, component_id, set_id, component_set`` of every row.
 
     Words are the runs of anything but ASCII white space, with A-Z in lower case. A document's set
     holds its distinct n-grams; one of fewer words has them all as one n-gram; one without words (or
@@ -314,7 +314,7 @@ def _pairs(probes: DataFrame, members: DataFrame) -> DataFrame:
 def _labelled(sets: DataFrame, component: DataFrame) -> DataFrame:
     known = component.withColumnRenamed("component", "found")
     rows = sets.join(known, sets["set_id"] == known["node"], "left").select(
-        "doc_id", "n_shingles", "set_id", F.coalesce("found", "set_id").alias("component_set")
+        "doc_id", "text_hash", "n_shingles", "set_id", F.coalesce("found", "set_id").alias("component_set")
     )
     rows = settle(rows, "in-components")
     first = rows.where("component_set is not null").groupBy(F.col("component_set").alias("of")).agg(
@@ -322,4 +322,21 @@ def _labelled(sets: DataFrame, component: DataFrame) -> DataFrame:
     )
     joined = rows.join(settle(first, "component-ids"), F.col("component_set") == F.col("of"), "left")
     whole = F.when(F.col("component_set").isNull(), F.col("doc_id")).otherwise(F.col("first"))
-    return joined.select("doc_id", "n_shingles", whole.alias("component_id"), "set_id", "component_set")
+    return joined.select(
+        "doc_id", "text_hash", "n_shingles", whole.alias("component_id"), "set_id", "component_set"
+    )
+
+
+def one_of_each_component(
+    docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The rows, with all their columns, that have the smallest id of their component.
+
+    Rows that repeat id and text stay or go together, and rows without an id stay where no row of
+    their component has one.
+    """
+    found = ngram_components(docs, n, percent, key, text)
+    dropped = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "text_hash")
+    dropped = settle(dropped.distinct(), "near-dropped")
+    same = docs[key].eqNullSafe(dropped["doc_id"]) & (F.xxhash64(docs[text]) == dropped["text_hash"])
+    return docs.join(dropped, same, "left_anti")

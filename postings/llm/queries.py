@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 
 from postings.llm.bpe import digests
 from postings.llm.exact_dedup import exact_duplicates
+from postings.llm.language import fit_languages, held_out, identify
+from postings.llm.neighbours import nearest_neighbours
 from postings.llm.ngram_join import ngram_components
 from postings.llm.packing import pack_documents
 from postings.llm.sharding import assign_shards, number_slots, shard_of
 from postings.llm.token_counts import prefix_counts, total_tokens
 from postings.llm.token_files import read_token_files, write_token_files
 from postings.llm.tokens import BYTE_BPE, WORD_BPE, tokenizer_path
+from postings.llm.toxicity import fit_severity, grade_texts, labelled_sample
 from postings.shared import new_path, settle
 from postings.sources.tables import table
 
@@ -31,6 +34,12 @@ def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected severity and grade of every document, learned from the labels."""
+    docs = table(spark, folder, "documents")
+    return grade_texts(docs, fit_severity(labelled_sample(docs, table(spark, folder, "labels"))))
+
+
 def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     """Components of documents that share nine tenths of their word trigrams."""
     found = ngram_components(table(spark, folder, "documents"), n=3, percent=90)
@@ -42,6 +51,13 @@ def op4_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_duplicates(table(spark, folder, "documents"), digest=True)
 
 
+def op5_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """The language of every document, learned from those that are not held out."""
+    docs = table(spark, folder, "documents")
+    found = identify(docs, fit_languages(docs))
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op6_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Every document encoded and decoded again."""
     return digests(table(spark, folder, "documents"), tokenizer_path(BYTE_BPE))
@@ -61,6 +77,12 @@ def op8_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(table(spark, folder, "documents"), tokenizer_path(WORD_BPE), END_ID, SEQUENCE)
 
 
+def op9_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 vectors of largest inner product with every twentieth."""
+    found = nearest_neighbours(table(spark, folder, "embeddings"), k=20, every=20)
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     """All documents written as token files, and what is read back from the files."""
     target = new_path(spark, "token-files")
@@ -71,11 +93,14 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_toxicity": op2_toxicity,
     "op3_ngram_join": op3_ngram_join,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_language_id": op5_language_id,
     "op6_bpe": op6_bpe,
     "op7_token_counts": op7_token_counts,
     "op8_packing": op8_packing,
+    "op9_neighbours": op9_neighbours,
     "op10_token_files": op10_token_files,
 }
 
