@@ -67,19 +67,11 @@ def results_with_details(results: DataFrame, details: DataFrame) -> DataFrame:
     return results.join(settle(details, "job-details"), "job_key")
 
 
-def detail_columns(
-    jobs: DataFrame,
-    names: Sequence[str] | None = None,
-    keep: Sequence[str] = (),
-    max_columns: int = 2000,
-) -> DataFrame:
-    """The kept columns, then the fields in ``detail`` in name order, null where a job lacks one.
-
-    Without ``names`` every field that occurs becomes a column; one job finds them.
-    """
-    if names is None:
-        keys = jobs.select(F.explode(F.map_keys("detail")).alias("name")).distinct()
-        names = [row["name"] for row in keys.limit(max_columns + 1).collect()]
-        if len(names) > max_columns:
-            raise ValueError(f"more than {max_columns} fields: name those wanted")
+def detail_columns(jobs: DataFrame, names: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """The kept columns, then the named fields of ``detail`` in name order, null where a job has none."""
     return jobs.select(*keep, *[F.col("detail")[name].alias(name) for name in sorted(names)])
+
+
+def detail_rows(jobs: DataFrame, keep: Sequence[str] = ("job_key",)) -> DataFrame:
+    """The kept columns with ``name, value``: a row per field, for any number of different fields."""
+    return jobs.select(*keep, F.explode("detail").alias("name", "value"))

@@ -3,6 +3,7 @@
 import argparse
 import datetime
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +13,7 @@ from postings.operators.regions import job_ads_per_region
 from postings.operators.skills import top_skills
 from postings.operators.trends import vacancies_over_time
 from postings.operators.vacancies import vacancies_per_municipality
+from postings.shared import remove_intermediates, settle
 from postings.sources import snapshots
 from postings.sources.sinks import save_result
 
@@ -25,14 +27,30 @@ ANALYSES: dict[str, Callable[[DataFrame], DataFrame]] = {
 }
 
 
+class Landed(NamedTuple):
+    """The ads of a day as read from the archive, and how many lines were set apart."""
+
+    ads: DataFrame
+    n_bad_lines: int
+
+
 def run_analyses(
     ads: DataFrame,
     save: Callable[[DataFrame, str], None],
     names: list[str] | None = None,
+    clean_up: bool = True,
 ) -> None:
-    """Run the named analyses, or all, and hand each result to ``save`` with its name."""
-    for name in names or ANALYSES:
-        save(ANALYSES[name](ads), name)
+    """Run the named analyses, or all, and hand each result to ``save`` with its name.
+
+    At the end the application's intermediate tables are deleted, so ``save`` has to have written
+    what it was given; ``clean_up=False`` leaves them.
+    """
+    try:
+        for name in names or ANALYSES:
+            save(ANALYSES[name](ads), name)
+    finally:
+        if clean_up:
+            remove_intermediates(ads.sparkSession)
 
 
 def land(
@@ -42,18 +60,30 @@ def land(
     day: datetime.date,
     is_array: bool = False,
     record_start: str | None = None,
-) -> DataFrame:
+) -> Landed:
     """Copy a JSON snapshot into the archive as parquet and return the ads read from there.
 
     The analyses each read a few fields only; from parquet they read no others. With
-    ``record_start`` an array is read by many tasks, see ``read_large_array``.
+    ``record_start`` an array is read by many tasks, see ``read_large_array``. An array that is not
+    whole is an error, and the day stays as it was. Of lines, only good ones reach the archive; the
+    others are written as they are under the same day of ``<archive>-bad-lines``, and counted.
     """
+    n_bad = 0
     if record_start is not None:
+        unfinished = snapshots.open_arrays(spark, source, record_start).first()
+        if unfinished is not None:
+            raise ValueError(f"{unfinished['file']} does not end with the end of its array")
         ads = snapshots.read_large_array(spark, source, record_start)
+    elif is_array:
+        ads = snapshots.read_array(spark, source)
     else:
-        ads = (snapshots.read_array if is_array else snapshots.read_lines)(spark, source)
+        parsed = settle(snapshots.parsed_lines(spark, source), "parsed-lines")
+        ads, bad = snapshots.good_lines(parsed), snapshots.bad_lines(parsed)
+        n_bad = bad.count()
+        if n_bad:
+            bad.write.mode("overwrite").text(snapshots.snapshot_path(f"{archive.rstrip('/')}-bad-lines", day))
     snapshots.write_archive(ads, archive, day, fmt="parquet")
-    return snapshots.read_snapshot(spark, archive, day, fmt="parquet")
+    return Landed(snapshots.read_snapshot(spark, archive, day, fmt="parquet"), n_bad)
 
 
 def main() -> None:
@@ -70,8 +100,10 @@ def main() -> None:
 
     spark = SparkSession.builder.appName("postings-daily").getOrCreate()
     day = given.day or snapshots.utc_today()
-    ads = land(spark, given.source, given.archive, day, given.array, given.record_start)
-    run_analyses(ads, lambda df, name: save_result(df, name, given.target, given.format), given.only)
+    landed = land(spark, given.source, given.archive, day, given.array, given.record_start)
+    if landed.n_bad_lines:
+        print(f"{landed.n_bad_lines} lines are no ads")
+    run_analyses(landed.ads, lambda df, name: save_result(df, name, given.target, given.format), given.only)
     spark.stop()
 
 

@@ -157,6 +157,13 @@ def oracles() -> dict[str, str]:
         "job_ads_per_region": _REGIONS,
         "result_json_roundtrip": _REGIONS,
         "large_array_regions": _REGIONS,
+        "array_to_lines_regions": _REGIONS,
+        "landed_regions": f"""
+            WITH {_ADS}
+            SELECT region, count(*) AS num_jobs,
+                   (SELECT count(*) FROM orders WHERE o_orderkey % 7 = 0) AS n_bad_lines
+            FROM ads WHERE CAST(id AS BIGINT) % 7 <> 0 GROUP BY region
+        """,
         "line_quality": "SELECT o_orderkey % 7 = 0 AS is_bad, count(*) AS n FROM orders GROUP BY 1",
         "top_skills": """
             SELECT p_type AS skill_label, count(*) AS count
@@ -241,6 +248,27 @@ def oracles() -> dict[str, str]:
             FROM offsets
         """,
         "job_details": "WITH " + _JOBS.format(columns=f"job_key, {_CHARS}, {_COMPANY}, {_TITLE}"),
+        "job_detail_rows": "WITH "
+        + _JOBS.format(columns=f"job_key, {_CHARS}, {_COMPANY}, {_TITLE}").replace("SELECT job_key, ", ", wide AS (SELECT job_key, ", 1)
+        + """)
+            SELECT job_key, 'chars' AS name, chars AS value FROM wide
+            UNION ALL SELECT job_key, 'company', company FROM wide
+            UNION ALL SELECT job_key, 'title', title FROM wide
+        """,
+        "cluster_ads_checks": """
+            SELECT count(*) AS n_ads, CAST(0 AS BIGINT) AS n_lost_or_doubled, CAST(0 AS BIGINT) AS n_outside,
+                   CAST(1 AS BIGINT) AS n_scores, CAST(0 AS DOUBLE) AS score_difference,
+                   20 AS n_components
+            FROM documents
+        """,
+        "reduce_vectors_checks": """
+            SELECT count(*) AS n_vectors, 20 AS least_components, 20 AS most_components,
+                   CAST(0 AS DOUBLE) AS largest_covariance
+            FROM embeddings
+        """,
+        "choose_k_checks": """
+            SELECT CAST(range AS INTEGER) AS k, true AS in_range, true AS best_first FROM range(2, 11)
+        """,
         "jobs_csv_roundtrip": "WITH " + _JOBS.format(columns=f"{_CHARS}, {_COMPANY}, job_key, {_TITLE}"),
         "normalize_vectors": """
             WITH flat AS (

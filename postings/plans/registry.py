@@ -1,5 +1,6 @@
 """Queries over the test tables, one or more per analysis."""
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -11,9 +12,10 @@ from postings.functions import embedded
 from postings.functions.stopwords import place_words, stop_words
 from postings.functions.text import clean
 from postings.operators import clusters, keywords, pages, regions, skills, trends, vacancies
-from postings.shared import new_path
+from postings.plans.daily import land
+from postings.shared import new_path, settle
 from postings.sources import sinks, snapshots
-from postings.sources.tables import document_ads, line_ads, order_ads, spread, table
+from postings.sources.tables import document_ads, line_ads, order_ads, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,7 +31,8 @@ def _list_text(entries: str) -> F.Column:
 
 
 def vacancies_per_municipality(spark: SparkSession, folder: str) -> DataFrame:
-    ads = order_ads(spark, folder, title=True, place=True, vacancies=True)
+    # The ads are read twice; settled, the joins that make them are not.
+    ads = settle(order_ads(spark, folder, title=True, place=True, vacancies=True), "order-ads")
     return vacancies.vacancies_per_municipality(ads)
 
 
@@ -79,7 +82,7 @@ def summary_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     summary = municipality_summary(spark, folder)
     path = new_path(spark, "summary-csv")
     order = [F.desc("num_vacancies_per_municipality"), "municipality"]
-    sinks.save_csv(summary, path, one_file_by=order)
+    sinks.save_csv(summary, path, order)
     return spark.read.schema(summary.schema).option("header", True).option("escape", '"').csv(path)
 
 
@@ -102,8 +105,9 @@ def _archived_orders(spark: SparkSession, folder: str) -> DataFrame:
     """All orders, archived as one snapshot per month of publication."""
     root = new_path(spark, "archive")
     ads = order_ads(spark, folder, vacancies=True)
-    snapshots.write_archive(ads, root, F.trunc(F.to_date("publication_date"), "month").cast("date"))
-    return snapshots.read_archive(spark, root)
+    month = F.trunc(F.to_date("publication_date"), "month").cast("date")
+    snapshots.write_archive(ads, root, month, fmt="parquet")
+    return snapshots.read_archive(spark, root, fmt="parquet")
 
 
 def large_array_regions(spark: SparkSession, folder: str) -> DataFrame:
@@ -114,15 +118,39 @@ def large_array_regions(spark: SparkSession, folder: str) -> DataFrame:
     return regions.job_ads_per_region(snapshots.read_large_array(spark, path))
 
 
+def array_to_lines_regions(spark: SparkSession, folder: str) -> DataFrame:
+    """Ads per region, of ads written as JSON arrays, read whole, written as lines and read back."""
+    arrays, lines = new_path(spark, "whole-arrays"), new_path(spark, "lines")
+    ads = order_ads(spark, folder, place=True)
+    # An array per part: the ads of a part are its lines, joined with commas, between brackets.
+    part = F.pmod(F.xxhash64("id"), F.lit(16))
+    listed = ads.groupBy(part.alias("part")).agg(F.collect_list(F.struct(*ads.columns)).alias("ads"))
+    listed.select(F.to_json("ads")).repartition(16).write.text(arrays)
+    snapshots.read_array(spark, arrays).write.json(lines)
+    return regions.job_ads_per_region(snapshots.read_lines(spark, lines))
+
+
+def landed_regions(spark: SparkSession, folder: str) -> DataFrame:
+    """Ads per region, of landed lines of which every seventh is cut short and set apart."""
+    path, archive = new_path(spark, "cut-lines"), new_path(spark, "landed")
+    _write_lines(order_ads(spark, folder, place=True), path)
+    landed = land(spark, path, archive, datetime.date(2025, 9, 29))
+    counted = regions.job_ads_per_region(landed.ads)
+    return counted.withColumn("n_bad_lines", F.lit(landed.n_bad_lines).cast("long"))
+
+
 def line_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Good and bad lines, of ads written as JSON lines with every seventh cut short."""
     path = new_path(spark, "lines")
-    ads = order_ads(spark, folder)
+    _write_lines(order_ads(spark, folder), path)
+    parsed = snapshots.parsed_lines(spark, path)
+    return parsed.groupBy("is_bad").agg(F.count("*").alias("n"))
+
+
+def _write_lines(ads: DataFrame, path: str) -> None:
     line = F.to_json(F.struct("*"))
     cut = F.when(F.col("id").cast("long") % 7 == 0, F.rtrim(line, F.lit("}"))).otherwise(line)
     ads.select(cut).write.text(path)
-    parsed = snapshots.parsed_lines(spark, path)
-    return parsed.groupBy("is_bad").agg(F.count("*").alias("n"))
 
 
 # Documents as ads.
@@ -167,11 +195,68 @@ def cluster_ads(spark: SparkSession, folder: str) -> DataFrame:
     return clusters.cluster_job_ads(document_ads(spark, folder))
 
 
+def cluster_ads_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """What must hold of the clusters of the documents, whatever the vectors are."""
+    k = 6
+    ads = document_ads(spark, folder)
+    found = settle(clusters.cluster_job_ads(ads, k=k, with_vectors=True), "clusters")
+    given = ads.select("id").groupBy("id").agg(F.count("*").alias("given"))
+    rows = found.groupBy("id").agg(F.count("*").alias("rows"))
+    lost = given.join(rows, "id", "full").where("not (given <=> rows)").count()
+    outside = F.count_if(~F.col("clusterNumber").between(0, k - 1))
+    score = _silhouette(found.select("id", F.col("clusterNumber").alias("label"), F.col("pcaFeaturesArray").alias("x")))
+    return found.agg(
+        F.count("*").alias("n_ads"),
+        F.lit(lost).cast("long").alias("n_lost_or_doubled"),
+        outside.alias("n_outside"),
+        F.count_distinct("silhouette_score").alias("n_scores"),
+        F.abs(F.round(F.first("silhouette_score") - F.lit(score), 6)).alias("score_difference"),
+        F.max(F.size("pcaFeaturesArray")).alias("n_components"),
+    )
+
+
+def _silhouette(points: DataFrame) -> float:
+    """The mean silhouette of ``id, label, x`` worked out from sums per cluster and dimension."""
+    square = F.aggregate("x", F.lit(0.0), lambda total, v: total + v * v)
+    points = settle(points.withColumn("xx", square), "points")
+    sums = (
+        points.select("label", F.posexplode("x").alias("dim", "v"))
+        .groupBy("label", "dim")
+        .agg(F.sum("v").alias("s"))
+        .groupBy("label")
+        .agg(F.transform(F.sort_array(F.collect_list(F.struct("dim", "s"))), lambda e: e["s"]).alias("y"))
+    )
+    sizes = points.groupBy("label").agg(F.count("*").alias("n"), F.sum("xx").alias("yy"))
+    # As many rows as clusters; a list of them on every point, not a join of everything.
+    listed = [
+        F.struct(
+            F.lit(row["label"]).alias("other"),
+            F.array(*map(F.lit, row["y"])).alias("y"),
+            F.lit(row["n"]).alias("n"),
+            F.lit(row["yy"]).alias("yy"),
+        )
+        for row in sums.join(sizes, "label").collect()
+    ]
+    dot = F.aggregate(F.zip_with("x", "y", lambda a, b: a * b), F.lit(0.0), lambda total, v: total + v)
+    distances = points.select("*", F.inline(F.array(*listed))).withColumn(
+        "d", F.col("xx") + F.col("yy") / F.col("n") - 2 * dot / F.col("n")
+    )
+    own = F.col("other") == F.col("label")
+    by_point = distances.groupBy("id").agg(
+        F.max(F.when(own, F.col("n"))).alias("n"),
+        F.max(F.when(own, F.col("d") * F.col("n") / F.nullif(F.col("n") - 1, F.lit(0)))).alias("a"),
+        F.min(F.when(~own, F.col("d"))).alias("b"),
+    )
+    a, b = F.col("a"), F.col("b")
+    value = F.when(F.col("n") == 1, 0.0).when(a < b, 1 - a / b).when(a > b, b / a - 1).otherwise(0.0)
+    return by_point.agg(F.avg(value)).first()[0]
+
+
 # Pages.
 
 
 def clean_text(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "pages"), "page_id").select(
+    return table(spark, folder, "pages").select(
         "page_id", clean(F.col("html")).alias("clean_text")
     )
 
@@ -191,7 +276,7 @@ def _search_pages(spark: SparkSession, folder: str) -> DataFrame:
         ).alias("tierSummaries"),
     )
     data = F.to_json(F.struct(F.struct(cards.alias("mosaicProviderJobCardsModel")).alias("metaData")))
-    return spread(table(spark, folder, "pages"), "page_id").select(
+    return table(spark, folder, "pages").select(
         "page_id",
         "url",
         F.concat(
@@ -212,7 +297,7 @@ def _job_pages(spark: SparkSession, folder: str) -> DataFrame:
     )
     data = F.to_json(F.struct(F.struct(job.alias("jobInfoModel")).alias("jobInfoWrapperModel")))
     none = F.lit('{"jobInfoWrapperModel":{"jobInfoModel":{}}}')
-    return spread(table(spark, folder, "pages"), "page_id").select(
+    return table(spark, folder, "pages").select(
         "page_id",
         embedded.job_address(F.format_string("k%d_0", "page_id")).alias("url"),
         F.concat(
@@ -246,7 +331,12 @@ def search_addresses(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def job_details(spark: SparkSession, folder: str) -> DataFrame:
-    return pages.detail_columns(_jobs(spark, folder).select("job_key", "detail"), keep=["job_key"])
+    names = ["chars", "company", "title"]
+    return pages.detail_columns(_jobs(spark, folder).select("job_key", "detail"), names, keep=["job_key"])
+
+
+def job_detail_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.detail_rows(_jobs(spark, folder))
 
 
 def jobs_csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -282,6 +372,29 @@ def reduce_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return reduced.select("vec_id", vector_to_array("pcaFeatures").alias("components"))
 
 
+def reduce_vectors_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """Number and width of the reduced vectors, and their largest covariance between two components."""
+    reduced = settle(reduce_vectors(spark, folder), "reduced")
+    values = reduced.select("vec_id", F.posexplode("components").alias("i", "x"))
+    other = values.select("vec_id", F.col("i").alias("j"), F.col("x").alias("y"))
+    pairs = values.join(other, "vec_id").where("i < j").groupBy("i", "j")
+    covariance = pairs.agg(F.covar_pop("x", "y").alias("c")).agg(F.max(F.abs("c"))).first()[0]
+    return reduced.agg(
+        F.count("*").alias("n_vectors"),
+        F.min(F.size("components")).alias("least_components"),
+        F.max(F.size("components")).alias("most_components"),
+        F.round(F.lit(covariance), 6).alias("largest_covariance"),
+    )
+
+
+def choose_k_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """Each number of clusters tried has one score, they lie in [-1, 1], and the best comes first."""
+    scores = choose_k(spark, folder).collect()
+    ordered = scores == sorted(scores, key=lambda row: (-row["silhouette"], row["k"]))
+    rows = [(row["k"], -1 <= row["silhouette"] <= 1, ordered) for row in scores]
+    return spark.createDataFrame(rows, "k int, in_range boolean, best_first boolean")
+
+
 def silhouette_labels(spark: SparkSession, folder: str) -> DataFrame:
     score = clusters.silhouette(_vectors(spark, folder), column="features", label="label")
     return spark.range(1).select(F.round(F.lit(score), 6).alias("silhouette"))
@@ -307,6 +420,8 @@ QUERIES: dict[str, Query] = {
     "snapshot_manifest": snapshot_manifest,
     "archive_over_time": archive_over_time,
     "large_array_regions": large_array_regions,
+    "array_to_lines_regions": array_to_lines_regions,
+    "landed_regions": landed_regions,
     "line_quality": line_quality,
     "stop_words": stop_words_query,
     "place_words_split": place_words_split,
@@ -315,15 +430,19 @@ QUERIES: dict[str, Query] = {
     "keywords_report": keywords_report,
     "ad_words": ad_words,
     "cluster_ads": cluster_ads,
+    "cluster_ads_checks": cluster_ads_checks,
     "clean_text": clean_text,
     "search_results": search_results,
     "first_search_results": first_search_results,
     "page_offsets": page_offsets,
     "search_addresses": search_addresses,
     "job_details": job_details,
+    "job_detail_rows": job_detail_rows,
     "jobs_csv_roundtrip": jobs_csv_roundtrip,
     "normalize_vectors": normalize_vectors,
     "reduce_vectors": reduce_vectors,
+    "reduce_vectors_checks": reduce_vectors_checks,
     "silhouette_labels": silhouette_labels,
     "choose_k": choose_k,
+    "choose_k_checks": choose_k_checks,
 }

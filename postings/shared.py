@@ -5,29 +5,42 @@ that computed it, and Catalyst knows its true size from the files, so a join wit
 only when it really is below ``spark.sql.autoBroadcastJoinThreshold``.
 """
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder of the session; a temporary one only in local mode."""
+    """The checkpoint folder of the session.
+
+    Where none is set, one process in which everything runs (``local[...]``) uses a folder in its
+    warehouse, which Spark has made; on a cluster that is an error.
+    """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="postings-")
+        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/intermediate"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
 
 
+def application_folder(spark: SparkSession) -> str:
+    """Where the application's intermediate tables are."""
+    return f"{shared_folder(spark).rstrip('/')}/postings/{spark.sparkContext.applicationId}"
+
+
 def new_path(spark: SparkSession, name: str) -> str:
     """A path not used before, under one folder per application."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark).rstrip('/')}/postings/{app}/{name}-{uuid.uuid4().hex}"
+    return f"{application_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def remove_intermediates(spark: SparkSession) -> None:
+    """Delete the application's intermediate tables, when nothing will read them again."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(application_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame, name: str) -> DataFrame:

@@ -4,8 +4,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 
-from postings.shared import settle
-
 _FILE_FORMATS = ("parquet", "json", "csv", "orc", "avro")
 
 
@@ -35,20 +33,19 @@ def save_result(
 def save_csv(
     df: DataFrame,
     path: str,
-    one_file_by: Sequence[str | Column] | None = None,
-    max_rows: int = 1_000_000,
+    order: Sequence[str | Column] | None = None,
+    single_file: bool = False,
 ) -> None:
     """Write CSV with a header; quotes are doubled, nulls are empty.
 
-    ``one_file_by`` gives an order and asks for one file, for small results: the rows are settled
-    and counted first, and more than ``max_rows`` of them are written sorted in several files.
+    With an ``order`` the files, in the order of their names, are sorted as a whole. ``single_file``
+    asks for one file, which one task writes: for results that the caller knows to be small.
     """
-    if one_file_by is not None:
-        df = settle(df, "csv")
-        if df.count() <= max_rows:
-            df = df.repartition(1).sortWithinPartitions(*one_file_by)
-        else:
-            df = df.orderBy(*one_file_by)
+    if single_file:
+        df = df.repartition(1)
+        df = df.sortWithinPartitions(*order) if order is not None else df
+    elif order is not None:
+        df = df.orderBy(*order)
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
 

@@ -12,12 +12,13 @@ DAY_COLUMNS = ("yyyy", "mm", "dd")
 
 
 def read_array(spark: SparkSession, path: str, schema: T.StructType = AD_SCHEMA) -> DataFrame:
-    """Files that each hold one JSON array of ads.
+    """Files that each hold one JSON array of ads; a file that is no whole array is an error.
 
     Such a file is parsed whole by one task, as its records cannot be told apart from inside; for
     files beyond a few hundred megabytes there is ``read_large_array``.
     """
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    reader = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST")
+    return reader.json(path)
 
 
 def read_large_array(
@@ -25,17 +26,32 @@ def read_large_array(
 ) -> DataFrame:
     """The ads of a JSON array too large for one task, read by as many tasks as it has blocks.
 
-    ``record_start`` is the text every ad begins with, up to its first key, and no object inside an
-    ad may begin with it. (Inside a string it cannot stand, as its quotes would be escaped.) The
-    text is taken as the line separator, so each line read is one ad without its start.
+    ``record_start`` is the text most ads begin with, up to their first key, and no object inside an
+    ad may begin with it. (Inside a string it cannot stand, as its quotes would be escaped.) It is
+    taken as the line separator, and each piece is parsed as an array of its own: an ad that begins
+    differently is in one piece with the ad before it, or with the array's opening bracket, and is
+    read with it. A piece that is not whole is an error.
     """
     pieces = spark.read.option("lineSep", record_start).text(path)
-    rest = F.rtrim("value", F.lit(" \t\r\n,]"))
-    # What stands before the first ad is the opening bracket.
-    records = pieces.where(F.ltrim("value", F.lit(" \t\r\n\ufeff[]")) != "").select(
-        F.from_json(F.concat(F.lit(record_start), rest), schema).alias("ad")
+    rest = F.regexp_replace("value", "[ \\t\\r\\n,\\]]+$", "")
+    # What stands before the first separator is the opening bracket, and ads that begin otherwise.
+    opening = F.ltrim("value", F.lit(" \t\r\n\ufeff")).startswith("[")
+    before = F.regexp_replace(rest, "^[ \\t\\r\\n\ufeff]*\\[", "")
+    array = F.when(opening, F.concat(F.lit("["), before, F.lit("]"))).otherwise(
+        F.concat(F.lit("[" + record_start), rest, F.lit("]"))
     )
-    return records.select("ad.*")
+    ads = F.from_json(array, T.ArrayType(schema), {"mode": "FAILFAST"})
+    # Catalyst would repeat the parsing to filter for an inner explode.
+    found = pieces.where(F.trim("value") != "").select(F.explode_outer(ads).alias("ad"))
+    return found.where("ad is not null").select("ad.*")
+
+
+def open_arrays(spark: SparkSession, path: str, record_start: str = '{"id":') -> DataFrame:
+    """``file``: the files read as large arrays that do not end with the closing bracket."""
+    pieces = spark.read.option("lineSep", record_start).text(path)
+    closed = F.col("value").rlike("\\][ \\t\\r\\n]*$")
+    files = pieces.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.max(closed).alias("closed"))
+    return files.where("not closed").select("file")
 
 
 def read_lines(spark: SparkSession, path: str, schema: T.StructType = AD_SCHEMA) -> DataFrame:
@@ -117,8 +133,10 @@ def manifest(archive: DataFrame) -> DataFrame:
     return archive.groupBy(*DAY_COLUMNS).agg(F.count("*").alias("n"))
 
 
-def has_snapshot(archive: DataFrame, day: datetime.date) -> bool:
-    return not on_day(archive, day).isEmpty()
+def has_snapshot(spark: SparkSession, root: str, day: datetime.date) -> bool:
+    """Whether an archive holds a day; an archive that is not there holds none."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(snapshot_path(root, day))
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
 
 
 def _day_parts(day: Column) -> list[Column]:

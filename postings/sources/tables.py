@@ -10,15 +10,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Hash a scan of fewer splits than cores over all cores; leave any other scan alone.
-
-    Only for the direct scan of a small file whose rows are costly to work on.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores, key) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def order_ads(
     spark: SparkSession,
     folder: str,
@@ -71,7 +62,7 @@ def line_ads(spark: SparkSession, folder: str) -> DataFrame:
 
 def document_ads(spark: SparkSession, folder: str) -> DataFrame:
     """One ad per document: its source is the municipality, its language the region."""
-    documents = spread(table(spark, folder, "documents"), "doc_id")
+    documents = table(spark, folder, "documents")
     return documents.select(
         *ad_columns(
             id=F.col("doc_id"),

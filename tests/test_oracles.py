@@ -7,15 +7,18 @@ import sys
 import pytest
 
 import __spark_entry__ as entry_points
+from postings.plans.oracles import oracles
+from postings.plans.registry import QUERIES
 from tests.compare import assert_same, duckdb_rows, spark_rows
 
 FOLDER = os.environ.get("POSTINGS_TEST_FOLDER", "/root/testdata/sf0.001")
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+SQL = oracles()
 
 
 def test_every_sql_has_its_query():
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

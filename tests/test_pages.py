@@ -118,7 +118,8 @@ def test_details_join_and_csv(spark, tmp_path):
     )
     details = pages.job_details(job_pages)
     jobs = pages.results_with_details(results, details)
-    columns = pages.detail_columns(jobs, keep=["position"])
+    names = ["where", "title", "remote", "pay"]
+    columns = pages.detail_columns(jobs, names, keep=["position"])
     assert columns.columns == ["position", "pay", "remote", "title", "where"]
     expected = [
         (0, "5", None, 'say "hi", you', '{"city":"X"}'),
@@ -127,8 +128,13 @@ def test_details_join_and_csv(spark, tmp_path):
     ]
     assert sorted(rows(columns)) == expected
     assert pages.detail_columns(jobs, names=["title"]).columns == ["title"]
-    with pytest.raises(ValueError):
-        pages.detail_columns(jobs, max_columns=3)
+    long = pages.detail_rows(jobs, keep=["position"])
+    assert sorted(rows(long)) == sorted(
+        (row[0], name, value)
+        for row in expected
+        for name, value in zip(["pay", "remote", "title", "where"], row[1:], strict=True)
+        if value is not None
+    )
 
     path = str(tmp_path / "jobs")
     save_sorted_csv(columns.withColumnRenamed("position", "zzz"), path)

@@ -5,10 +5,10 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_points
 from postings.operators.keywords import keywords_per_municipality, word_counts
 from postings.operators.pages import job_details, page_offsets, results_with_details, search_results
 from postings.operators.vacancies import municipality_summary, vacancies_per_municipality
+from postings.plans.registry import QUERIES
 from postings.schema import ad_columns
 from postings.sources.snapshots import (
     bad_lines,
@@ -21,16 +21,24 @@ from tests.ads import ad, frame
 
 FOLDER = "/root/testdata/sf0.001"
 # These train models while they are built; their plans are read in the other tests.
-TRAINING = {"cluster_ads", "choose_k", "reduce_vectors", "silhouette_labels"}
+TRAINING = {
+    "cluster_ads",
+    "cluster_ads_checks",
+    "choose_k",
+    "choose_k_checks",
+    "reduce_vectors",
+    "reduce_vectors_checks",
+    "silhouette_labels",
+}
 
 
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_points.queries()) - TRAINING))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - TRAINING))
 def test_no_cross_join_python_or_unbounded_window(spark, name):
-    plan = plan_of(entry_points.queries()[name](spark, FOLDER))
+    plan = plan_of(QUERIES[name](spark, FOLDER))
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas"):
         assert operator not in plan
     windows = len(re.findall(r"\bWindow \[", plan))
@@ -61,7 +69,7 @@ def test_only_the_fields_needed_are_read(spark, tmp_path):
     ads = spark.read.parquet(root)
     schema = re.search(r"ReadSchema: (\S+)", plan_of(municipality_summary(ads))).group(1)
     assert schema == "struct<workplace_address:struct<municipality:string>,number_of_vacancies:int>"
-    plan = plan_of(entry_points.queries()["job_ads_per_region"](spark, FOLDER))
+    plan = plan_of(QUERIES["job_ads_per_region"](spark, FOLDER))
     assert "lineitem" not in plan and "part.parquet" not in plan
 
 

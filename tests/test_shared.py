@@ -11,7 +11,8 @@ def fake_session(master, setting=None, current=None):
     context = types.SimpleNamespace(
         master=master, getCheckpointDir=lambda: current, setCheckpointDir=used.append
     )
-    conf = types.SimpleNamespace(get=lambda key, default: setting)
+    known = {"spark.checkpoint.dir": setting, "spark.sql.warehouse.dir": "file:/w"}
+    conf = types.SimpleNamespace(get=lambda key, default=None: known[key])
     return types.SimpleNamespace(sparkContext=context, conf=conf), used
 
 
@@ -23,15 +24,16 @@ def test_the_setting_is_used():
     assert shared_folder(session) == "hdfs://x/checkpoints" and used == []
 
 
-def test_no_local_folder_on_a_cluster():
-    session, _ = fake_session("yarn")
+@pytest.mark.parametrize("master", ["yarn", "local-cluster[2,1,1024]"])
+def test_no_folder_of_its_own_on_a_cluster(master):
+    session, _ = fake_session(master)
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(session)
 
 
-def test_a_temporary_folder_in_local_mode():
+def test_the_warehouse_in_local_mode():
     session, used = fake_session("local[2]")
-    assert [shared_folder(session)] == used
+    assert [shared_folder(session)] == used == ["file:/w/intermediate"]
 
 
 def test_settled_and_checkpointed(spark):

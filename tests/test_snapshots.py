@@ -105,8 +105,9 @@ def test_archive_replaces_one_day_only(spark, tmp_path, fmt):
     assert archive.columns[-3:] == ["yyyy", "mm", "dd"]
     assert sorted(rows(snapshots.manifest(archive))) == [(2025, 9, 29, 1), (2025, 10, 1, 2)]
     assert rows(snapshots.read_snapshot(spark, root, DAY, fmt)) == [ad("3")[:2] + tuple(rows(frame(spark, [ad("3")]))[0][2:])]
-    assert snapshots.has_snapshot(archive, next_day)
-    assert not snapshots.has_snapshot(archive, datetime.date(2025, 10, 2))
+    assert snapshots.has_snapshot(spark, root, next_day)
+    assert not snapshots.has_snapshot(spark, root, datetime.date(2025, 10, 2))
+    assert not snapshots.has_snapshot(spark, str(tmp_path / "nowhere"), next_day)
     plan = snapshots.on_day(archive, DAY)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(yyyy" in plan
 
@@ -139,17 +140,17 @@ def test_one_csv_file(spark, tmp_path):
     path = tmp_path / "summary"
     made = [("a", 1), ('say "b"', 7), (None, 3)]
     df = spark.createDataFrame(made, "name string, n long").repartition(3)
-    save_csv(df, str(path), one_file_by=[F.desc("n")])
+    save_csv(df, str(path), [F.desc("n")], single_file=True)
     (part,) = path.glob("part-*.csv")
     assert part.read_text() == 'name,n\n"say ""b""",7\n,3\na,1\n'
-    save_csv(df, str(path), one_file_by=[F.desc("n")], max_rows=2)
+    save_csv(df, str(path), [F.desc("n")])
     back = spark.read.option("header", True).option("escape", '"').csv(str(path))
     assert back.count() == 3
 
 
 def test_daily_job(spark, tmp_path):
     source = write_array(tmp_path / "data.json")
-    ads = land(spark, source, str(tmp_path / "archive"), DAY, is_array=True)
+    ads = land(spark, source, str(tmp_path / "archive"), DAY, is_array=True).ads
     assert ads.count() == 2
     target = str(tmp_path / "out")
     names = [name for name in ANALYSES if name != "global_clusters"]
@@ -182,3 +183,53 @@ def test_a_large_day_is_written_by_several_tasks(spark, tmp_path):
     # Without gathering by day, every day would be written by all six tasks.
     assert sum(files.values()) < 21 * 6 / 2
     assert spark.read.parquet(str(root)).count() == 30_000
+
+
+def test_bad_input_leaves_the_day_as_it_was(spark, tmp_path):
+    archive = str(tmp_path / "archive")
+    whole = write_array(tmp_path / "whole.json")
+    start = '{"id": '
+    assert land(spark, whole, archive, DAY, is_array=True).ads.count() == 2
+    text = (tmp_path / "whole.json").read_text()
+    cases = {
+        "cut": text[:-40],
+        "open": text[: text.rindex("}") + 1],
+        "inside": text[: text.index("Laga")],
+    }
+    for name, cut in cases.items():
+        (tmp_path / f"{name}.json").write_text(cut)
+        for how in ({"is_array": True}, {"record_start": start}):
+            with pytest.raises(Exception):
+                land(spark, str(tmp_path / f"{name}.json"), archive, DAY, **how)
+            assert snapshots.read_snapshot(spark, archive, DAY, "parquet").count() == 2, (name, how)
+
+
+def test_ads_that_begin_differently_are_not_lost(spark, tmp_path):
+    odd = '[{"headline": "a", "id": "0"}, {"id": "1"}, {"headline": "b", "id": "2"}, {"id": "3"}]'
+    (tmp_path / "odd.json").write_text(odd)
+    (tmp_path / "indented.json").write_text(json.dumps(json.loads(odd), indent=1))
+    for name in ("odd", "indented"):
+        landed = land(spark, str(tmp_path / f"{name}.json"), str(tmp_path / name), DAY, record_start='{"id": ')
+        assert sorted(row["id"] for row in landed.ads.collect()) == ["0", "1", "2", "3"]
+
+
+def test_bad_lines_are_landed_apart(spark, tmp_path):
+    archive = str(tmp_path / "archive")
+    source = write_lines(tmp_path / "l.json", ["{broken", '{"number_of_vacancies": "many"}'])
+    landed = land(spark, source, archive, DAY)
+    assert landed.n_bad_lines == 2
+    assert sorted(row["id"] for row in landed.ads.collect()) == ["7", "8"]
+    apart = spark.read.text(snapshots.snapshot_path(archive + "-bad-lines", DAY))
+    assert sorted(rows(apart)) == [('{"number_of_vacancies": "many"}',), ("{broken",)]
+
+
+def test_intermediate_tables_are_removed(spark, tmp_path):
+    import os
+
+    from postings.shared import application_folder, settle
+
+    settle(spark.range(3), "left-over")
+    folder = application_folder(spark).removeprefix("file:")
+    assert os.listdir(folder)
+    run_analyses(frame(spark, [ad("1")]), lambda df, name: df.collect(), ["top_skills"])
+    assert not os.path.exists(folder)
