@@ -9,6 +9,7 @@ import functools
 import hashlib
 import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Iterator
 
@@ -18,7 +19,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postings.llm.tokens import PieceIds
+from postings.llm.tokens import PLAIN_SPACED, PLAIN_WORDS, PieceIds, byte_characters, packed, plain
 from postings.llm.workers import Pieces, map_batches, slices
 
 # How the two kinds of vocabulary cut a text into words before merging. White space is
@@ -30,15 +31,6 @@ BYTE_LEVEL_WORDS = (
 WORD_LEVEL_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 
 
-def byte_characters() -> list[str]:
-    """The printable character that stands for each byte in a byte-level vocabulary."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [byte for byte in range(256) if byte not in shown]
-    table = dict(zip(shown, map(chr, shown), strict=True))
-    table |= {byte: chr(256 + i) for i, byte in enumerate(hidden)}
-    return [table[byte] for byte in range(256)]
-
-
 class BytePairs:
     """A vocabulary with its merges, from the tokenizers library's file format."""
 
@@ -61,7 +53,7 @@ class BytePairs:
         self.last = [self.vocabulary[c + self.end] for c in self.characters]
         self.special = {token["content"]: token["id"] for token in given["added_tokens"]}
         longest_first = sorted(self.special, key=len, reverse=True)
-        self.special_pattern = regex.compile("|".join(map(regex.escape, longest_first)) or r"(?!)")
+        self.special_pattern = re.compile("|".join(map(re.escape, longest_first)) or r"(?!)")
         self.strings = self._strings()
         self.remembered = Pieces(self._encode_word)
 
@@ -123,8 +115,12 @@ class BytePairs:
         return "".join(c.lower() for c in unicodedata.normalize("NFC", text))
 
     def encode_ordinary(self, text: str) -> list[int]:
+        if plain(text):
+            words = PLAIN_SPACED.findall(text) if self.keeps_spaces else PLAIN_WORDS.findall(text.lower())
+        else:
+            words = self.words.findall(self.normalise(text))
         found: list[int] = []
-        for word in self.words.findall(self.normalise(text)):
+        for word in words:
             found += self.remembered[word]
         return found
 
@@ -152,7 +148,7 @@ def byte_pairs(path: str) -> BytePairs:
 @functools.lru_cache(maxsize=4)
 def own_ids(path: str) -> PieceIds:
     pairs = byte_pairs(path)
-    return PieceIds(pairs.encode, pairs.keeps_spaces)
+    return PieceIds(lambda piece: packed(pairs.encode(piece)), pairs.keeps_spaces)
 
 
 def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:

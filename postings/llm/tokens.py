@@ -7,10 +7,10 @@ bounded memory; all else is lookups and joins of bytes.
 import functools
 import os
 import re
+import sys
+from array import array
 from collections.abc import Callable
 
-import numpy as np
-
 from postings.llm.workers import Pieces
 
 #: Files of the public tokenizers, by the path that their package gives.
@@ -24,6 +24,18 @@ _OTHER_SPACE = re.compile(
 )
 _LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
+# Latin letters that are whole (NFC) and have one lower-case letter each, among these. Texts of them,
+# printable ASCII and line feeds are cut into words by patterns of the standard library, which are the
+# vocabularies' own patterns for these characters; all others go to the tokenizers library whole.
+LETTERS = "a-z\u00df-\u00f6\u00f8-\u012f\u0131-\u017f"
+CAPITALS = "A-Z\u00c0-\u00d6\u00d8-\u00de"
+plain = re.compile("[\n !-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]*").fullmatch
+PLAIN_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\\s{LETTERS}0-9]+")
+PLAIN_SPACED = re.compile(
+    f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}{CAPITALS}]+| ?[0-9]+| ?[^\\s{LETTERS}{CAPITALS}0-9]+"
+    r"|\s+(?!\S)|\s+"
+)
+
 
 def tokenizer_path(name: str) -> str:
     """The place of a public tokenizer's file; a path is taken as it is."""
@@ -59,14 +71,9 @@ class PieceIds:
     its first token; otherwise white space only separates.
     """
 
-    def __init__(self, encode: Callable[[str], list[int]], keeps_spaces: bool):
-        self.keeps_spaces = keeps_spaces
-
-        def raw(piece: str) -> bytes:
-            return np.array(encode(piece), dtype="<u4").tobytes()
-
-        self.first = raw
-        self.pieces = Pieces((lambda piece: raw(" " + piece)) if keeps_spaces else raw)
+    def __init__(self, encode: Callable[[str], bytes], keeps_spaces: bool):
+        self.keeps_spaces, self.first = keeps_spaces, encode
+        self.pieces = Pieces((lambda piece: encode(" " + piece)) if keeps_spaces else encode)
 
     def __call__(self, text: str | None) -> bytes:
         if not text:
@@ -77,9 +84,30 @@ class PieceIds:
         return self.first(first) + b"".join(map(self.pieces.__getitem__, rest))
 
 
+def packed(ids: list[int]) -> bytes:
+    """The ids as little-endian unsigned 32-bit integers."""
+    values = array("I", ids)
+    if sys.byteorder == "big":
+        values.byteswap()
+    return values.tobytes()
+
+
+def byte_characters() -> list[str]:
+    """The printable character that stands for each byte in the vocabularies."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [byte for byte in range(256) if byte not in shown]
+    table = dict(zip(shown, map(chr, shown), strict=True))
+    table |= {byte: chr(256 + i) for i, byte in enumerate(hidden)}
+    return [table[byte] for byte in range(256)]
+
+
 @functools.lru_cache(maxsize=4)
 def library_ids(path: str) -> PieceIds:
-    """Ids as the tokenizers library gives them with ``add_special_tokens=False``."""
+    """Ids as the tokenizers library gives them with ``add_special_tokens=False``.
+
+    Pieces of plain Latin text are cut into words here and each word goes to the library's model;
+    the library does all the rest itself.
+    """
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
@@ -87,4 +115,22 @@ def library_ids(path: str) -> PieceIds:
     tokenizer.no_truncation()
     tokenizer.no_padding()
     keeps_spaces = tokenizer.normalizer is None
-    return PieceIds(lambda piece: tokenizer.encode(piece, add_special_tokens=False).ids, keeps_spaces)
+    model, shown = tokenizer.model, dict(enumerate(byte_characters()))
+    added = [re.escape(token.content) for token in tokenizer.get_added_tokens_decoder().values()]
+    special = re.compile("|".join(added) or r"(?!)").search
+
+    def of_word(word: str) -> bytes:
+        if not word.isascii() or not word.isprintable() or word[0] == " ":
+            word = word.encode().decode("latin-1").translate(shown)
+        return packed([token.id for token in model.tokenize(word)])
+
+    words = Pieces(of_word)
+    of_known_word = words.__getitem__
+
+    def encode(piece: str) -> bytes:
+        if plain(piece) is None or special(piece):
+            return packed(tokenizer.encode(piece, add_special_tokens=False).ids)
+        found = PLAIN_SPACED.findall(piece) if keeps_spaces else PLAIN_WORDS.findall(piece.lower())
+        return of_known_word(found[0]) if len(found) == 1 else b"".join(map(of_known_word, found))
+
+    return PieceIds(encode, keeps_spaces)

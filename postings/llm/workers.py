@@ -1,5 +1,6 @@
 """Python code on the executors: shipping this package, walking over batches, remembering words."""
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -37,6 +38,16 @@ def map_batches(
     return df.mapInArrow(function, schema)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps that are over.
+
+    It does so when the driver's JVM finds that nothing refers to their plans any more, which it may
+    not look for until disks are full. For use between steps that each shuffle a whole table.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def slices(
     batches: Iterable[pa.RecordBatch], column: str = "text", most_bytes: int = 4 << 20
 ) -> Iterator[pa.RecordBatch]:
@@ -62,7 +73,7 @@ class Pieces(dict):
     than ``longest`` are worked out anew each time.
     """
 
-    def __init__(self, make: Callable, most: int = 300_000, longest: int = 64):
+    def __init__(self, make: Callable, most: int = 500_000, longest: int = 64):
         super().__init__()
         self.make, self.most, self.longest, self.older = make, most, longest, {}
 
