@@ -9,6 +9,7 @@ words added up. Budget and truncation questions are answered from the counts, wi
 
 import functools
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,12 +19,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postings.llm.bpe import BytePairs, byte_pairs
+from postings.llm.tokens import PLAIN_WORDS, plain
 from postings.llm.workers import Pieces, map_batches, slices
 
 #: Up to this length, a piece whose characters change in number when normalised is counted prefix by
 #: prefix; longer ones by whole characters.
 SHORT = 256
 
+#: Prefixes of words up to so many bytes are remembered, so many of them at once.
+REMEMBERED, MOST_STATES = 24, 500_000
+
 _CLUSTER = regex.compile(r"\X", regex.DOTALL)
 
 
@@ -48,9 +53,10 @@ class PrefixCounts:
             },
         }
         self.longest = max(map(len, [*self.inner, *self.final]))
-        self.fits = Pieces(self._fits, most=500_000, longest=2)
+        self.fits = Pieces(self._fits, longest=2)
+        self.states: dict[bytes, tuple[int, int, int, int]] = {}
         self.words = Pieces(self._word)
-        self.pieces = Pieces(lambda piece: self.of_piece(piece).tobytes())
+        self.pieces = Pieces(self._piece)
 
     def _fits(self, pair: tuple[int, int]) -> bool:
         """Whether the second token can follow the first (-1: nothing) in an encoding."""
@@ -59,51 +65,79 @@ class PrefixCounts:
             return self.pairs.merge(self.symbols[second]) == [second]
         return self.pairs.merge(self.symbols[first] + self.symbols[second]) == [first, second]
 
-    def _last(self, data: bytes, end: int, table: dict[bytes, int], last: list[int]) -> tuple[int, int]:
-        """Where the last token of ``data[:end]`` begins, and that token."""
+    def _last(
+        self, data: bytes, end: int, table: dict[bytes, int], last: list[int], begins: list[int]
+    ) -> tuple[int, int]:
+        """Where the last token of ``data[:end]`` begins, and that token. There is only one that fits,
+        and often it is the last one of the prefix before, made longer."""
+        fits = self.fits
+        guess = begins[end - 1]
+        token = table.get(data[guess:end])
+        if token is not None and fits[last[guess], token]:
+            return guess, token
         for begin in range(max(0, end - self.longest), end):
             token = table.get(data[begin:end])
-            if token is not None and (begin == 0 or last[begin] >= 0) and self.fits[last[begin], token]:
+            if token is not None and begin != guess and fits[last[begin], token]:
                 return begin, token
         raise AssertionError("every byte is a token")
 
+    def _state(
+        self, data: bytes, end: int, whole: bool, count: list[int], last: list[int], begins: list[int]
+    ) -> tuple[int, int, int, int]:
+        """Of ``data[:end]``: tokens if the word goes on, the last one and its begin; tokens if not."""
+        begin, token = self._last(data, end, self.inner, last, begins)
+        finished = 0
+        if whole:
+            finished = count[self._last(data, end, self.final, last, begins)[0]] + 1
+        return count[begin] + 1, token, begin, finished
+
     def _word(self, word: str) -> list[int]:
-        """Tokens of every prefix of a word, by character."""
+        """Tokens of every prefix of a word, by character.
+
+        Words share beginnings: the states of short prefixes are remembered.
+        """
         data = word.encode()
-        count, last, ends = [0] * (len(data) + 1), [-1] * (len(data) + 1), []
-        boundaries = {len(data)} if len(data) == 1 else None
-        if len(data) != len(word):
-            boundaries, at = set(), 0
-            for c in word:
-                at += len(c.encode())
-                boundaries.add(at)
+        plain = len(data) == len(word)
+        count, last, begins, ends = [0], [-1], [0], []
+        known = self.states
         for end in range(1, len(data) + 1):
-            if end < len(data):
-                begin, last[end] = self._last(data, end, self.inner, last)
-                count[end] = count[begin] + 1
-            if boundaries is None or end in boundaries:
-                begin, _ = self._last(data, end, self.final, last)
-                ends.append(count[begin] + 1)
+            # Whether a character ends here: the next byte does not continue one.
+            whole = plain or end == len(data) or data[end] & 0xC0 != 0x80
+            state = known.get(data[:end]) if end <= REMEMBERED else None
+            if state is None:
+                state = self._state(data, end, whole, count, last, begins)
+                if end <= REMEMBERED:
+                    if len(known) >= MOST_STATES:
+                        known.clear()
+                    known[data[:end]] = state
+            count.append(state[0])
+            last.append(state[1])
+            begins.append(state[2])
+            if whole:
+                ends.append(state[3])
         return ends
 
     def of_normal(self, text: str) -> list[int]:
         """Tokens of every prefix of a normalised text without special tokens, by character."""
-        found, total, at = [], 0, 0
-        for match in self.pairs.words.finditer(text):
-            found += [total] * (match.start() - at)
-            word = match.group()
-            if word[0] == "'" and len(word) > 1 and word[1].isalpha():
+        found: list[int] = []
+        total = at = 0
+        words = PLAIN_WORDS.finditer if plain(text) else self.pairs.words.finditer
+        for match in words(text):
+            begin, word = match.start(), match.group()
+            if begin > at:
+                found += [total] * (begin - at)
+            if word[0] == "'" and word[1:].isalpha():
                 # A prefix of 's, 'll and the like falls apart into the mark and the letters.
                 counts = [1, *(len(self.pairs.encode_ordinary(word[:k])) for k in range(2, len(word) + 1))]
             else:
                 counts = self.words[word]
-            found += [total + count for count in counts]
+            found += [total + count for count in counts] if total else counts
             total, at = found[-1], match.end()
-        return found + [total] * (len(text) - at)
+        return found + [total] * (len(text) - at) if at < len(text) else found
 
     def of_ordinary(self, text: str) -> list[int]:
         """The same for a text that is not normalised."""
-        if text.isascii():
+        if plain(text) or text.isascii():
             return self.of_normal(text.lower())
         lowered = [c.lower() for c in text]
         if unicodedata.is_normalized("NFC", text) and all(len(c) == 1 for c in lowered):
@@ -118,7 +152,7 @@ class PrefixCounts:
         # Inside a cluster the count is that of the cluster's end; the last one is that of the text.
         return [counts[min(k, len(normal))] for k in counted[:-1]] + [counts[-1]]
 
-    def of_piece(self, piece: str) -> np.ndarray:
+    def of_piece(self, piece: str) -> array:
         """Tokens of every prefix of a piece, by character, and once more for the space behind it."""
         found, begin = [], 0
         for match in self.pairs.special_pattern.finditer(piece):
@@ -131,14 +165,20 @@ class PrefixCounts:
         total = found[-1] if found else 0
         found += [total + c for c in self.of_ordinary(piece[begin:])]
         found.append(found[-1] if found else 0)
-        return np.array(found, dtype="<i4")
+        return array("i", found)
+
+    def _piece(self, piece: str) -> bytes:
+        if piece.isalpha() and plain(piece):
+            counts = self.words[piece.lower()]
+            return array("i", counts).tobytes() + array("i", counts[-1:]).tobytes()
+        return self.of_piece(piece).tobytes()
 
     def __call__(self, text: str | None) -> np.ndarray:
         """Tokens of the prefixes of 0, 1, 2, ... characters of a text."""
         if not text:
             return np.zeros(1, dtype=np.int32)
         parts = list(map(self.pieces.__getitem__, text.split(" ")))
-        counts = np.frombuffer(b"".join(parts), dtype="<i4").astype(np.int32)
+        counts = np.frombuffer(b"".join(parts), dtype=np.int32).copy()
         lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
         ends = np.cumsum(lengths)
         totals = counts[ends - 1]
