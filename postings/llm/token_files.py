@@ -38,11 +38,18 @@ def _id_type(path: str) -> pa.DataType:
     return pa.uint16() if size <= 1 << 16 else pa.uint32()
 
 
+def _file_system(folder: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """The file system of a folder as Spark names it, and the folder's path there."""
+    if folder.startswith("file:"):
+        folder = "/" + folder.removeprefix("file:").lstrip("/")
+    return pyarrow.fs.FileSystem.from_uri(folder)
+
+
 class SequenceWriter:
     """One file of sequences and its file of documents."""
 
     def __init__(self, folder: str, name: str, kind: pa.DataType, length: int):
-        files, base = pyarrow.fs.FileSystem.from_uri(folder)
+        files, base = _file_system(folder)
         files.create_dir(base, recursive=True)
         self.kind, self.length, self.name = kind, length, name
         self.schema = pa.schema([("input_ids", pa.list_(kind, length)), ("mask", pa.list_(pa.bool_(), length))])
@@ -93,7 +100,7 @@ class SequenceReader:
     """Sequences, ids and documents of a file that ``SequenceWriter`` wrote."""
 
     def __init__(self, folder: str, name: str):
-        files, base = pyarrow.fs.FileSystem.from_uri(folder)
+        files, base = _file_system(folder)
 
         def batches(suffix: str) -> list[pa.RecordBatch]:
             place = f"{base}/{name}.{suffix}"
