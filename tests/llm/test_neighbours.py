@@ -1,0 +1,104 @@
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from postings.llm import queries
+from postings.llm.neighbours import beam_search, grow_graph, nearest_neighbours, robust_prune
+
+SCHEMA = "vec_id long, embedding array<float>, vector string, rank string, shard int, score string"
+
+
+def frame(spark, ids, vectors):
+    rows = [(i, None if v is None else [None if x is None else float(x) for x in v], "a", "b", 1, "c") for i, v in zip(ids, vectors, strict=True)]
+    return spark.createDataFrame(rows, SCHEMA)
+
+
+def brute_force(ids, vectors, k, every):
+    ids, vectors = np.array(ids), np.array(vectors, dtype=np.float32).astype(float)
+    out = {}
+    for i, v in zip(ids, vectors, strict=True):
+        if i % every == 0:
+            scores = vectors @ v
+            order = [j for j in np.lexsort((ids, -scores)) if ids[j] != i][:k]
+            out[int(i)] = [(int(ids[j]), float(scores[j])) for j in order]
+    return out
+
+
+def collected(df):
+    out = defaultdict(list)
+    for row in sorted(df.collect(), key=lambda row: row["rank"]):
+        out[row["query_id"]].append((row["vec_id"], row["score"]))
+        assert row["rank"] == len(out[row["query_id"]])
+    return out
+
+
+def recall(found, expected):
+    hits = sum(len({i for i, _ in found[q]} & {i for i, _ in best}) for q, best in expected.items())
+    return hits / sum(map(len, expected.values()))
+
+
+def test_recall_over_shards(spark):
+    rng = np.random.default_rng(0)
+    vectors = rng.normal(size=(1500, 16)) * rng.uniform(0.5, 2, size=(1500, 1))
+    ids = list(range(1500))
+    found = collected(nearest_neighbours(frame(spark, ids, vectors), k=10, every=50, shard_rows=400))
+    expected = brute_force(ids, vectors, 10, 50)
+    assert found.keys() == expected.keys() and all(len(x) == 10 for x in found.values())
+    assert recall(found, expected) >= 0.95
+    exact = {q: dict(brute_force(ids, vectors, 1500, 50)[q]) for q in expected}
+    assert all(score == pytest.approx(exact[q][i], abs=1e-12) for q, x in found.items() for i, score in x)
+
+
+def test_few_vectors_are_all_found_and_bad_ones_take_no_part(spark):
+    good = {1: [1, 0], 2: [0, 1], 4: [0, 1], 6: [-1, -1], 8: [3, 4]}
+    bad = {10: None, 12: [0, 0], 14: [None, 1], 16: [float("nan"), 1], 18: [float("inf"), 1], 20: [1, 2, 3], 22: []}
+    made = good | bad
+    ids, vectors = [*made, None, 8], [*made.values(), [1, 1], good[8]]
+    found = collected(nearest_neighbours(frame(spark, ids, vectors), k=20, every=2))
+    assert found == brute_force([*good], [*good.values()], 20, 2)
+
+
+def test_copies_of_a_vector(spark):
+    rng = np.random.default_rng(3)
+    vectors = rng.normal(size=(300, 8))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    vectors[100:260] = vectors[100]
+    ids = list(range(300))
+    found = collected(nearest_neighbours(frame(spark, ids, vectors), k=20, every=20, shard_rows=60))
+    expected = brute_force(ids, vectors, 20, 20)
+    for query in (100, 120, 240):
+        assert [i for i, _ in found[query]] == [i for i in range(100, 121) if i != query][:20]
+    assert recall(found, expected) >= 0.95
+
+
+def test_no_rows(spark):
+    assert nearest_neighbours(frame(spark, [], [])).collect() == []
+    assert nearest_neighbours(frame(spark, [20], [[1.0]])).collect() == []
+
+
+def test_pruning_keeps_diverse_edges():
+    points = np.array([[0, 0], [1, 0], [1.1, 0], [0, 1], [-3, 0]], dtype=np.float32)
+    edges = robust_prune(points, np.array([0]), np.array([[1, 2, 3, 4, 0, 1, -1]]), 3, 1.2)
+    # 2 lies behind 1 and falls away; the point itself and repeats do not count.
+    assert edges.tolist() == [[1, 3, 4]]
+
+
+def test_search_of_a_graph():
+    rng = np.random.default_rng(5)
+    points = rng.normal(size=(600, 8)).astype(np.float32)
+    edges, start = grow_graph(points)
+    assert (edges < 600).all() and (edges.max(axis=1) >= 0).all()
+    assert not (edges == np.arange(600)[:, None]).any()
+    ids, far, _ = beam_search(points, edges, start, points[:50], 30)
+    assert (ids[:, 0] == np.arange(50)).mean() > 0.98
+    assert (np.diff(far, axis=1) >= 0).all()
+    assert all(len(set(row)) == 30 for row in ids.tolist())
+
+
+def test_query(spark):
+    folder = "/root/testdata/sf0.01"
+    rows = spark.read.parquet(f"{folder}/embeddings.parquet").collect()
+    expected = brute_force([r["vec_id"] for r in rows], [r["embedding"] for r in rows], 20, 20)
+    found = collected(queries.QUERIES["op9_neighbours"](spark, folder))
+    assert found.keys() == expected.keys() and recall(found, expected) >= 0.95

@@ -1,0 +1,138 @@
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from postings.llm import queries
+from postings.llm.components import connected_components
+from postings.llm.ngram_join import ngram_components, one_of_each_component, product_tile, signatures
+from tests.llm import cases
+
+
+def gram_set(text, n):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    if len(words) < n:
+        return frozenset([tuple(words)] if words else [])
+    return frozenset(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+
+
+def brute_force(rows, n, percent):
+    """doc_id, size of the set and component of every row, by comparing all pairs."""
+    sets = [gram_set(text, n) for _, text in rows]
+    label = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if a and b and label[i] != label[j]:
+                common = len(a & b)
+                if 100 * common >= percent * (len(a) + len(b) - common):
+                    old = label[i]
+                    label = [label[j] if x == old else x for x in label]
+    first = {}
+    for (doc, _), x in zip(rows, label, strict=True):
+        if doc is not None:
+            first[x] = min(first.get(x, doc), doc)
+    return Counter(
+        (doc, len(s), first.get(x) if s else doc) for (doc, _), s, x in zip(rows, sets, label, strict=True)
+    )
+
+
+def near_copies(seed=1, families=12, members=9):
+    """Families of texts with a few changed words, a passage that many share, and a chain."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(400)]
+    passage = " ".join(rng.choices(words, k=60))
+    made = []
+    for _ in range(families):
+        base = rng.choices(words, k=rng.choice([4, 12, 30, 90, 250]))
+        for _ in range(members):
+            text = list(base)
+            for _ in range(rng.randint(0, 1 + len(base) // 30)):
+                text[rng.randrange(len(text))] = rng.choice(words)
+            made.append(" ".join(text) + (" " + passage if rng.random() < 0.2 else ""))
+    chain = rng.choices(words, k=120)
+    for i in range(15):
+        made.append(" ".join(chain))
+        chain[7 * i % 120] = f"changed{i}"
+    rng.shuffle(made)
+    return list(enumerate(made))
+
+
+@pytest.mark.parametrize("n, percent", [(3, 90), (5, 80)])
+def test_against_brute_force(spark, n, percent, monkeypatch):
+    monkeypatch.setattr("postings.llm.ngram_join.TILE_PROBES", 3)
+    monkeypatch.setattr("postings.llm.ngram_join.TILE_MEMBERS", 4)
+    made = near_copies()
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    found = ngram_components(docs, n, percent, leader_rounds=1)
+    rows = Counter(map(tuple, found.select("doc_id", "n_shingles", "component_id").collect()))
+    assert rows == brute_force(made, n, percent)
+    assert len({row[2] for row in rows}) < len(made)
+
+
+def test_cases(spark):
+    docs = cases.documents(spark)
+    given = [(row["doc_id"], row["text"]) for row in docs.collect()]
+    found = ngram_components(docs, 3, 90).select("doc_id", "n_shingles", "component_id")
+    assert Counter(map(tuple, found.collect())) == brute_force(given, 3, 90)
+    stays = one_of_each_component(docs, 3, 90)
+    assert stays.columns == docs.columns
+    expected = Counter(key[0] for key in brute_force(given, 3, 90).elements() if key[0] == key[2])
+    assert Counter(row["doc_id"] for row in stays.collect()) == expected
+
+
+def test_no_rows(spark):
+    assert ngram_components(cases.empty(spark)).collect() == []
+    assert one_of_each_component(cases.empty(spark)).collect() == []
+
+
+def test_linked_sets_agree_in_a_column_block():
+    rng = np.random.default_rng(0)
+    for _ in range(1500):
+        percent, size = int(rng.choice([50, 80, 90])), int(rng.choice([1, 2, 5, 9, 12, 20, 40, 100, 300, 1500]))
+        a = np.unique(rng.integers(0, 2**64, size=size, dtype=np.uint64))
+        most = size * (100 - percent) // 100 + 1
+        kept = rng.permutation(a)[: max(0, size - int(rng.integers(0, most)))]
+        b = np.union1d(kept, rng.integers(0, 2**64, size=int(rng.integers(0, most)), dtype=np.uint64))
+        if len(b) and 100 * len(np.intersect1d(a, b)) >= percent * len(np.union1d(a, b)):
+            assert set(signatures(a, percent).tolist()) & set(signatures(b, percent).tolist())
+
+
+def test_product_of_a_tile():
+    rng = np.random.default_rng(1)
+    for _ in range(200):
+        columns = rng.integers(0, 2**64, size=60, dtype=np.uint64)
+        sets = [np.unique(rng.choice(columns, size=rng.integers(1, 60))) for _ in range(8)]
+        probes, members = sets[:3], sets[3:] + [p[1:] for p in sets[:3] if len(p) > 1]
+        percent = int(rng.choice([30, 50, 90]))
+        apart = rng.random((3, len(members))) < 0.9
+        expected = {
+            (i, j)
+            for i, p in enumerate(probes)
+            for j, m in enumerate(members)
+            if apart[i, j] and 100 * len(np.intersect1d(p, m)) >= percent * len(np.union1d(p, m))
+        }
+        assert set(product_tile(probes, members, apart, percent)) == expected
+
+
+def test_components(spark):
+    rng = random.Random(2)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(140)]
+    links += [(1000 + i, 1001 + i) for i in range(40)] + [(2000, 2000 + i) for i in range(50)] + [(5, 5), (None, 3)]
+    label = {x: x for link in links if None not in link and link[0] != link[1] for x in link}
+    for _ in range(60):
+        for a, b in links:
+            if a in label and b in label and a != b:
+                label[a] = label[b] = min(label[a], label[b])
+    found = connected_components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert sorted(map(tuple, found)) == sorted(label.items())
+    assert connected_components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+def test_query(spark):
+    folder = "/root/testdata/sf0.001"
+    given = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
+    found = queries.QUERIES["op3_ngram_join"](spark, folder)
+    assert Counter(map(tuple, found.collect())) == brute_force([tuple(row) for row in given], 3, 90)

@@ -1,0 +1,110 @@
+import numpy as np
+import pytest
+
+from postings.llm import queries
+from postings.llm.toxicity import (
+    SeverityModel,
+    fit_ordinal,
+    fit_severity,
+    grade_texts,
+    keep_clean,
+    labelled_sample,
+)
+from tests.llm import cases
+
+
+def test_ordinal_regression_recovers_weights():
+    rng = np.random.default_rng(0)
+    x = rng.integers(0, 4, size=(4000, 3)).astype(float)
+    weights, thresholds = np.array([1.0, -0.5, 0.0]), np.array([0.0, 2.0])
+    chances = 1 / (1 + np.exp(-(x @ weights)[:, None] + thresholds))
+    grades = (rng.random((4000, 1)) < chances).sum(axis=1)
+    rows, columns = np.nonzero(x)
+    found, cuts = fit_ordinal(rows, columns, x[rows, columns], grades, 3)
+    assert found == pytest.approx(weights, abs=0.15)
+    assert cuts == pytest.approx(thresholds, abs=0.25)
+
+
+def test_severity_is_the_sum_of_ordered_chances():
+    model = SeverityModel({"bad": 0}, np.array([2.0]), np.array([1.0, 2.0, 4.0]))
+    assert model.score("Bad, BAD and not badly") == pytest.approx(2 * np.log(3))
+    assert model.score(None) == model.score("") == 0.0
+    chances = model.chances(np.array([0.0, 3.0]))
+    assert (np.diff(chances, axis=1) < 0).all() and (chances[1] > chances[0]).all()
+    assert model.chances(np.array([1.0]))[0, 0] == 0.5
+
+
+@pytest.fixture(scope="module")
+def labelled(spark):
+    rng = np.random.default_rng(1)
+    words, bad = ["".join(rng.choice(list("abcdefgh"), size=5)) for _ in range(300)], ["vile", "vilest", "nasty"]
+    docs, labels = [], []
+    for i in range(400):
+        text = list(rng.choice(words, size=40))
+        hits = int(rng.integers(2, 9)) if i % 4 == 0 else 0
+        for _ in range(hits):
+            text[rng.integers(40)] = str(rng.choice(bad))
+        docs.append((i, " ".join(text)))
+        if i < 300:
+            labels.append((i, int(hits > 0)))
+    return (
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(labels + [(3, None), (None, 1), (0, 0), (999, 1)], "doc_id long, toxic int"),
+    )
+
+
+def test_held_out_texts(spark, labelled):
+    docs, labels = labelled
+    sample = labelled_sample(docs, labels)
+    assert sample.count() == 300
+    assert sample.where("doc_id = 0").first()["grade"] == 1, "the highest label of an id counts"
+    model = fit_severity(sample)
+    assert model.features.keys() >= {"vile", "nasty"}
+    found = {row["doc_id"]: row for row in grade_texts(docs, model).collect()}
+    held = [found[i] for i in range(300, 400)]
+    assert np.mean([row["toxic"] == (row["doc_id"] % 4 == 0) for row in held]) > 0.97
+    assert {row["grade"] for row in found.values()} == {0, 1, 2, 3}
+    assert all(0 <= row["severity"] <= 3 for row in found.values())
+    kept = {row["doc_id"] for row in keep_clean(docs, model).collect()}
+    assert kept == {i for i, row in found.items() if not row["toxic"]}
+
+
+def test_the_sample_is_bounded(labelled):
+    assert labelled_sample(*labelled, most_toxic=10, most_clean=20).groupBy("grade").count().collect()
+    counts = dict(map(tuple, labelled_sample(*labelled, most_toxic=10, most_clean=20).groupBy("grade").count().collect()))
+    assert counts == {0: 20, 1: 10}
+
+
+def test_given_grades_are_used(spark):
+    rows = [(i, "calm words", 0) for i in range(20)] + [(20 + i, "vile " * (1 + i % 2 * 8) + "abcdefghij"[i % 10] + "abcdefghij"[i // 10] + " stands here", 1 + i % 2) for i in range(20)]
+    model = fit_severity(spark.createDataFrame(rows, "doc_id long, text string, grade int"))
+    assert len(model.thresholds) == 2
+
+
+def test_cases(spark, labelled):
+    model = fit_severity(labelled_sample(*labelled))
+    docs = cases.documents(spark)
+    found = grade_texts(docs, model)
+    assert found.count() == docs.count() and not found.where("toxic").collect()
+    kept = keep_clean(docs, model)
+    assert kept.columns == docs.columns and kept.count() == docs.count()
+    assert grade_texts(cases.empty(spark), model).collect() == []
+
+
+def test_nothing_to_learn_from(spark):
+    docs = cases.documents(spark)
+    labels = spark.createDataFrame([(1, 0), (2, None)], "doc_id long, toxic int")
+    for table in (labels, labels.where("false")):
+        model = fit_severity(labelled_sample(docs, table))
+        assert not grade_texts(docs, model).where("toxic or severity > 0.01").collect()
+
+
+def test_query(spark):
+    folder = "/root/testdata/sf0.01"
+    found = queries.QUERIES["op2_toxicity"](spark, folder)
+    rows = found.join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").collect()
+    assert found.count() == 1000
+    flagged = [row["toxic"] for row in rows if row[-1] == 1]
+    assert np.mean(flagged) > 0.9
+    # One of these toxic stems is made of syllables that clean texts have too.
+    assert np.mean([row["toxic"] for row in rows if row[-1] == 0]) < 0.01
