@@ -82,7 +82,9 @@ def exact_duplicates(
 
 def without_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with all their columns. Rows that repeat id and text stay or go together."""
-    dropped = exact_duplicates(docs, key, text).where("not kept").select("doc_id", "text_sha256").distinct()
+    # With the hash of every row, which the join below needs anyway, no text moves before that join.
+    found = exact_duplicates(docs, key, text, digest=True)
+    dropped = found.where("not kept").select("doc_id", "text_sha256").distinct()
     dropped = settle(dropped, "dedup-dropped")
     same = docs[key].eqNullSafe(dropped["doc_id"]) & (F.sha2(normalised(docs[text]), 256) == dropped["text_sha256"])
     return docs.join(dropped, same, "left_anti")
