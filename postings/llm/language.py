@@ -6,6 +6,8 @@ score, where each change of language costs a penalty, so a few odd words do not
 """
 
 import bisect
+import re
+import struct
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -16,6 +18,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postings.llm.tokens import LETTERS, plain
 from postings.llm.workers import Pieces, map_batches, ship, slices
 
 UNKNOWN = "und"
@@ -45,6 +48,8 @@ SCRIPTS = (
 )
 _STARTS = [start for start, _ in SCRIPTS]
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
+# Of text that ``plain`` lets through, the runs of lower-case letters.
+_LATIN_WORD = re.compile(f"[{LETTERS}]+")
 
 
 def script(letter: str) -> str:
@@ -68,7 +73,7 @@ def words_of(text: str) -> Iterator[tuple[int, int, str]]:
 
 def trigrams(word: str) -> list[str]:
     padded = f" {word.lower()} "
-    return [padded[i : i + 3] for i in range(len(padded) - 2)]
+    return list(map("".join, zip(padded, padded[1:], padded[2:], strict=False)))
 
 
 @dataclass
@@ -80,33 +85,40 @@ class LanguageModel:
     table: np.ndarray
     scripts: dict[str, np.ndarray]
     switch: float = SWITCH
+    words: Pieces | None = field(default=None, repr=False)
     pieces: Pieces | None = field(default=None, repr=False)
 
     def word_scores(self, word: str, kind: str) -> np.ndarray:
         """Score of a word in every language; far below all others where its script rules one out."""
-        rows = [self.index.get(gram, len(self.index)) for gram in trigrams(word)]
-        scores = self.table[rows].sum(axis=0)
+        unknown, get = len(self.index), self.index.get
+        rows = [get(gram, unknown) for gram in trigrams(word)]
+        scores = np.add.reduce(self.table.take(rows, axis=0), axis=0)
         allowed = self.scripts.get(kind)
-        if allowed is not None:
+        if allowed is not None and not allowed.all():
             scores = np.where(allowed, scores, -1e6)
         return scores
 
+    def _word(self, word: str) -> bytes:
+        letters = len(word) if word.isalpha() else sum(map(str.isalpha, word))
+        return self.word_scores(word, script(word[0])).astype("<f4").tobytes() + struct.pack("<f", letters)
+
     def _piece(self, piece: str) -> bytes:
-        rows = [
-            np.append(self.word_scores(piece[begin:end], kind), sum(map(str.isalpha, piece[begin:end])))
-            for begin, end, kind in words_of(piece)
-        ]
-        return np.array(rows, dtype="<f4").tobytes()
+        # The score of a word is that of its lower-case form, and words share pieces' punctuation.
+        if plain(piece):
+            words = _LATIN_WORD.findall(piece.lower())
+        else:
+            words = [piece[begin:end] for begin, end, _ in words_of(piece)]
+        return b"".join(map(self.words.__getitem__, words))
 
     def text_scores(self, text: str) -> np.ndarray:
         """A row per word of the text: its scores, then its letters."""
         if self.pieces is None:
-            self.pieces = Pieces(self._piece)
+            self.words, self.pieces = Pieces(self._word), Pieces(self._piece)
         joined = b"".join(map(self.pieces.__getitem__, text.split()))
         return np.frombuffer(joined, dtype="<f4").reshape(-1, len(self.languages) + 1)
 
     def __getstate__(self):
-        return {**self.__dict__, "pieces": None}
+        return {**self.__dict__, "words": None, "pieces": None}
 
 
 def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarray:
