@@ -314,7 +314,7 @@ def language_spans(docs: DataFrame, model: LanguageModel, key: str = "doc_id", t
 
 
 def keep_identified(
-    docs: DataFrame, model: LanguageModel, text: str = "text", least_share: float = 0.5
+    docs: DataFrame, model: LanguageModel, text: str = "text", least_share: float = 0.4
 ) -> DataFrame:
     """The rows, with all their columns, whose text is in one language for ``least_share`` of its letters.
 

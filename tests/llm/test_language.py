@@ -88,7 +88,7 @@ def test_cases(spark, model):
     kept = keep_identified(docs, model)
     assert kept.columns == docs.columns
     assert {row["doc_id"] for row in kept.collect()} == {
-        row["doc_id"] for row in found if row["lang_pred"] != "und" and row["score"] >= 0.5
+        row["doc_id"] for row in found if row["lang_pred"] != "und" and row["score"] >= 0.4
     }
 
 
