@@ -6,12 +6,16 @@ their sizes ask for. Two size-derived bounds keep the product small, and neither
 
 * **Which tiles of the product are worked out.** Sets of sizes a and b that reach similarity t differ
   in at most ``(1 - t) / (1 + t) * (a + b)`` n-grams. With more column blocks than that, they agree in
-  at least one block entirely. So only rows that agree in all of some column block meet in a tile.
+  as many blocks as there are more. So only rows that agree in all of a column block meet in a tile, and
+  a row that does not agree with others in as many blocks as a link of its size asks for has no link.
 * **Which pairs of a tile stay.** Overlaps are accumulated from column block to column block; a pair
   whose overlap can no longer reach its bound is discarded.
 
-A tile holds one leader row against all rows that share its block. Rows linked in a tile are in one
-component, so the next round looks only at those of a block that are still in different components.
+Rows that agree in blocks, directly or through others, form a cluster, mostly of a few rows. A cluster
+of bounded size is one tile, multiplied with itself. Of larger ones, the first rounds multiply one
+leader row of each block with the block's other rows, in tiles of bounded size; rows linked there are in
+one component, and the last round multiplies only rows still in different components. What leaves a tile
+are the links that join components, not pairs.
 """
 
 import math
@@ -23,13 +27,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postings.llm.components import connected_components
-from postings.llm.workers import Pieces, map_batches, slices
+from postings.llm.workers import Pieces, map_batches, release, ship, slices
 from postings.shared import settle
 
 #: Sizes in one class lie within this ratio, and all sets of a class use the same column blocks.
 CLASS_RATIO = 1.5
+#: Size classes that a signature can name: a power of two.
+CLASSES = 64
+#: Column blocks beyond those that a link needs, as a share of the n-grams in which linked sets differ.
+SPARE_SHARE = 0.1
 #: Column blocks that the accumulation goes through.
-PRODUCT_BLOCKS = 8
+PRODUCT_BLOCKS = 4
+#: Rows of a tile on either side, and n-grams of them, about.
+TILE_PROBES, TILE_MEMBERS, TILE_GRAMS = 256, 1024, 2_000_000
+#: What a row of a tile is: a row of the one side, of the other, or of both.
+PROBE, MEMBER, BOTH = 1, 2, 3
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -75,94 +87,122 @@ def _size_class(n: int) -> int:
     return int(math.floor(math.log(n) / math.log(CLASS_RATIO) + 1e-9))
 
 
-def column_blocks(size_class: int, percent: int) -> tuple[int, int]:
-    """Number of column blocks of a class, and in how many more than one its sets then agree."""
-    # The largest sets that the class may hold are just below the next class; those of the class
-    # below come into it where they can reach its smallest.
+def _differ(total, percent: int):
+    """In how many n-grams linked sets of ``total`` n-grams together differ at most."""
+    return (100 - percent) * total // (100 + percent)
+
+
+def column_blocks(size_class: int, percent: int) -> tuple[int, int, int]:
+    """Number of column blocks of a class, in how many more than one its sets then agree, and the size
+    of its largest sets. Sets of the classes below come into it where they can reach its sets."""
     most = math.ceil(CLASS_RATIO ** (size_class + 1))
-    differ = (100 - percent) * 2 * most // (100 + percent)
+    differ = _differ(2 * most, percent)
     mean = most / CLASS_RATIO / (differ + 1)
-    spare = 1 + math.ceil(2 * (differ + 1) * math.exp(-mean))
-    return differ + 1 + spare, spare
+    spare = 1 + math.ceil(2 * (differ + 1) * math.exp(-mean) + SPARE_SHARE * differ)
+    return differ + 1 + spare, spare, most
 
 
-def signatures(grams: np.ndarray, percent: int) -> np.ndarray:
-    """A hash of every column block of a set, for its size class and, near the top, the next.
+def signatures(grams: np.ndarray, percent: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """A hash of every column block of a set, for its size class and those it reaches into, and for
+    each of these classes the number of blocks in which the set agrees with any set it is linked to.
 
     A block without n-grams gives none, unless the set has so many empty blocks that the blocks in
-    which it agrees with another could all be empty.
+    which it agrees with another could all be empty. The last bits of a hash are the class.
     """
     n = len(grams)
-    own = _size_class(n)
-    classes = [own]
-    # The largest set that can be linked to this one may lie in the next class.
-    if n * 100 // percent >= CLASS_RATIO ** (own + 1) * (1 - 1e-9):
-        classes.append(own + 1)
-    found = []
+    # Up to the class of the largest set that can be linked to this one.
+    largest = n * 100 // percent
+    found, needs = [], []
     with np.errstate(over="ignore"):
         mixed = _mixed(grams ^ _MIX)
-        for size_class in classes:
-            blocks, spare = column_blocks(size_class, percent)
-            block = (grams >> np.uint64(32)) % np.uint64(blocks)
+        for size_class in range(_size_class(n), _size_class(largest) + 1):
+            blocks, spare, most = column_blocks(size_class, percent)
+            block = ((grams >> np.uint64(32)) % np.uint64(blocks)).astype(np.int64)
             sums = np.zeros(blocks, dtype=np.uint64)
-            np.add.at(sums, block.astype(np.int64), mixed)
-            filled = np.bincount(block.astype(np.int64), minlength=blocks) > 0
+            np.add.at(sums, block, mixed)
+            filled = np.bincount(block, minlength=blocks) > 0
             label = np.arange(blocks, dtype=np.uint64) + np.uint64(size_class << 40)
             hashed = _mixed(sums ^ _mixed(label + _MIX))
-            found.append(hashed if blocks - filled.sum() > spare else hashed[filled])
-    return np.concatenate(found)
-
-
-def overlaps(a: list[np.ndarray], b: list[np.ndarray], percent: int) -> np.ndarray:
-    """Which of the pairs ``a[i], b[i]`` are linked: their overlaps, accumulated block by block."""
-    size_a = np.array([len(x) for x in a], dtype=np.int64)
-    size_b = np.array([len(x) for x in b], dtype=np.int64)
-    need = _least_overlap(size_a + size_b, percent)
-    alive = np.minimum(size_a, size_b) >= need
-    have = np.zeros(len(a), dtype=np.int64)
-    # Rows are sorted by column, so a block of columns is a range of each row.
-    edges = (np.arange(1, PRODUCT_BLOCKS, dtype=np.uint64) << np.uint64(64 - 3)).astype(np.uint64)
-    cuts_a = [np.concatenate(([0], np.searchsorted(x, edges), [len(x)])) for x in a]
-    cuts_b = [np.concatenate(([0], np.searchsorted(x, edges), [len(x)])) for x in b]
-    for k in range(PRODUCT_BLOCKS):
-        rows = np.flatnonzero(alive)
-        if not len(rows):
-            break
-        for i in rows:
-            x = a[i][cuts_a[i][k] : cuts_a[i][k + 1]]
-            y = b[i][cuts_b[i][k] : cuts_b[i][k + 1]]
-            if len(x) and len(y):
-                at = np.searchsorted(y, x)
-                at[at == len(y)] = 0
-                have[i] += np.count_nonzero(y[at] == x)
-        rest = np.array(
-            [min(len(a[i]) - cuts_a[i][k + 1], len(b[i]) - cuts_b[i][k + 1]) for i in rows], dtype=np.int64
-        )
-        alive[rows] = have[rows] + rest >= need[rows]
-    return alive & (have >= need)
+            hashed = (hashed & ~np.uint64(CLASSES - 1)) | np.uint64(size_class)
+            empty = int(blocks - filled.sum())
+            found.append(hashed if empty > spare else hashed[filled])
+            agree = blocks - _differ(n + min(largest, most), percent) - min(empty, spare)
+            needs.append((size_class, max(1, agree)))
+    return np.concatenate(found), needs
+
+
+def product_tile(
+    probes: list[np.ndarray],
+    members: list[np.ndarray],
+    apart: np.ndarray,
+    percent: int,
+) -> list[tuple[int, int]]:
+    """The linked pairs of a tile, as numbers of probe and member.
+
+    ``apart[i, j]`` tells whether the pair matters. The members' rows are turned into columns once;
+    each probe then adds up its overlaps with all members column block by column block, and members
+    that cannot reach their bound with what is left are discarded after each.
+    """
+    sizes = np.array([len(x) for x in members], dtype=np.int64)
+    grams = np.concatenate(members)
+    owner = np.repeat(np.arange(len(members)), sizes)
+    order = np.argsort(grams, kind="stable")
+    grams, owner = grams[order], owner[order]
+    columns, first = np.unique(grams, return_index=True)
+    first = np.append(first, len(grams))
+    # Rows are sorted, so a block of columns is a range of each row.
+    edges = np.arange(1, PRODUCT_BLOCKS, dtype=np.uint64) * np.uint64(2**64 // PRODUCT_BLOCKS)
+    member_cuts = np.array([np.searchsorted(x, edges) for x in members]).reshape(len(members), -1)
+    found = []
+    for i, probe in enumerate(probes):
+        need = _least_overlap(sizes + len(probe), percent)
+        alive = apart[i] & (np.minimum(sizes, len(probe)) >= need)
+        if not alive.any():
+            continue
+        have = np.zeros(len(members), dtype=np.int64)
+        cuts = [0, *np.searchsorted(probe, edges), len(probe)]
+        for k in range(PRODUCT_BLOCKS):
+            part = probe[cuts[k] : cuts[k + 1]]
+            at = np.searchsorted(columns, part)
+            at = at[columns[np.minimum(at, len(columns) - 1)] == part]
+            if len(at):
+                counts = first[at + 1] - first[at]
+                places = np.repeat(first[at] - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+                have += np.bincount(owner[places], minlength=len(members))
+            if k + 1 < PRODUCT_BLOCKS:
+                rest = np.minimum(len(probe) - cuts[k + 1], sizes - member_cuts[:, k])
+                alive &= have + rest >= need
+                if not alive.any():
+                    break
+        found += [(i, int(j)) for j in np.flatnonzero(alive & (have >= need))]
+    return found
 
 
 def gram_sets(docs: DataFrame, n: int, percent: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, text_hash, n_shingles, set_id, signatures`` of every row.
+    """``doc_id, text_hash, n_shingles, set_id, signatures, needs`` of every row.
 
-    ``set_id`` is a hash of the set; it and the signatures are null where the text has no word.
+    ``set_id`` is a hash of the set; it, the signatures and the number of them that must agree, by
+    class, are null where the text has no word.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler(n)
         for batch in slices(batches):
-            sizes, ids, blocks = [], [], []
+            sizes, ids, blocks, needs = [], [], [], []
             for value in batch.column("text").to_pylist():
                 grams = shingles(value)
                 sizes.append(len(grams))
                 if not len(grams):
                     ids.append(None)
                     blocks.append(None)
+                    needs.append(None)
                     continue
                 with np.errstate(over="ignore"):
                     whole = _mixed(np.add.reduce(_mixed(grams + _MIX)) + np.uint64(len(grams)))
                 ids.append(int(whole.astype(np.int64)))
-                blocks.append(signatures(grams, percent).astype(np.int64))
+                hashed, agree = signatures(grams, percent)
+                blocks.append(hashed.astype(np.int64))
+                needs.append([{"class": c, "need": need} for c, need in agree])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
@@ -170,11 +210,15 @@ def gram_sets(docs: DataFrame, n: int, percent: int, key: str = "doc_id", text:
                     pa.array(sizes, pa.int64()),
                     pa.array(ids, pa.int64()),
                     pa.array(blocks, pa.list_(pa.int64())),
+                    pa.array(needs, pa.list_(pa.struct([("class", pa.int64()), ("need", pa.int64())]))),
                 ],
-                ["doc_id", "text_hash", "n_shingles", "set_id", "signatures"],
+                ["doc_id", "text_hash", "n_shingles", "set_id", "signatures", "needs"],
             )
 
-    schema = "doc_id long, text_hash long, n_shingles long, set_id long, signatures array<long>"
+    schema = (
+        "doc_id long, text_hash long, n_shingles long, set_id long, signatures array<long>, "
+        "needs array<struct<class: long, need: long>>"
+    )
     return map_batches(_texts(docs, key, text), work, schema)
 
 
@@ -197,27 +241,53 @@ def _grams_of(docs: DataFrame, n: int) -> DataFrame:
 
     grams = map_batches(docs, work, "set_id long, grams binary")
     # A row that is there several times gives its set several times.
-    return grams.groupBy("set_id").agg(F.first("grams").alias("grams"))
-
-
-def _linked(pairs: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` that reach the similarity."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for begin in range(0, batch.num_rows, 256):
-                part = batch.slice(begin, 256)
-                sets = [
-                    [np.frombuffer(x, dtype="<u8") for x in part.column(name).to_pylist()]
-                    for name in ("grams_a", "grams_b")
-                ]
-                mask = pa.array(overlaps(*sets, percent))
-                yield part.select(["a", "b"]).filter(mask)
-
-    left = grams.select(F.col("set_id").alias("a"), F.col("grams").alias("grams_a"))
-    right = grams.select(F.col("set_id").alias("b"), F.col("grams").alias("grams_b"))
-    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "grams_a", "grams_b")
-    return map_batches(rows, work, "a long, b long")
+    grams = grams.groupBy("set_id").agg(F.first("grams").alias("grams"))
+    return grams.withColumn("n_grams", F.octet_length("grams") / 8)
+
+
+def _links_of_tile(tile: pa.Table, percent: int) -> list[tuple[int, int]]:
+    """Links of a tile that suffice to join what its links join."""
+    role = tile.column("role").to_numpy()
+    ids, components = tile.column("set_id").to_numpy(), tile.column("component").to_numpy()
+    sets = [np.frombuffer(x, dtype="<u8") for x in tile.column("grams").to_pylist()]
+    probes, members = np.flatnonzero(role != MEMBER), np.flatnonzero(role != PROBE)
+    if not len(probes) or not len(members):
+        return []
+    apart = components[probes][:, None] != components[members][None, :]
+    # A tile of a cluster with itself has every pair twice.
+    apart &= (role[probes][:, None] != BOTH) | (probes[:, None] < members[None, :])
+    parent = {c: c for c in components.tolist()}
+
+    def root(c: int) -> int:
+        while parent[c] != c:
+            parent[c] = parent[parent[c]]
+            c = parent[c]
+        return c
+
+    links = []
+    for i, j in product_tile([sets[p] for p in probes], [sets[m] for m in members], apart, percent):
+        a, b = root(int(components[probes[i]])), root(int(components[members[j]]))
+        if a != b:
+            parent[a] = b
+            links.append((int(ids[probes[i]]), int(ids[members[j]])))
+    return links
+
+
+def _linked(tiles: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
+    """The links ``a, b`` found in tiles."""
+
+    def work(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("tile")
+        cuts = np.flatnonzero(np.diff(rows.column("tile").to_numpy())) + 1
+        bounds = [0, *cuts.tolist(), len(rows)]
+        links = []
+        for begin, end in zip(bounds, bounds[1:], strict=False):
+            links += _links_of_tile(rows.slice(begin, end - begin), percent)
+        return pa.table({name: pa.array([link[i] for link in links], pa.int64()) for i, name in enumerate("ab")})
+
+    ship(tiles.sparkSession)
+    rows = tiles.join(grams.select("set_id", "grams"), "set_id")
+    return rows.groupBy("bucket").applyInArrow(work, "a long, b long")
 
 
 def ngram_components(
@@ -244,9 +314,12 @@ def ngram_components(
     # Column blocks in which different sets agree. Copies have the same set_id and count once.
     span = rows.groupBy("signature").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"))
     shared = settle(span.where("low != high").select("signature"), "shared-blocks")
+    release(docs.sparkSession)
     # Settled before the copies are taken out, so that the join of a signature with many can be split.
     members = settle(rows.join(shared, "signature", "left_semi"), "block-rows")
-    members = settle(members.distinct(), "block-members")
+    release(docs.sparkSession)
+    members = _agreeing(settle(members.distinct(), "block-members"), sets)
+    members = _once(members)
 
     wanted = members.select("set_id").distinct()
     owners = sets.groupBy("set_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("owner"))
@@ -254,61 +327,153 @@ def ngram_components(
     texts = _texts(docs, key, text)
     owned = texts["doc_id"].eqNullSafe(owners["doc_id"]) & (texts["text_hash"] == owners["text_hash"])
     grams = settle(_grams_of(texts.join(owners, owned).select("set_id", "text"), n), "grams")
+    release(docs.sparkSession)
+    members = settle(members.join(grams.select("set_id", "n_grams"), "set_id"), "sized-members")
 
-    links, component = None, None
+    members, small = _clusters(members)
+    links = settle(_linked(small, grams, percent), "links")
+    component = settle(connected_components(links), "components")
     for turn in range(leader_rounds + 1):
-        probes, members = _probes(members, component, turn, last=turn == leader_rounds)
-        pairs = settle(_pairs(probes, members), f"pairs-{turn}")
-        found = settle(_linked(pairs, grams, percent), f"links-{turn}")
-        links = found if links is None else links.unionByName(found)
+        release(docs.sparkSession)
+        last = turn == leader_rounds
+        members = _open(members, component, turn)
+        if members.isEmpty():
+            break
+        blocks = _coarse(members) if last else members
+        probes = _outsiders(blocks) if last else _leaders(blocks, turn)
+        found = settle(_linked(_tiles(probes, blocks), grams, percent), f"links-{turn}")
+        links = links.unionByName(found)
         component = settle(connected_components(links), f"components-{turn}")
     return _labelled(sets, component)
 
 
-def _probes(
-    members: DataFrame, component: DataFrame | None, turn: int, last: bool
-) -> tuple[DataFrame, DataFrame]:
-    """The rows of each block that are multiplied with the block's other rows, and those rows.
+def _agreeing(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """The members without the sets that agree with others in fewer blocks of a class than a link of
+    theirs would, and without the blocks in which only one set is left then."""
+    kind = F.col("signature").bitwiseAND(F.lit(CLASSES - 1))
+    members = members.withColumn("class", kind)
+    needs = sets.select("set_id", F.explode("needs").alias("n")).select("set_id", "n.*").distinct()
+    agree = members.groupBy("set_id", "class").agg(F.count("*").alias("blocks"))
+    enough = agree.join(needs, ["set_id", "class"]).where("blocks >= need").select("set_id", "class")
+    kept = settle(members.join(settle(enough, "agreeing"), ["set_id", "class"], "left_semi").select("signature", "set_id"), "agreeing-members")
+    shared = kept.groupBy("signature").agg(F.count("*").alias("rows")).where("rows > 1").select("signature")
+    return settle(kept.join(settle(shared, "still-shared"), "signature", "left_semi"), "still-members")
+
+
+def _once(members: DataFrame) -> DataFrame:
+    """Of the blocks in which the same sets agree, one: nothing new can be found in the others."""
+    sums = [F.count("*"), F.bit_xor(F.xxhash64("set_id")), F.bit_xor(F.xxhash64("set_id", F.lit("again")))]
+    blocks = members.groupBy("signature").agg(*[x.alias(f"c{i}") for i, x in enumerate(sums)])
+    chosen = blocks.groupBy("c0", "c1", "c2").agg(F.min("signature").alias("signature")).select("signature")
+    chosen = settle(chosen, "distinct-blocks")
+    return settle(members.join(chosen, "signature", "left_semi"), "distinct-members")
+
+
+def _clusters(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The members of large clusters with their ``cluster``, and the tiles of all other clusters."""
+    low = members.groupBy("signature").agg(F.min("set_id").alias("low"))
+    edges = members.join(settle(low, "block-lows"), "signature").select(F.col("set_id").alias("a"), F.col("low").alias("b"))
+    found = settle(connected_components(edges), "clusters").withColumnRenamed("component", "cluster")
+    sized = members.select("set_id", "n_grams").distinct().join(found, F.col("set_id") == F.col("node"))
+    sized = settle(sized.select("set_id", "n_grams", "cluster"), "clustered")
+    large = sized.groupBy("cluster").agg(F.count("*").alias("rows"), F.sum("n_grams").alias("grams"))
+    large = settle(large.where((F.col("rows") > TILE_MEMBERS) | (F.col("grams") > TILE_GRAMS)).select("cluster"), "large")
+    buckets = 1 + sized.count() // TILE_PROBES
+    small = sized.join(large, "cluster", "left_anti").select(
+        "set_id",
+        F.col("set_id").alias("component"),
+        F.lit(BOTH).alias("role"),
+        F.col("cluster").alias("tile"),
+        F.pmod(F.xxhash64("cluster"), F.lit(buckets)).alias("bucket"),
+    )
+    inside = settle(sized.join(large, "cluster", "left_semi").select("set_id", "cluster"), "in-large")
+    return settle(members.join(inside, "set_id"), "large-members"), small
 
-    Blocks whose rows are all in one component are done. In the first rounds a block has one probe,
-    chosen by a hash that differs from block to block; in the last, all rows outside the block's
-    largest component are probes, which covers every pair of rows from different components.
-    """
-    if component is None:
-        members = members.withColumn("component", F.col("set_id"))
-    else:
-        known = component.withColumnRenamed("component", "at")
-        members = (
-            members.drop("component")
-            .join(known, members["set_id"] == known["node"], "left")
-            .select("signature", "set_id", F.coalesce("at", "set_id").alias("component"))
-        )
-        members = settle(members, f"members-{turn}")
-        spread = members.groupBy("signature").agg(
-            F.min("component").alias("low"), F.max("component").alias("high")
-        )
-        open_blocks = settle(spread.where("low != high").select("signature"), f"open-{turn}")
-        members = settle(members.join(open_blocks, "signature", "left_semi"), f"open-members-{turn}")
-    if not last:
-        order = F.struct(F.xxhash64("signature", "set_id", F.lit(turn)), "set_id", "component")
-        probes = members.groupBy("signature").agg(F.min(order).alias("first"))
-        return probes.select(
-            "signature", F.col("first.set_id").alias("probe"), F.col("first.component").alias("probe_component")
-        ), members
+
+def _open(members: DataFrame, component: DataFrame, turn: int) -> DataFrame:
+    """The members with their components, of the blocks that have more than one."""
+    known = component.withColumnRenamed("component", "at")
+    members = (
+        members.drop("component")
+        .join(known, members["set_id"] == known["node"], "left")
+        .select("signature", "set_id", "n_grams", "cluster", F.coalesce("at", "set_id").alias("component"))
+    )
+    members = settle(members, f"members-{turn}")
+    spread = members.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    unfinished = settle(spread.where("low != high").select("signature"), f"open-{turn}")
+    return _once(settle(members.join(unfinished, "signature", "left_semi"), f"open-members-{turn}"))
+
+
+def _leaders(members: DataFrame, turn: int) -> DataFrame:
+    """One row of each block, chosen by a hash that differs from block to block."""
+    row = F.struct(F.xxhash64("signature", "set_id", F.lit(turn)), *members.columns)
+    first = members.groupBy("signature").agg(F.min(row).alias("first"))
+    return first.select("signature", *[f"first.{c}" for c in members.columns if c != "signature"])
+
+
+def _outsiders(members: DataFrame) -> DataFrame:
+    """All rows outside their block's largest component: every pair of rows from different components
+    has one of them."""
     sizes = members.groupBy("signature", "component").agg(F.count("*").alias("rows"))
     largest = sizes.groupBy("signature").agg(F.max_by("component", F.struct("rows", "component")).alias("largest"))
-    outside = members.join(settle(largest, "largest"), "signature").where("component != largest")
-    return outside.select(
-        "signature", F.col("set_id").alias("probe"), F.col("component").alias("probe_component")
-    ), members
+    joined = members.join(settle(largest, "largest"), "signature").where("component != largest")
+    return joined.drop("largest")
 
 
-def _pairs(probes: DataFrame, members: DataFrame) -> DataFrame:
-    """The distinct pairs of a probe and a row of its block in another component."""
-    joined = members.join(settle(probes, "probes"), "signature").where("component != probe_component")
-    return joined.select(
-        F.least("set_id", "probe").alias("a"), F.greatest("set_id", "probe").alias("b")
-    ).distinct()
+def _coarse(members: DataFrame) -> DataFrame:
+    """A whole cluster in place of its blocks where that is less work.
+
+    A pair that agrees in many blocks is multiplied in each; in the cluster it is multiplied once, but
+    so are pairs that agree in none.
+    """
+    wide = members.select(F.col("cluster").alias("signature"), "set_id", "n_grams", "cluster", "component").distinct()
+    wide = settle(wide, "wide")
+    work = []
+    for rows, name in ((members, "narrow_work"), (wide, "wide_work")):
+        sizes = rows.groupBy("cluster", "signature", "component").agg(F.count("*").alias("n"))
+        by_block = sizes.groupBy("cluster", "signature").agg(F.sum("n").alias("all"), F.max("n").alias("most"))
+        product = F.col("all").cast("double") * (F.col("all") - F.col("most"))
+        work.append(by_block.groupBy("cluster").agg(F.sum(product).alias(name)))
+    choice = work[0].join(work[1], "cluster").where("wide_work <= narrow_work").select("cluster")
+    choice = settle(choice, "wide-clusters")
+    return settle(
+        wide.join(choice, "cluster", "left_semi")
+        .select(members.columns)
+        .unionByName(members.join(choice, "cluster", "left_anti")),
+        "last-blocks",
+    )
+
+
+def _tiles(probes: DataFrame, members: DataFrame) -> DataFrame:
+    """``set_id, component, role, tile, bucket``: what each tile is made of.
+
+    The rows of a block are dealt over as many tiles as their number and their n-grams ask for, and
+    every tile of probes meets every tile of members: a probe is there once for each tile of members,
+    and a member for each of probes.
+    """
+    probes = settle(probes, "probes")
+    counted = [
+        rows.groupBy("signature").agg(
+            F.greatest(
+                F.ceil(F.count("*") / most), F.ceil(F.sum("n_grams") / TILE_GRAMS), F.lit(1).cast("long")
+            ).alias(name)
+        )
+        for rows, most, name in ((probes, TILE_PROBES, "probe_tiles"), (members, TILE_MEMBERS, "member_tiles"))
+    ]
+    tiles = settle(counted[0].join(counted[1], "signature"), "tiles")
+    sides = []
+    for rows, role, own, other in (
+        (probes, PROBE, "probe_tile", "member_tile"),
+        (members, MEMBER, "member_tile", "probe_tile"),
+    ):
+        dealt = rows.join(tiles, "signature").withColumn(
+            own, F.pmod(F.xxhash64("set_id", F.lit("tile")), F.col(f"{own}s"))
+        )
+        copies = F.explode(F.sequence(F.lit(0).cast("long"), F.col(f"{other}s") - 1))
+        dealt = dealt.withColumn(other, copies).withColumn("role", F.lit(role))
+        tile = F.xxhash64("signature", "probe_tile", "member_tile")
+        sides.append(dealt.select("set_id", "component", "role", tile.alias("tile"), tile.alias("bucket")))
+    return sides[0].unionByName(sides[1])
 
 
 def _labelled(sets: DataFrame, component: DataFrame) -> DataFrame:
