@@ -85,6 +85,7 @@ def without_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text")
     # With the hash of every row, which the join below needs anyway, no text moves before that join.
     found = exact_duplicates(docs, key, text, digest=True)
     dropped = found.where("not kept").select("doc_id", "text_sha256").distinct()
-    dropped = settle(dropped, "dedup-dropped")
+    # Their number grows with the texts: the same join at every size.
+    dropped = settle(dropped, "dedup-dropped").hint("merge")
     same = docs[key].eqNullSafe(dropped["doc_id"]) & (F.sha2(normalised(docs[text]), 256) == dropped["text_sha256"])
     return docs.join(dropped, same, "left_anti")

@@ -39,7 +39,7 @@ SPARE_SHARE = 0.1
 #: Column blocks that the accumulation goes through.
 PRODUCT_BLOCKS = 4
 #: Rows of a tile on either side, and n-grams of them, about.
-TILE_PROBES, TILE_MEMBERS, TILE_GRAMS = 256, 1024, 2_000_000
+TILE_PROBES, TILE_MEMBERS, TILE_GRAMS = 256, 2048, 2_000_000
 #: What a row of a tile is: a row of the one side, of the other, or of both.
 PROBE, MEMBER, BOTH = 1, 2, 3
 
@@ -326,7 +326,9 @@ def ngram_components(
     owners = settle(wanted.join(owners, "set_id").select("set_id", "owner.*"), "set-owners")
     texts = _texts(docs, key, text)
     owned = texts["doc_id"].eqNullSafe(owners["doc_id"]) & (texts["text_hash"] == owners["text_hash"])
-    grams = settle(_grams_of(texts.join(owners, owned).select("set_id", "text"), n), "grams")
+    # The number of owners grows with the texts; the texts are shuffled at every size.
+    texts = texts.join(owners.hint("merge"), owned)
+    grams = settle(_grams_of(texts.select("set_id", "text"), n), "grams")
     release(docs.sparkSession)
     members = settle(members.join(grams.select("set_id", "n_grams"), "set_id"), "sized-members")
 
@@ -502,6 +504,6 @@ def one_of_each_component(
     """
     found = ngram_components(docs, n, percent, key, text)
     dropped = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "text_hash")
-    dropped = settle(dropped.distinct(), "near-dropped")
+    dropped = settle(dropped.distinct(), "near-dropped").hint("merge")
     same = docs[key].eqNullSafe(dropped["doc_id"]) & (F.xxhash64(docs[text]) == dropped["text_hash"])
     return docs.join(dropped, same, "left_anti")
