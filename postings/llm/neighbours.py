@@ -5,7 +5,7 @@ beam search for every new point proposes its neighbours, and pruning keeps an ed
 is closer to its end by the relaxation factor, which leaves edges in all directions. Queries meet the
 shards in blocks; a beam search finds each query's candidates in each shard, and the best of all shards
 are its result. Largest inner product becomes smallest distance with one more coordinate, which brings
-all vectors of a shard to the same length. Points are searched and pruned a batch at a time.
+all vectors of a graph to the same length; a shard has a graph for each range of lengths. Points are searched and pruned a batch at a time.
 """
 
 import numpy as np
@@ -26,24 +26,27 @@ EXPAND, BATCH = 4, 512
 
 def _distances(points: np.ndarray, of: np.ndarray, targets: np.ndarray) -> np.ndarray:
     """Squared distances of each target row to the points numbered in the same row."""
-    near = points[of]
-    return np.maximum(
-        np.einsum("ijk,ijk->ij", near, near) + np.einsum("ik,ik->i", targets, targets)[:, None]
-        - 2 * np.einsum("ijk,ik->ij", near, targets),
-        0,
-    )
+    # Differences first: with long vectors, squares that are added and taken off again leave nothing.
+    between = points[of] - targets[:, None, :]
+    return np.einsum("ijk,ijk->ij", between, between)
+
+
+def _against(points: np.ndarray, of: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    """Inner products of each target row with the points numbered in the same row, negated."""
+    return -np.matmul(points[of], targets[:, :, None])[:, :, 0]
 
 
 def beam_search(
-    points: np.ndarray, edges: np.ndarray, start: int, targets: np.ndarray, beam: int
+    points: np.ndarray, edges: np.ndarray, start: int, targets: np.ndarray, beam: int, measure=_distances
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The points nearest to each target that a greedy search finds, with their distances, nearest
-    first, and the points it went through. -1 fills up rows; ``edges`` holds -1 where there is none."""
+    """The points nearest to each target by ``measure`` that a greedy search finds, with their
+    distances, nearest first, and the points it went through. -1 fills up rows; ``edges`` holds -1
+    where there is none."""
     count = len(targets)
     ids = np.full((count, beam), -1, dtype=np.int64)
     ids[:, 0] = start
     far = np.full((count, beam), np.inf, dtype=np.float64)
-    far[:, 0] = _distances(points, ids[:, :1], targets)[:, 0]
+    far[:, 0] = measure(points, ids[:, :1], targets)[:, 0]
     done = np.zeros((count, beam), dtype=bool)
     passed = []
     active = np.arange(count)
@@ -68,7 +71,7 @@ def beam_search(
         again = np.zeros_like(together, dtype=bool)
         np.put_along_axis(again, order[:, 1:], ordered[:, 1:] == ordered[:, :-1], axis=1)
         fresh = ~again[:, beam:] & (found >= 0)
-        new = np.where(fresh, _distances(points, np.maximum(found, 0), targets[active]), np.inf)
+        new = np.where(fresh, measure(points, np.maximum(found, 0), targets[active]), np.inf)
         all_far = np.concatenate((far[active], new), axis=1)
         best = np.argsort(all_far, axis=1, kind="stable")[:, :beam]
         ids[active] = np.take_along_axis(np.where(np.isfinite(all_far), together, -1), best, axis=1)
@@ -92,10 +95,7 @@ def robust_prune(
     valid = (candidates >= 0) & (candidates != of[:, None])
     valid[:, 1:] &= candidates[:, 1:] != candidates[:, :-1]
     safe = np.maximum(candidates, 0)
-    near = points[safe]
     own = _distances(points, safe, points[of])
-    squares = np.einsum("ijk,ijk->ij", near, near)
-    between = squares[:, :, None] + squares[:, None, :] - 2 * np.matmul(near, near.transpose(0, 2, 1))
     left = np.where(valid, own, np.inf)
     kept = np.full((len(of), degree), -1, dtype=np.int64)
     rows = np.arange(len(of))
@@ -106,8 +106,11 @@ def robust_prune(
             break
         kept[some, k] = candidates[rows, best][some]
         left[rows, best] = np.inf
-        # Distances are squared, and so is the factor.
-        left[alpha * alpha * between[rows, best] <= own] = np.inf
+        # Distances are squared, and so is the factor. Only rows and candidates that are left count.
+        row, column = np.nonzero(np.isfinite(left))
+        between = points[candidates[row, column]] - points[candidates[row, best[row]]]
+        covered = alpha * alpha * np.einsum("ik,ik->i", between, between) <= own[row, column]
+        left[row[covered], column[covered]] = np.inf
     return kept
 
 
@@ -153,11 +156,56 @@ def _link_back(
         edges[ends[part]] = robust_prune(points, ends[part], candidates, degree, alpha)
 
 
+def length_ranges(vectors: np.ndarray) -> list[np.ndarray]:
+    """Row numbers, ascending, of ranges of lengths, the longest first; in a range no vector is shorter
+    than half the longest. Lifted to one length, vectors of very different lengths would see each other
+    all in the same direction, and a graph of them would not lead to the long ones."""
+    lengths = np.linalg.norm(vectors, axis=1)
+    order = np.argsort(-lengths, kind="stable")
+    falling, ranges, begin = -lengths[order], [], 0
+    while begin < len(order):
+        end = int(np.searchsorted(falling, falling[begin] / 2, side="right"))
+        ranges.append(np.sort(order[begin:end]))
+        begin = end
+    return ranges
+
+
+def best_products(
+    vectors: np.ndarray, edges: np.ndarray, starts: np.ndarray, targets: np.ndarray, most: int, beam: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the ``most`` vectors of largest inner product with each target that are found, and the
+    products, largest first; of equal ones the first rows. -1 fills up rows.
+
+    Range after range is searched, the longest vectors first, for the targets that may still find
+    better: no product is larger than the product of the lengths.
+    """
+    lengths, reach = np.linalg.norm(vectors, axis=1), np.linalg.norm(targets, axis=1) * (1 + 1e-9)
+    ids, scores = np.full((len(targets), most), -1, dtype=np.int64), np.full((len(targets), most), -np.inf)
+    ranges = [np.flatnonzero(starts == start) for start in np.unique(starts)]
+    for members in sorted(ranges, key=lambda rows: -lengths[rows].max()):
+        open_ = np.flatnonzero(scores[:, -1] <= lengths[members].max() * reach)
+        if not len(open_):
+            break
+        wanted = targets[open_]
+        if len(members) <= beam:
+            found = np.tile(members, (len(wanted), 1))
+        else:
+            # By the inner product itself, which ranks points as their distance does when lifted.
+            found, _, _ = beam_search(vectors, edges, int(starts[members[0]]), wanted, beam, _against)
+        new = np.einsum("ijk,ik->ij", vectors[np.maximum(found, 0)], wanted)
+        new[found < 0] = -np.inf
+        found = np.concatenate((ids[open_], found), axis=1)
+        new = np.concatenate((scores[open_], new), axis=1)
+        best = np.lexsort((found, -new), axis=1)[:, :most]
+        ids[open_], scores[open_] = np.take_along_axis(found, best, axis=1), np.take_along_axis(new, best, axis=1)
+    return ids, scores
+
+
 def _lifted(vectors: np.ndarray) -> np.ndarray:
     """The vectors with one more coordinate, after which all have the length of the longest."""
     squares = (vectors**2).sum(axis=1)
     rest = np.sqrt(np.maximum(squares.max(initial=0) - squares, 0))
-    return np.concatenate((vectors, rest[:, None]), axis=1).astype(np.float32)
+    return np.concatenate((vectors, rest[:, None]), axis=1)
 
 
 def _matrix(column: pa.ChunkedArray, kind) -> np.ndarray:
@@ -188,18 +236,26 @@ def distinct_vectors(rows: DataFrame, copies: int) -> DataFrame:
 
 
 def build_index(vectors: DataFrame, shard_rows: int = SHARD) -> DataFrame:
-    """``shard, vec_ids, vector, start, edges`` of ``vector, vec_ids``: a graph in each shard.
+    """``shard, vec_ids, vector, start, edges`` of ``vector, vec_ids``: graphs in each shard.
 
-    Every vector is indexed. Edges are numbers of rows in the order of the shard's smallest ids.
+    Every vector is indexed. Edges are numbers of rows in the order of the shard's smallest ids. Rows
+    with the same ``start`` have lengths of one range and their own graph; few rows have no edges.
     """
     shards = max(1, -(-vectors.count() // shard_rows))
     sharded = vectors.withColumn("shard", F.pmod(F.xxhash64(F.col("vec_ids")[0]), F.lit(shards)))
 
     def build(rows: pa.Table) -> pa.Table:
         rows = rows.take(pa.array(np.argsort([ids[0] for ids in rows.column("vec_ids").to_pylist()], kind="stable")))
-        edges, start = grow_graph(_lifted(_matrix(rows.column("vector"), np.float64)))
+        vectors = _matrix(rows.column("vector"), np.float64)
+        edges, starts = np.full((len(rows), DEGREE), -1, dtype=np.int64), np.zeros(len(rows), dtype=np.int64)
+        for members in length_ranges(vectors):
+            starts[members] = members[0]
+            if len(members) > BEAM:
+                grown, start = grow_graph(_lifted(vectors[members]))
+                edges[members] = np.where(grown >= 0, members[grown], -1)
+                starts[members] = members[start]
         filled = [row[row >= 0] for row in edges]
-        rows = rows.append_column("start", pa.array(np.full(len(rows), start), pa.int32()))
+        rows = rows.append_column("start", pa.array(starts, pa.int32()))
         return rows.append_column("edges", pa.array(filled, pa.list_(pa.int32()))).select(
             ["shard", "vec_ids", "vector", "start", "edges"]
         )
@@ -216,7 +272,7 @@ def search_index(
 
     Every query goes to every shard, in blocks of queries, so a task holds a shard and a block. The
     score is the inner product of the original vectors in double precision; equal scores go to the
-    smaller id. A shard of no more vectors than the beam is wide is searched whole.
+    smaller id. Ranges of no more vectors than the beam is wide are searched whole.
     """
     index = settle(index, "index")
     shards = index.select("shard").distinct()
@@ -238,7 +294,7 @@ def search_index(
         ids = [ids[i] for i in order]
         graph = graph.take(pa.array(order))
         vectors = _matrix(graph.column("vector"), np.float64)
-        points = _lifted(vectors)
+        starts = graph.column("start").to_numpy()
         lists = graph.column("edges").to_pylist()
         edges = np.full((len(ids), max(1, *map(len, lists))), -1, dtype=np.int64)
         for row, found in enumerate(lists):
@@ -250,18 +306,10 @@ def search_index(
         flat, first = np.concatenate(ids), np.cumsum(copies) - copies
         for begin in range(0, len(names), BATCH):
             part = slice(begin, begin + BATCH)
-            targets = np.concatenate((wanted[part], np.zeros((len(wanted[part]), 1))), axis=1).astype(np.float32)
-            if len(ids) <= beam:
-                found = np.tile(np.arange(len(ids)), (len(targets), 1))
-            else:
-                found, _, _ = beam_search(points, edges, graph.column("start")[0].as_py(), targets, beam)
-            scores = np.einsum("ijk,ik->ij", vectors[np.maximum(found, 0)], wanted[part])
-            scores[found < 0] = -np.inf
             # One more than k: the query itself may be among them.
-            best = np.argsort(-scores, axis=1, kind="stable")[:, : k + 1]
-            chosen = np.take_along_axis(found, best, axis=1)
+            chosen, scores = best_products(vectors, edges, starts, wanted[part], k + 1, beam)
             row, column = np.nonzero(chosen >= 0)
-            chosen, values = chosen[row, column], np.take_along_axis(scores, best, axis=1)[row, column]
+            chosen, values = chosen[row, column], scores[row, column]
             repeat = copies[chosen]
             at = np.repeat(first[chosen], repeat) + np.arange(repeat.sum()) - np.repeat(np.cumsum(repeat) - repeat, repeat)
             out.append((np.repeat(names[part][row], repeat), flat[at], np.repeat(values, repeat)))

@@ -4,7 +4,14 @@ import numpy as np
 import pytest
 
 from postings.llm import queries
-from postings.llm.neighbours import beam_search, grow_graph, nearest_neighbours, robust_prune
+from postings.llm.neighbours import (
+    beam_search,
+    best_products,
+    grow_graph,
+    length_ranges,
+    nearest_neighbours,
+    robust_prune,
+)
 
 SCHEMA = "vec_id long, embedding array<float>, vector string, rank string, shard int, score string"
 
@@ -72,6 +79,34 @@ def test_copies_of_a_vector(spark):
     assert recall(found, expected) >= 0.95
 
 
+@pytest.mark.parametrize("lengths", ["one", "some", "spread"])
+def test_lengths_that_differ_much(spark, lengths):
+    rng = np.random.default_rng(7)
+    vectors = rng.normal(size=(20, 32))[rng.integers(0, 20, 1200)] + 0.7 * rng.normal(size=(1200, 32))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    if lengths == "spread":
+        vectors *= np.exp(2 * rng.normal(size=(1200, 1)))
+    else:
+        vectors[7 : 8 if lengths == "one" else 1200 : 60] *= 10_000
+    ids = list(range(1200))
+    found = collected(nearest_neighbours(frame(spark, ids, vectors), k=20, every=20))
+    assert recall(found, brute_force(ids, vectors, 20, 20)) >= 0.95
+
+
+def test_equal_products_at_the_cut():
+    rng = np.random.default_rng(2)
+    vectors = np.stack((rng.uniform(0.6, 0.9, 120), rng.uniform(-0.3, 0.3, 120)), axis=1)
+    vectors[40:70, 0] = 1
+    edges = np.tile(np.arange(120), (120, 1))
+    ids, products = best_products(vectors, edges, np.zeros(120, int), np.array([[1.0, 0.0]]), 5, 80)
+    assert ids.tolist() == [[40, 41, 42, 43, 44]] and products.tolist() == [[1.0] * 5]
+
+
+def test_ranges_of_lengths():
+    vectors = np.array([[1.0], [-4], [0.4], [2], [1.1], [0.3]])
+    assert [rows.tolist() for rows in length_ranges(vectors)] == [[1, 3], [0, 4], [2, 5]]
+
+
 def test_no_rows(spark):
     assert nearest_neighbours(frame(spark, [], [])).collect() == []
     assert nearest_neighbours(frame(spark, [20], [[1.0]])).collect() == []
