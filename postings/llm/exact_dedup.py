@@ -1,6 +1,6 @@
 """Exact duplicates by progressive refinement: length, then a hash of the beginning, then of all."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postings.shared import settle
@@ -89,3 +89,21 @@ def without_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text")
     dropped = settle(dropped, "dedup-dropped").hint("merge")
     same = docs[key].eqNullSafe(dropped["doc_id"]) & (F.sha2(normalised(docs[text]), 256) == dropped["text_sha256"])
     return docs.join(dropped, same, "left_anti")
+
+
+def one_of_each(docs: DataFrame, names: list[Column], key: str = "doc_id") -> DataFrame:
+    """One row, with all its columns, for each value of ``names``: that with the smallest id, rows
+    without an id last; of equal ids the one whose columns have the smallest hash.
+
+    Each partition keeps one row of a value before the shuffle, so very many copies cost little.
+    """
+    hashed = [name for name, kind in docs.dtypes if "map<" not in kind]
+    order = [F.col(key).asc_nulls_last(), F.xxhash64(*hashed)]
+    rank = F.row_number().over(Window.partitionBy(*names).orderBy(*order))
+    return docs.withColumn("rank in group", rank).where(F.col("rank in group") == 1).drop("rank in group")
+
+
+def one_of_each_text(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of each group of equal texts, with all its columns; also where rows of a group repeat the
+    smallest id, or none has an id."""
+    return one_of_each(docs, [F.sha2(normalised(F.col(text)), 256)], key)

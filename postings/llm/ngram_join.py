@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postings.llm.components import connected_components
+from postings.llm.exact_dedup import one_of_each
 from postings.llm.workers import Pieces, map_batches, release, ship, slices
 from postings.shared import settle
 
@@ -45,6 +46,9 @@ PROBE, MEMBER, BOTH = 1, 2, 3
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
+#: A text with a word, that is with anything but ASCII white space.
+WORD = r"[^\x20\x09-\x0D]"
+
 
 def _mixed(x: np.ndarray) -> np.ndarray:
     """The 64-bit finalizer of SplitMix."""
@@ -507,3 +511,27 @@ def one_of_each_component(
     dropped = settle(dropped.distinct(), "near-dropped").hint("merge")
     same = docs[key].eqNullSafe(dropped["doc_id"]) & (F.xxhash64(docs[text]) == dropped["text_hash"])
     return docs.join(dropped, same, "left_anti")
+
+
+def one_row_of_each_component(
+    docs: DataFrame, n: int = 5, percent: int = 80, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """One row, with all its columns, of each component: that with the smallest id, also where rows
+    repeat it or no row has an id. Texts without words are in no component and stay."""
+    found = ngram_components(docs, n, percent, key, text).where("component_set is not null")
+    found = settle(found.select("component_set", "doc_id", "text_hash"), "near-rows")
+    row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "text_hash")
+    first = settle(found.groupBy("component_set").agg(F.min(row).alias("first")), "near-first")
+    first = first.withColumnRenamed("component_set", "of")
+    joined = found.join(first, F.col("component_set") == F.col("of"))
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    dropped = settle(joined.where(~stays).select("doc_id", "text_hash").distinct(), "near-dropped").hint("merge")
+    same = docs[key].eqNullSafe(dropped["doc_id"]) & (F.xxhash64(docs[text]) == dropped["text_hash"])
+    kept = docs.join(dropped, same, "left_anti")
+    repeated = joined.where(stays).groupBy("of").agg(F.count("*").alias("rows")).where("rows > 1")
+    if repeated.isEmpty():
+        return kept
+    # Texts without words are as many as they were.
+    words = F.xxhash64(F.col(text))
+    wordless = kept.where(~F.coalesce(F.col(text).rlike(WORD), F.lit(False)))
+    return one_of_each(kept.where(F.col(text).rlike(WORD)), [F.col(key), words], key).unionByName(wordless)

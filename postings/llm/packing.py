@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,25 +61,26 @@ def token_pieces(
 ) -> DataFrame:
     """``doc_id, text_hash, salt, start, length, ids_crc32, doc_tokens``: each document's ids cut into
     full sequences and a rest. A document is its ids and the end id; a null text counts as empty.
-    ``salt`` is 0, or for rows without an id their place in the batch."""
+    ``salt`` is the place of the row in the scan: its partition, and its number there."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = library_ids(path)
         end = np.array([end_id], dtype="<u4").tobytes()
+        place = TaskContext.get().partitionId() << 40
         for batch in slices(batches):
             rows, salts, starts, lengths, checks, totals = [], [], [], [], [], []
-            known = batch.column("doc_id").is_valid().to_pylist()
             for row, value in enumerate(batch.column("text").to_pylist()):
                 data = encode(value) + end
                 total = len(data) // 4
                 for start in range(0, total, capacity):
                     piece = data[4 * start : 4 * (start + capacity)]
                     rows.append(row)
-                    salts.append(0 if known[row] else row)
+                    salts.append(place + row)
                     starts.append(start)
                     lengths.append(len(piece) // 4)
                     checks.append(zlib.crc32(piece))
                     totals.append(total)
+            place += len(batch)
             taken = batch.select(["doc_id", "text_hash"]).take(pa.array(rows, pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [*taken.columns, *(pa.array(x, pa.int64()) for x in (salts, starts, lengths, checks, totals))],
@@ -108,8 +110,8 @@ def pack_documents(
     """``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``, a row per piece.
 
     A piece that fills a sequence has it to itself. The rests are spread over groups by a hash of id,
-    text and seed, so that copies and the documents of one source spread evenly; rows without an id
-    are spread by their place in the scan, so that many such rows with one text do too. A document
+    text, place in the scan and seed, so that copies, rows that repeat an id and its text, and the
+    documents of one source spread evenly. Which documents meet depends on how the table is split. A document
     is encoded once, and only rows as above are shuffled. Every document has at least its end id, so
     null and empty texts make a piece of one token. Numbers of sequences are unique, not gapless.
     """

@@ -2,6 +2,7 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import corpus_pipeline
 from postings.llm import queries
 from postings.llm.exact_dedup import exact_duplicates, without_duplicates
 from tests.compare import assert_same, duckdb_rows, spark_rows
@@ -66,3 +67,23 @@ def test_query(spark):
     folder = "/root/testdata/sf0.001"
     sql = queries.oracles()["op4_exact_dedup"]
     assert_same(spark_rows(queries.QUERIES["op4_exact_dedup"](spark, folder)), duckdb_rows(sql, folder))
+
+
+def test_one_row_of_each_text(spark):
+    rows = [(None, "a b", 1), (None, "a  b", 2), (3, "c", 1), (3, "c", 1), (3, "c", 2), (2, "d", 1), (None, "d", 1), (4, "d", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(4)
+    found = corpus_pipeline.exact_dedup(spark, docs, "")
+    assert found.columns == docs.columns
+    assert Counter((row["doc_id"], row["text"].split()[0]) for row in found.collect()) == Counter(
+        [(None, "a"), (3, "c"), (2, "d")]
+    )
+    assert "WindowGroupLimit" in found._jdf.queryExecution().executedPlan().toString()
+    assert corpus_pipeline.exact_dedup(spark, cases.empty(spark), "").collect() == []
+
+
+def test_one_row_of_each_component(spark):
+    words = " ".join(f"w{i}" for i in range(60))
+    rows = [(None, words), (None, words + " x"), (3, "c d"), (3, "c d"), (5, "e f"), (5, "g h"), (7, " "), (7, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = Counter((row["doc_id"], row["text"][:3]) for row in corpus_pipeline.near_dedup(spark, docs, "").collect())
+    assert found == Counter([(None, "w0 "), (3, "c d"), (5, "e f"), (5, "g h"), (7, " "), (7, " ")])

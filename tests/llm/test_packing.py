@@ -76,3 +76,9 @@ def test_cases(spark):
         assert sum(row["doc_id"] is None and row["start"] == 0 for row in rows) == 3
         assert sum(row["doc_id"] == 100 and row["start"] == 0 for row in rows) == 3
     assert pack_documents(cases.empty(spark), tokenizer_path(WORD_BPE), END).collect() == []
+
+
+def test_rows_that_repeat_id_and_text_are_spread(spark):
+    docs = spark.range(400).selectExpr("7L as doc_id", "'one text' as text")
+    found = pack_documents(docs, tokenizer_path(WORD_BPE), END, 64, group_size=50).collect()
+    assert len(found) == 400 and len({row["sequence_id"] >> 32 for row in found}) == 8
