@@ -14,19 +14,24 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postings.llm.tokens import LETTERS, plain
 from postings.llm.workers import Pieces, map_batches, ship, slices
+from postings.shared import settle
 
 UNKNOWN = "und"
 
 #: A classifier is fitted on at most about so many texts of each language, chosen by a hash of the id.
 TEXTS_PER_LANGUAGE = 2000
-#: Trigrams kept of each language, and languages kept, the most frequent first.
-MOST_TRIGRAMS, MOST_LANGUAGES = 50_000, 200
+#: Trigrams kept of each language, the most frequent first.
+MOST_TRIGRAMS = 50_000
+#: Scores that are remembered of words, or held at once for the words of a slice, about: words times
+#: languages. With more languages, fewer words are remembered and slices are smaller.
+MOST_SCORES = 50_000_000
 #: What a change of language costs, in nats.
 SWITCH = 12.0
 #: A language counts as written in a script that has at least this share of its letters.
@@ -76,13 +81,28 @@ def trigrams(word: str) -> list[str]:
     return list(map("".join, zip(padded, padded[1:], padded[2:], strict=False)))
 
 
+class TrigramTable:
+    """Log-probabilities of trigrams by language, of which only those that a language has take room."""
+
+    def __init__(self, unseen: np.ndarray, starts: np.ndarray, at: np.ndarray, more: np.ndarray):
+        self.unseen, self.starts, self.at, self.more = unseen, starts, at, more
+
+    def sum_of(self, rows: list[int]) -> np.ndarray:
+        """The rows' scores added up; the row behind the last is that of unknown trigrams."""
+        scores, starts = len(rows) * self.unseen, self.starts
+        for row in rows:
+            part = slice(starts[row], starts[row + 1])
+            scores[self.at[part]] += self.more[part]
+        return scores
+
+
 @dataclass
 class LanguageModel:
     """Log-probabilities of trigrams by language, and the scripts of each language."""
 
     languages: list[str]
     index: dict[str, int]
-    table: np.ndarray
+    table: np.ndarray | TrigramTable
     scripts: dict[str, np.ndarray]
     switch: float = SWITCH
     words: Pieces | None = field(default=None, repr=False)
@@ -92,7 +112,10 @@ class LanguageModel:
         """Score of a word in every language; far below all others where its script rules one out."""
         unknown, get = len(self.index), self.index.get
         rows = [get(gram, unknown) for gram in trigrams(word)]
-        scores = np.add.reduce(self.table.take(rows, axis=0), axis=0)
+        if isinstance(self.table, TrigramTable):
+            scores = self.table.sum_of(rows)
+        else:
+            scores = np.add.reduce(self.table.take(rows, axis=0), axis=0)
         allowed = self.scripts.get(kind)
         if allowed is not None and not allowed.all():
             scores = np.where(allowed, scores, -1e6)
@@ -113,10 +136,15 @@ class LanguageModel:
     def text_scores(self, text: str) -> np.ndarray:
         """A row per word of the text: its scores, then its letters."""
         if self.pieces is None:
-            self.words, self.pieces = Pieces(self._word), Pieces(self._piece)
+            most = min(500_000, max(1_000, MOST_SCORES // max(1, len(self.languages))))
+            self.words, self.pieces = Pieces(self._word, most=most), Pieces(self._piece, most=most)
         joined = b"".join(map(self.pieces.__getitem__, text.split()))
         return np.frombuffer(joined, dtype="<f4").reshape(-1, len(self.languages) + 1)
 
+    def slice_bytes(self) -> int:
+        """Bytes of text whose words are scored at once."""
+        return min(12 << 20, max(1 << 16, 6 * MOST_SCORES // max(1, len(self.languages))))
+
     def __getstate__(self):
         return {**self.__dict__, "words": None, "pieces": None}
 
@@ -134,8 +162,9 @@ def viterbi(scores: np.ndarray, lengths: np.ndarray, switch: float) -> np.ndarra
     labels = scores.shape[1]
     # How many texts have a word at each place.
     active = np.searchsorted(-sorted_lengths, -np.arange(longest), side="left")
-    came = np.zeros((len(scores), labels), dtype=np.int16)
-    own = np.arange(labels, dtype=np.int16)
+    kind = np.int16 if labels < 1 << 15 else np.int32
+    came = np.zeros((len(scores), labels), dtype=kind)
+    own = np.arange(labels, dtype=kind)
     value = np.zeros((len(lengths), labels))
     for t in range(longest):
         n = active[t]
@@ -212,18 +241,18 @@ def fit_languages(
     """Learn from the texts that have a language and are not held out.
 
     Of each language at most about ``per_language`` whole texts are read, chosen by a hash of the id
-    against the number of its texts. Only sums per trigram and script reach the driver.
+    against the number of its texts. Every language that occurs is learned. Only sums per script, and
+    of at most ``MOST_TRIGRAMS`` trigrams of each language, reach the driver.
     """
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     rows = rows.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("texts")).orderBy(F.desc("texts"), "lang").limit(MOST_LANGUAGES)
-    sizes = {row["lang"]: row["texts"] for row in sizes.collect()}
-    languages = sorted(sizes)
+    sizes = settle(rows.groupBy("lang").agg(F.count("*").alias("texts")), "languages")
+    languages = sorted(row["lang"] for row in sizes.select("lang").collect())
     if not languages:
         return LanguageModel([], {}, np.zeros((1, 0)), {}, switch)
-    share = F.lit(0.0)
-    for name, texts in sizes.items():
-        share = F.when(F.col("lang") == name, min(1.0, per_language / texts)).otherwise(share)
+    # A row per language, as the model has too.
+    rows = rows.join(F.broadcast(sizes), "lang")
+    share = F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("texts"))
     chance = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 20)) / float(1 << 20)
     counts = map_batches(
         rows.where(chance < share).select("lang", "text"), _count_trigrams, "lang string, kind string, item string, n long"
@@ -232,7 +261,7 @@ def fit_languages(
     kept = counts.withColumn(
         "rank", F.expr("row_number() over (partition by lang, kind order by n desc, item)")
     ).where(F.col("rank") <= MOST_TRIGRAMS)
-    found = kept.select("lang", "kind", "item", "n").collect()
+    found = kept.select("lang", "kind", "item", "n").toArrow()
     return _model(languages, found, switch)
 
 
@@ -255,22 +284,25 @@ def _count_trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         )
 
 
-def _model(languages: list[str], found: list, switch: float) -> LanguageModel:
+def _model(languages: list[str], found: pa.Table, switch: float) -> LanguageModel:
     at = {name: i for i, name in enumerate(languages)}
-    grams = sorted({row["item"] for row in found if row["kind"] == "trigram"})
-    index = {gram: i for i, gram in enumerate(grams)}
-    counts = np.full((len(grams) + 1, len(languages)), 0.1)
+    grams = found.filter(pc.equal(found["kind"], "trigram"))
+    names = pc.unique(grams["item"]).sort()
+    row = pc.index_in(grams["item"], value_set=names).to_numpy().astype(np.int64)
+    column = pc.index_in(grams["lang"], value_set=pa.array(languages, pa.string())).to_numpy().astype(np.int64)
+    order = np.lexsort((column, row))
+    n, row, column = grams["n"].to_numpy()[order], row[order], column[order]
+    # Every trigram that any language has counts a tenth in each, and one more stands for unknown ones.
+    total = np.log(0.1 * (len(names) + 1) + np.bincount(column, weights=n, minlength=len(languages)))
+    starts = np.concatenate((np.searchsorted(row, np.arange(len(names) + 1)), [len(row)]))
+    table = TrigramTable(np.log(0.1) - total, starts, column.astype(np.int32), np.log(n + 0.1) - np.log(0.1))
     letters: dict[str, np.ndarray] = {}
-    for row in found:
-        if row["kind"] == "trigram":
-            counts[index[row["item"]], at[row["lang"]]] += row["n"]
-        else:
-            letters.setdefault(row["item"], np.zeros(len(languages)))[at[row["lang"]]] += row["n"]
-    table = np.log(counts / counts.sum(axis=0))
+    for kind in found.filter(pc.equal(found["kind"], "script")).to_pylist():
+        letters.setdefault(kind["item"], np.zeros(len(languages)))[at[kind["lang"]]] += kind["n"]
     total = np.maximum(sum(letters.values(), np.zeros(len(languages))), 1)
     scripts = {kind: n / total >= SCRIPT_SHARE for kind, n in letters.items()}
     scripts = {kind: allowed for kind, allowed in scripts.items() if allowed.any()}
-    return LanguageModel(languages, index, table, scripts, switch)
+    return LanguageModel(languages, {gram: i for i, gram in enumerate(names.to_pylist())}, table, scripts, switch)
 
 
 def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -283,7 +315,7 @@ def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: s
     known = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most_bytes=12 << 20):
+        for batch in slices(batches, most_bytes=known.value.slice_bytes()):
             names, shares = label_texts(known.value, batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(names, pa.string()), pa.array(shares, pa.float64())],
@@ -324,7 +356,7 @@ def keep_identified(
     known = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text, most_bytes=12 << 20):
+        for batch in slices(batches, text, most_bytes=known.value.slice_bytes()):
             texts = batch.column(text).to_pylist()
             if known.value.languages:
                 names, shares = label_texts(known.value, texts)

@@ -109,3 +109,17 @@ def test_languages_are_no_input(spark, model):
     other = docs.withColumn("lang", F.lit("xx")).withColumn("doc_id", F.col("doc_id") + 1000)
     first, second = ({row["doc_id"]: row["lang_pred"] for row in identify(x, model).where("doc_id is not null").collect()} for x in (docs, other))
     assert {i + 1000: lang for i, lang in first.items()} == second
+
+
+def test_every_language_is_learned(spark):
+    letters = "abcdefghijklmnopqrst"
+    made = [(f"l{a}{b}", f"{a}{b}{a} {b}{b}{a}{a} {a}{a}{b}") for a in letters for b in letters if a < b] + [
+        (f"r{a}{b}", f"z{a}{b} {a}z{b}z z{b}{a}x") for a in letters for b in letters if a < b
+    ]
+    rows = [(i * 4 + k, text, lang) for i, (lang, text) in enumerate(made) for k in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = fit_languages(docs)
+    learned = docs.where(~queries.held_out(docs["doc_id"])).select("lang").distinct().count()
+    assert len(model.languages) == learned > 300
+    found = identify(docs, model).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert np.mean([row["lang"] == row["lang_pred"] for row in found if row["lang"] in model.languages]) > 0.95
