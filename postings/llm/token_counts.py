@@ -22,14 +22,65 @@ from postings.llm.bpe import BytePairs, byte_pairs
 from postings.llm.tokens import PLAIN_WORDS, plain
 from postings.llm.workers import Pieces, map_batches, slices
 
-#: Up to this length, a piece whose characters change in number when normalised is counted prefix by
-#: prefix; longer ones by whole characters.
-SHORT = 256
-
 #: Prefixes of words up to so many bytes are remembered, so many of them at once.
 REMEMBERED, MOST_STATES = 24, 500_000
 
-_CLUSTER = regex.compile(r"\X", regex.DOTALL)
+_SPACE = regex.compile(r"\p{White_Space}")
+_LETTER = regex.compile(r"\p{L}")
+#: No contraction ('s, 'll) is longer.
+CONTRACTION = 3
+
+
+@functools.cache
+def _joining() -> frozenset[str]:
+    """Characters that composition may join to the one before, besides those with a combining class."""
+    found = {chr(c) for c in range(0x1161, 0x1176)} | {chr(c) for c in range(0x11A8, 0x11C3)}
+    for code in range(0x80, 0x30000):
+        parts = unicodedata.decomposition(chr(code))
+        if parts and parts[0] != "<":
+            found.update(chr(int(part, 16)) for part in parts.split()[1:])
+    return frozenset(found)
+
+
+@functools.cache
+def _opens(character: str) -> bool:
+    """Whether what stands before a character is normalised without regard to it and what follows."""
+    first = unicodedata.normalize("NFD", character)[0]
+    return not unicodedata.combining(first) and first not in _joining()
+
+
+class _Grown(bytearray):
+    """Bytes that can be added to, of which slices can be looked up."""
+
+    def __getitem__(self, at):
+        found = super().__getitem__(at)
+        return bytes(found) if isinstance(at, slice) else found
+
+
+class _Growing:
+    """The states of the prefixes of one word, to be added to at the end and cut back."""
+
+    def __init__(self, counter: "PrefixCounts"):
+        self.counter, self.data = counter, _Grown()
+        self.count, self.last, self.begins = [0], [-1], [0]
+
+    def add(self, text: str) -> None:
+        for character in text:
+            self.data += character.encode()
+            for end in range(len(self.count), len(self.data) + 1):
+                state = self.counter._state(self.data, end, False, self.count, self.last, self.begins)
+                self.count.append(state[0])
+                self.last.append(state[1])
+                self.begins.append(state[2])
+
+    def finished(self) -> int:
+        """Tokens of the word if it ends here."""
+        counter, end = self.counter, len(self.data)
+        return self.count[counter._last(self.data, end, counter.final, self.last, self.begins)[0]] + 1
+
+    def cut(self, size: int) -> None:
+        """Back to the first ``size`` bytes."""
+        del self.data[size:], self.count[size + 1 :], self.last[size + 1 :], self.begins[size + 1 :]
 
 
 class PrefixCounts:
@@ -142,15 +193,63 @@ class PrefixCounts:
         lowered = [c.lower() for c in text]
         if unicodedata.is_normalized("NFC", text) and all(len(c) == 1 for c in lowered):
             return self.of_normal("".join(lowered))
-        if len(text) <= SHORT:
-            return [len(self.pairs.encode_ordinary(text[:k])) for k in range(1, len(text) + 1)]
-        normal, begin, counted = self.pairs.normalise(text), 0, []
-        for cluster in _CLUSTER.findall(text):
-            begin += len(self.pairs.normalise(cluster))
-            counted += [begin] * len(cluster)
-        counts = [0, *self.of_normal(normal)]
-        # Inside a cluster the count is that of the cluster's end; the last one is that of the text.
-        return [counts[min(k, len(normal))] for k in counted[:-1]] + [counts[-1]]
+        found: list[int] = []
+        begin = 0
+        # No word and no composition goes over white space.
+        for match in _SPACE.finditer(text):
+            total = found[-1] if found else 0
+            found += [total + c for c in self._of_composed(text[begin : match.start()])]
+            found.append(found[-1] if found else 0)
+            begin = match.end()
+        total = found[-1] if found else 0
+        return found + [total + c for c in self._of_composed(text[begin:])]
+
+    def _of_composed(self, text: str) -> list[int]:
+        """The same for a text without white space that composition may change.
+
+        What stands before the last character that opens a new one is normalised for good. So each
+        prefix is the beginning of the normalised text and a short rest. Its last word, or what the
+        rest adds to it, is counted from the states at the end of that beginning.
+        """
+        normalise, words = self.pairs.normalise, self.pairs.words
+        normal, found = normalise(text), []
+        matches = [match.span() for match in words.finditer(normal)]
+        before = [0]
+        for begin, end in matches:
+            before.append(before[-1] + self._finished(normal[begin:end]))
+        at, fixed, segment = 0, 0, 0
+        growing, grown = _Growing(self), matches[0][0] if matches else 0
+        for k in range(len(text)):
+            if k and _opens(text[k]):
+                fixed += len(normalise(text[segment:k]))
+                segment = k
+            rest = normalise(text[segment : k + 1])
+            # The word that the last fixed character is in.
+            while at + 1 < len(matches) and matches[at][1] < fixed:
+                at += 1
+                growing, grown = _Growing(self), matches[at][0]
+            begin = matches[at][0] if matches else 0
+            if fixed - begin <= CONTRACTION:
+                # A mark alone may be one with letters behind it that composition has not changed yet.
+                first = at - 1 if at and normal[matches[at - 1][0] : begin] == "'" else at
+                begin = matches[first][0] if matches else 0
+                ends = words.findall(normal[begin:fixed] + rest)
+                found.append(before[first] + sum(map(self._finished, ends)))
+                continue
+            growing.add(normal[grown:fixed])
+            grown = fixed
+            size = len(growing.data)
+            # One character in place of the word so far, that goes on with the same ones.
+            stand_in = "a" if _LETTER.match(normal[begin]) else "!"
+            first, *others = words.findall(stand_in + rest)
+            growing.add(first[1:])
+            count = growing.finished()
+            growing.cut(size)
+            found.append(before[at] + count + sum(map(self._finished, others)))
+        return found
+
+    def _finished(self, word: str) -> int:
+        return len(self.pairs.remembered[word])
 
     def of_piece(self, piece: str) -> array:
         """Tokens of every prefix of a piece, by character, and once more for the space behind it."""
@@ -199,9 +298,8 @@ def prefix_counts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "
 
     ``prefix_tokens`` has one entry more than the text has characters (code points): entry k is the
     number of tokens of the first k characters encoded on their own, the last that of the whole text.
-    Special strings in a text count as the token they become. A null text counts as empty. In a run
-    without a space of more than 256 characters that normalisation changes in number (decomposed
-    accents, for example), prefixes that end inside a character count as up to the end of it.
+    Special strings in a text count as the token they become. A null text counts as empty. Prefixes
+    that end inside a character of several code points count as they are encoded, at every length.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

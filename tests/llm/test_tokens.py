@@ -102,6 +102,21 @@ def test_counts_of_every_prefix():
     assert counter(None).tolist() == counter("").tolist() == [0]
 
 
+def test_counts_of_every_prefix_of_long_runs():
+    path = tokenizer_path(WORD_BPE)
+    library, counter = Tokenizer.from_file(path), prefix_counter(path)
+    rng = np.random.default_rng(0)
+    kinds = [
+        ["e\u0301", "the", "o\u0308", "n"], ["\u1112\u1161\u11ab", "\u1100\u1161", "\uac00\u11a8"], ["\u304b\u3099", "\u306e", "\u30cf\u309a"],
+        ["\u0130", "a", "b"], ["a\u0301", "\n", "word", "\t", "!\u0301", "'s", "'", "'re", "7", "\u0327\u0301", "!!'", "'ll", "\u3000", "\u0344", "\u09c7\u09be"],
+    ]
+    for kind in [*kinds, *kinds[-1:] * 3]:
+        text = "".join(rng.choice(kind, 300)) + "e\u0301"
+        assert len(text) > 256
+        expected = [len(library.encode(text[:k], add_special_tokens=False).ids) for k in range(len(text) + 1)]
+        assert counter(text).tolist() == expected, text
+
+
 def test_budget_questions(spark):
     path = tokenizer_path(WORD_BPE)
     library = Tokenizer.from_file(path)
