@@ -19,6 +19,9 @@ from postings.sources.tables import document_ads, line_ads, order_ads, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Ads of a JSON array that is read whole, about.
+ARRAY_ADS = 10_000
+
 
 def _list_text(entries: str) -> F.Column:
     """An array of (word, count) as text, which both engines can compare."""
@@ -123,9 +126,12 @@ def array_to_lines_regions(spark: SparkSession, folder: str) -> DataFrame:
     arrays, lines = new_path(spark, "whole-arrays"), new_path(spark, "lines")
     ads = order_ads(spark, folder, place=True)
     # An array per part: the ads of a part are its lines, joined with commas, between brackets.
-    part = F.pmod(F.xxhash64("id"), F.lit(16))
+    # Their number grows with the ads, so that each stays small enough for a task; a file holds one.
+    ads = settle(ads, "array-ads")
+    parts = max(1, -(-ads.count() // ARRAY_ADS))
+    part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts))
     listed = ads.groupBy(part.alias("part")).agg(F.collect_list(F.struct(*ads.columns)).alias("ads"))
-    listed.select(F.to_json("ads")).repartition(16).write.text(arrays)
+    listed.select(F.to_json("ads")).write.option("maxRecordsPerFile", 1).text(arrays)
     snapshots.read_array(spark, arrays).write.json(lines)
     return regions.job_ads_per_region(snapshots.read_lines(spark, lines))
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from postings.operators.keywords import keywords_per_municipality, word_counts
 from postings.operators.pages import job_details, page_offsets, results_with_details, search_results
 from postings.operators.vacancies import municipality_summary, vacancies_per_municipality
+from postings.plans import registry
+from postings.plans.oracles import oracles
 from postings.plans.registry import QUERIES
 from postings.schema import ad_columns
 from postings.sources.snapshots import (
@@ -18,6 +20,7 @@ from postings.sources.snapshots import (
     write_archive,
 )
 from tests.ads import ad, frame
+from tests.compare import assert_same, duckdb_rows, spark_rows
 
 FOLDER = "/root/testdata/sf0.001"
 # These train models while they are built; their plans are read in the other tests.
@@ -130,3 +133,19 @@ def test_hot_keys_of_shuffle_joins_are_split(spark, tiny_skew):
     jobs = results_with_details(results, details)
     assert len(jobs.collect()) == 40_000
     assert "SortMergeJoin(skew=true)" in plan_of(jobs)
+
+
+def test_arrays_grow_in_number(spark, monkeypatch):
+    sizes = []
+
+    def read(spark, path):
+        sizes.extend(row["n"] for row in spark.read.text(path).selectExpr("json_array_length(value) as n").collect())
+        return read_array(spark, path)
+
+    read_array = registry.snapshots.read_array
+    monkeypatch.setattr(registry, "ARRAY_ADS", 20, raising=False)
+    monkeypatch.setattr(registry.snapshots, "read_array", read)
+    found = registry.array_to_lines_regions(spark, FOLDER)
+    ads = registry.order_ads(spark, FOLDER, place=True).count()
+    assert sum(sizes) == ads > 16 * 50 and max(sizes) <= 50
+    assert_same(spark_rows(found), duckdb_rows(oracles()["array_to_lines_regions"], FOLDER))
