@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postings.llm.bpe import digests
+from postings.llm.clustering import cluster_vectors, with_inertia
 from postings.llm.exact_dedup import exact_duplicates
 from postings.llm.language import fit_languages, held_out, identify
 from postings.llm.neighbours import nearest_neighbours
@@ -23,6 +24,7 @@ SHARDS = 8
 SEQUENCE = 4096
 END_ID = 2
 TOKEN_LIMIT = 2048
+CENTROIDS, ROUNDS = 40, 5
 
 
 def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
@@ -91,6 +93,12 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return read_token_files(manifest, target)
 
 
+def op11_clustering(spark: SparkSession, folder: str) -> DataFrame:
+    """All vectors in 40 clusters after five rounds of k-means in whole numbers."""
+    found = cluster_vectors(table(spark, folder, "embeddings"), k=CENTROIDS, rounds=ROUNDS)
+    return with_inertia(found).withColumnRenamed("id", "vec_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_toxicity": op2_toxicity,
@@ -102,9 +110,57 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_neighbours": op9_neighbours,
     "op10_token_files": op10_token_files,
+    "op11_clustering": op11_clustering,
 }
 
 
+def _clustering_sql() -> str:
+    """k-means in whole numbers: every round measures all vectors against all centroids."""
+    nearest = """
+        SELECT row, vec_id, v, arg_min(cluster, (distance, cluster)) AS cluster, min(distance) AS distance
+        FROM (
+            SELECT row, vec_id, v, cluster,
+                   list_sum(list_transform(range(1, 65), lambda i: CAST((v[i] - c[i]) * (v[i] - c[i]) AS BIGINT))) AS distance
+            FROM kept, {centroids}
+        )
+        GROUP BY row, vec_id, v
+    """
+    steps = [f"""
+        kept AS MATERIALIZED (
+            SELECT row_number() OVER () AS row, vec_id,
+                   list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor(256 * x) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(x))) = 64
+        ),
+        c0 AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY name) - 1 AS cluster, v AS c
+            FROM (SELECT sha256('2:' || CAST(vec_id AS VARCHAR)) AS name, v FROM kept ORDER BY name LIMIT {CENTROIDS})
+        )"""]
+    for number in range(ROUNDS):
+        steps.append(f"a{number} AS MATERIALIZED ({nearest.format(centroids=f'c{number}')})")
+        steps.append(f"""
+        m{number} AS MATERIALIZED (
+            SELECT cluster, list(CAST((s - ((s % n + n) % n)) // n AS BIGINT) ORDER BY dim) AS mean
+            FROM (
+                SELECT cluster, dim, sum(x) AS s, CAST(count(*) AS HUGEINT) AS n
+                FROM (SELECT cluster, unnest(range(1, 65)) AS dim, unnest(v) AS x FROM a{number})
+                GROUP BY cluster, dim
+            )
+            GROUP BY cluster
+        ),
+        c{number + 1} AS MATERIALIZED (
+            SELECT cluster, coalesce(mean, c) AS c FROM c{number} LEFT JOIN m{number} USING (cluster)
+        )""")
+    return "WITH " + ", ".join(steps) + f""",
+        last AS MATERIALIZED ({nearest.format(centroids=f'c{ROUNDS}')})
+        SELECT vec_id, CAST(cluster AS INTEGER) AS cluster, CAST(distance AS BIGINT) AS distance,
+               CAST(sum(distance) OVER (PARTITION BY cluster) AS BIGINT) AS cluster_inertia,
+               CAST(sum(distance) OVER () AS BIGINT) AS inertia,
+               sha256(array_to_string(c, ',')) AS centroid_sha256
+        FROM last JOIN c{ROUNDS} USING (cluster)
+    """
+
+
 def oracles() -> dict[str, str]:
     return {
         "op4_exact_dedup": """
@@ -120,4 +176,5 @@ def oracles() -> dict[str, str]:
             SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
             FROM hashed JOIN groups USING (text_sha256)
         """,
+        "op11_clustering": _clustering_sql(),
     }
