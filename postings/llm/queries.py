@@ -17,6 +17,7 @@ from postings.llm.token_counts import prefix_counts, total_tokens
 from postings.llm.token_files import read_token_files, write_token_files
 from postings.llm.tokens import BYTE_BPE, WORD_BPE, tokenizer_path
 from postings.llm.toxicity import fit_severity, grade_texts, labelled_sample
+from postings.llm.url_filter import Rule, judge_urls
 from postings.shared import new_path, settle
 from postings.sources.tables import table
 
@@ -25,6 +26,13 @@ SEQUENCE = 4096
 END_ID = 2
 TOKEN_LIMIT = 2048
 CENTROIDS, ROUNDS = 40, 5
+URL_RULES = (
+    Rule("com", "/", True),
+    Rule("example.com", "/en/", False),
+    Rule("www.example.com", "/en/", True),
+    Rule("net", "/es/", False),
+    Rule("net", "/fr/", False),
+)
 
 
 def op1_sharding(spark: SparkSession, folder: str) -> DataFrame:
@@ -99,6 +107,11 @@ def op11_clustering(spark: SparkSession, folder: str) -> DataFrame:
     return with_inertia(found).withColumnRenamed("id", "vec_id")
 
 
+def op12_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages allowed or blocked by their URLs."""
+    return judge_urls(table(spark, folder, "pages"), URL_RULES)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_toxicity": op2_toxicity,
@@ -111,6 +124,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_neighbours": op9_neighbours,
     "op10_token_files": op10_token_files,
     "op11_clustering": op11_clustering,
+    "op12_url_filter": op12_url_filter,
 }
 
 
@@ -161,6 +175,98 @@ def _clustering_sql() -> str:
     """
 
 
+def _url_filter_sql(order: int = 4, held: int = 5) -> str:
+    """The rules, the counts of every length, and the mixed chances from the shortest context up."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    gram = " || ".join(f"marked[i + {j}]" for j in range(1, order + 2))
+    back = f"(CAST('0x' || substr(md5(text), 1, 7) AS BIGINT) % {held} = 0)"
+    levels = []
+    for size in range(1, order + 2):
+        q = "1.0 / 256" if size == 1 else "{}"
+        qa, qb = (f"CAST({q} AS DOUBLE)".format(f"p{kind}") for kind in "ab")
+        join = "" if size == 1 else f"JOIN (SELECT s AS shorter, pa, pb FROM p{size - 1}) ON substr(s, 2) = shorter"
+        levels.append(f"""
+        p{size} AS MATERIALIZED (
+            SELECT s,
+                   CASE WHEN na > 0 THEN (CAST(a AS DOUBLE) + da * {qa}) / CAST(na + da AS DOUBLE) ELSE {qa} END AS pa,
+                   CASE WHEN nb > 0 THEN (CAST(b AS DOUBLE) + db * {qb}) / CAST(nb + db AS DOUBLE) ELSE {qb} END AS pb
+            FROM (
+                SELECT s, a, b, sum(a) OVER w AS na, sum(b) OVER w AS nb,
+                       CAST(count(*) FILTER (a > 0) OVER w AS DOUBLE) AS da,
+                       CAST(count(*) FILTER (b > 0) OVER w AS DOUBLE) AS db
+                FROM (SELECT right(gram, {size}) AS s, sum(a) AS a, sum(b) AS b FROM counts GROUP BY ALL)
+                WINDOW w AS (PARTITION BY left(s, {size - 1}))
+            ) {join}
+        )""")
+    fits = lambda rule: (
+        f"WHEN (host = '{rule.host}' OR ends_with(host, '.{rule.host}')) AND starts_with(path, '{rule.path}') "
+    )
+    longest = sorted(URL_RULES, key=lambda rule: -len(rule.name))
+    return f"""
+        WITH rest AS (
+            SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+            FROM pages
+        ),
+        parts AS (
+            SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)([^?#]*)', 1), '{upper}', '{lower}') AS host,
+                   regexp_extract(rest, '^([^/?#]*)([^?#]*)', 2) AS path
+            FROM rest
+        ),
+        rows AS MATERIALIZED (
+            SELECT page_id, host, path, host || path AS text,
+                   CASE {' '.join(fits(rule) + f"THEN '{rule.name}'" for rule in longest)} END AS rule,
+                   CASE {' '.join(fits(rule) + f"THEN {rule.allow}" for rule in longest)} END AS allow
+            FROM parts
+        ),
+        texts AS MATERIALIZED (SELECT text, allow, count(*) AS n FROM rows GROUP BY ALL),
+        spread AS MATERIALIZED (
+            SELECT text, allow, n, CASE WHEN {back} THEN 0 ELSE n END AS teaches, {gram} AS gram
+            FROM (
+                SELECT *, unnest(range(len(marked) - {order})) AS i
+                FROM (
+                    SELECT *, list_concat([{', '.join(['chr(2)'] * order)}],
+                                          regexp_extract_all(translate(text, '{upper}', '{lower}'), '(?s).'),
+                                          [chr(3)]) AS marked
+                    FROM texts
+                )
+            )
+        ),
+        counts AS MATERIALIZED (
+            SELECT gram, sum(CASE WHEN allow THEN teaches ELSE 0 END) AS a,
+                   sum(CASE WHEN NOT allow THEN teaches ELSE 0 END) AS b
+            FROM spread GROUP BY gram
+        ),
+        {', '.join(levels)},
+        scored AS MATERIALIZED (
+            SELECT text, allow, n, CAST(floor(CAST(sum(score) AS DOUBLE) / CAST(count(*) * 10000 AS DOUBLE)) AS BIGINT) AS ratio
+            FROM spread JOIN (SELECT s, CAST(floor(1000000 * (ln(pa) - ln(pb)) + 0.5) AS BIGINT) AS score FROM p{order + 1})
+                 ON gram = s
+            GROUP BY text, allow, n
+        ),
+        kinds AS (
+            SELECT ratio, sum(CASE WHEN allow THEN n ELSE 0 END) AS a, sum(CASE WHEN allow THEN 0 ELSE n END) AS b
+            FROM scored WHERE allow IS NOT NULL AND {back} GROUP BY ratio
+        ),
+        cuts AS (
+            SELECT floor((ratio + coalesce(lag(ratio) OVER (ORDER BY ratio), ratio) + 1) / 2.0) AS threshold,
+                   coalesce(sum(a) OVER below, 0) AS a_below, coalesce(sum(b) OVER below, 0) AS b_below,
+                   sum(a) OVER () AS n_a, sum(b) OVER () AS n_b
+            FROM kinds
+            WINDOW below AS (ORDER BY ratio ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+        ),
+        cut AS (
+            SELECT CAST(coalesce(any_value(threshold), 0) AS BIGINT) AS threshold
+            FROM (
+                SELECT threshold FROM cuts WHERE n_a > 0 AND n_b > 0
+                ORDER BY a_below * n_b + (n_b - b_below) * n_a, abs(threshold), threshold LIMIT 1
+            )
+        )
+        SELECT page_id, host, path, rule,
+               CASE WHEN coalesce(r.allow, ratio >= threshold) THEN 'allow' ELSE 'block' END AS verdict, ratio, threshold
+        FROM rows r JOIN scored s ON r.text = s.text, cut
+    """
+
+
 def oracles() -> dict[str, str]:
     return {
         "op4_exact_dedup": """
@@ -177,4 +283,5 @@ def oracles() -> dict[str, str]:
             FROM hashed JOIN groups USING (text_sha256)
         """,
         "op11_clustering": _clustering_sql(),
+        "op12_url_filter": _url_filter_sql(),
     }
