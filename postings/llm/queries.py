@@ -12,6 +12,7 @@ from postings.llm.language import fit_languages, held_out, identify
 from postings.llm.neighbours import nearest_neighbours
 from postings.llm.ngram_join import ngram_components
 from postings.llm.packing import pack_documents
+from postings.llm.phrases import collocations
 from postings.llm.sharding import assign_shards, number_slots, shard_of
 from postings.llm.token_counts import prefix_counts, total_tokens
 from postings.llm.token_files import read_token_files, write_token_files
@@ -112,6 +113,11 @@ def op12_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return judge_urls(table(spark, folder, "pages"), URL_RULES)
 
 
+def op13_phrases(spark: SparkSession, folder: str) -> DataFrame:
+    """The first 2000 phrases of each language."""
+    return collocations(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_toxicity": op2_toxicity,
@@ -125,6 +131,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_token_files": op10_token_files,
     "op11_clustering": op11_clustering,
     "op12_url_filter": op12_url_filter,
+    "op13_phrases": op13_phrases,
 }
 
 
@@ -267,6 +274,61 @@ def _url_filter_sql(order: int = 4, held: int = 5) -> str:
     """
 
 
+def _phrases_sql() -> str:
+    """All phrases of one to four words by their places in the pieces."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+        WITH pieces AS MATERIALIZED (
+            SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
+            FROM (
+                SELECT coalesce(lang, 'und') AS lang,
+                       unnest(regexp_split_to_array(translate(coalesce(text, ''), '{upper}', '{lower}'),
+                                                    '[.,;:!?\\x0A-\\x0D]')) AS piece
+                FROM documents
+            )
+        ),
+        totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+        f AS MATERIALIZED (
+            SELECT lang, p, count(*) AS a
+            FROM (
+                SELECT lang, unnest(list_transform(range(1, len(w) - size + 2), lambda i: w[i:i + size - 1])) AS p
+                FROM pieces, range(1, 5) sizes(size)
+            )
+            GROUP BY lang, p HAVING count(*) >= 30
+        ),
+        cuts AS (
+            SELECT lang, p, a, unnest(range(1, len(p))) AS k FROM f WHERE len(p) > 1
+        ),
+        scored AS (
+            SELECT c.lang, c.p, c.a, k, x.a AS l, y.a AS r,
+                   CAST((CAST(2000000 AS HUGEINT) * c.a) // (CAST(x.a AS HUGEINT) + y.a) AS BIGINT) AS score
+            FROM cuts c
+            JOIN f x ON x.lang = c.lang AND x.p = c.p[1:k]
+            JOIN f y ON y.lang = c.lang AND y.p = c.p[k + 1:]
+        ),
+        lowest AS (
+            SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+        ),
+        inside AS (
+            SELECT lang, p[i:i + size - 1] AS p, max(a) AS longest
+            FROM (
+                SELECT lang, p, a, size, unnest(range(1, len(p) - size + 2)) AS i
+                FROM f, range(2, 4) sizes(size) WHERE len(p) > size
+            )
+            GROUP BY ALL
+        ),
+        kept AS (
+            SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score
+            FROM lowest LEFT JOIN inside USING (lang, p)
+            WHERE longest IS NULL OR CAST(100 AS HUGEINT) * longest < CAST(80 AS HUGEINT) * a
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+               phrase, a, l, r, n, score
+        FROM kept JOIN totals USING (lang)
+        QUALIFY rank <= 2000
+    """
+
+
 def oracles() -> dict[str, str]:
     return {
         "op4_exact_dedup": """
@@ -284,4 +346,5 @@ def oracles() -> dict[str, str]:
         """,
         "op11_clustering": _clustering_sql(),
         "op12_url_filter": _url_filter_sql(),
+        "op13_phrases": _phrases_sql(),
     }
