@@ -15,6 +15,7 @@ from postings.operators.trends import vacancies_over_time
 from postings.operators.vacancies import vacancies_per_municipality
 from postings.shared import remove_intermediates, settle
 from postings.sources import snapshots
+from postings.sources.arrays import read_split_array
 from postings.sources.sinks import save_result
 
 ANALYSES: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -63,9 +64,9 @@ def land(
 ) -> Landed:
     """Copy a JSON snapshot into the archive as parquet and return the ads read from there.
 
-    The analyses each read a few fields only; from parquet they read no others. With
-    ``record_start`` an array is read by many tasks, see ``read_large_array``. An array that is not
-    whole is an error, and the day stays as it was. Of lines, only good ones reach the archive; the
+    The analyses each read a few fields only; from parquet they read no others. An array is read by
+    many tasks, see ``read_split_array``; with ``record_start`` it is not shuffled for that, see
+    ``read_large_array``. An array that is not whole is an error, and the day stays as it was. Of lines, only good ones reach the archive; the
     others are written as they are under the same day of ``<archive>-bad-lines``, and counted.
     """
     n_bad = 0
@@ -75,7 +76,7 @@ def land(
             raise ValueError(f"{unfinished['file']} does not end with the end of its array")
         ads = snapshots.read_large_array(spark, source, record_start)
     elif is_array:
-        ads = snapshots.read_array(spark, source)
+        ads = read_split_array(spark, source)
     else:
         parsed = settle(snapshots.parsed_lines(spark, source), "parsed-lines")
         ads, bad = snapshots.good_lines(parsed), snapshots.bad_lines(parsed)

@@ -158,6 +158,7 @@ def oracles() -> dict[str, str]:
         "result_json_roundtrip": _REGIONS,
         "large_array_regions": _REGIONS,
         "array_to_lines_regions": _REGIONS,
+        "split_array_regions": _REGIONS,
         "landed_regions": f"""
             WITH {_ADS}
             SELECT region, count(*) AS num_jobs,

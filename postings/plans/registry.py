@@ -15,6 +15,7 @@ from postings.operators import clusters, keywords, pages, regions, skills, trend
 from postings.plans.daily import land
 from postings.shared import new_path, settle
 from postings.sources import sinks, snapshots
+from postings.sources.arrays import read_split_array
 from postings.sources.tables import document_ads, line_ads, order_ads, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -124,16 +125,38 @@ def large_array_regions(spark: SparkSession, folder: str) -> DataFrame:
 def array_to_lines_regions(spark: SparkSession, folder: str) -> DataFrame:
     """Ads per region, of ads written as JSON arrays, read whole, written as lines and read back."""
     arrays, lines = new_path(spark, "whole-arrays"), new_path(spark, "lines")
-    ads = order_ads(spark, folder, place=True)
-    # An array per part: the ads of a part are its lines, joined with commas, between brackets.
-    # Their number grows with the ads, so that each stays small enough for a task; a file holds one.
+    _write_arrays(order_ads(spark, folder, place=True), F.struct("*"), arrays)
+    snapshots.read_array(spark, arrays).write.json(lines)
+    return regions.job_ads_per_region(snapshots.read_lines(spark, lines))
+
+
+def _write_arrays(ads: DataFrame, record: F.Column, path: str) -> None:
+    """JSON arrays of ``record``, one a file. Their number grows with the ads, so that each stays small
+    enough for a task that reads it whole."""
     ads = settle(ads, "array-ads")
     parts = max(1, -(-ads.count() // ARRAY_ADS))
     part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts))
-    listed = ads.groupBy(part.alias("part")).agg(F.collect_list(F.struct(*ads.columns)).alias("ads"))
-    listed.select(F.to_json("ads")).write.option("maxRecordsPerFile", 1).text(arrays)
-    snapshots.read_array(spark, arrays).write.json(lines)
-    return regions.job_ads_per_region(snapshots.read_lines(spark, lines))
+    listed = ads.groupBy(part.alias("part")).agg(F.collect_list(F.to_json(record)).alias("ads"))
+    # All on one line, with blanks around every comma.
+    text = F.concat(F.lit(" [ "), F.array_join("ads", " , "), F.lit(" ]\n"))
+    listed.select(text).write.option("maxRecordsPerFile", 1).text(path)
+
+
+def split_array_regions(spark: SparkSession, folder: str) -> DataFrame:
+    """Ads per region, of JSON arrays whose records begin with different keys and hold brackets in strings."""
+    path = new_path(spark, "mixed-arrays")
+    ads = order_ads(spark, folder, place=True)
+    odd = F.concat(F.lit('}], {"id": "\\'), F.repeat(F.lit("{\""), (F.col("id") % 5).cast("int")))
+    even = F.col("id") % 2 == 0
+    record = F.struct(
+        F.when(even, odd).alias("note"),
+        F.when(~even, odd).alias("headline"),
+        "workplace_address",
+        "publication_date",
+        F.col("id"),
+    )
+    _write_arrays(ads, record, path)
+    return regions.job_ads_per_region(read_split_array(spark, path))
 
 
 def landed_regions(spark: SparkSession, folder: str) -> DataFrame:
@@ -427,6 +450,7 @@ QUERIES: dict[str, Query] = {
     "archive_over_time": archive_over_time,
     "large_array_regions": large_array_regions,
     "array_to_lines_regions": array_to_lines_regions,
+    "split_array_regions": split_array_regions,
     "landed_regions": landed_regions,
     "line_quality": line_quality,
     "stop_words": stop_words_query,

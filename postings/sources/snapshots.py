@@ -14,8 +14,8 @@ DAY_COLUMNS = ("yyyy", "mm", "dd")
 def read_array(spark: SparkSession, path: str, schema: T.StructType = AD_SCHEMA) -> DataFrame:
     """Files that each hold one JSON array of ads; a file that is no whole array is an error.
 
-    Such a file is parsed whole by one task, as its records cannot be told apart from inside; for
-    files beyond a few hundred megabytes there is ``read_large_array``.
+    Such a file is parsed whole by one task. For files beyond a few hundred megabytes there is
+    ``postings.sources.arrays.read_split_array``, and ``read_large_array`` where all ads begin alike.
     """
     reader = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST")
     return reader.json(path)

@@ -1,0 +1,98 @@
+"""Arrays cut into records by many tasks, against the reader that takes a file as a whole."""
+
+import json
+import random
+
+import pytest
+
+from postings.sources.arrays import read_split_array
+from postings.sources.snapshots import read_array
+from tests.ads import rows
+
+
+@pytest.fixture
+def small_blocks(spark):
+    names = {"spark.sql.files.maxPartitionBytes": "300", "spark.sql.files.openCostInBytes": "1"}
+    before = {name: spark.conf.get(name) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
+
+def text(rng, most):
+    return "".join(rng.choices(['"', "\\", "{", "}", "[", "]", ",", " ", "\n", "ö", "🙂", "a", "\\u007d", ":"], k=rng.randrange(most)))
+
+
+def record(rng, number):
+    made = {
+        "id": str(number),
+        "headline": text(rng, 30),
+        "description": {"text": text(rng, 300), "conditions": None},
+        "must_have": {"skills": [{"label": text(rng, 9)}, None][: rng.randrange(3)]},
+        "number_of_vacancies": rng.randrange(9),
+        "other": [[], {}, [{"x": [text(rng, 9)]}], text(rng, 5)],
+    }
+    names = list(made)
+    rng.shuffle(names)
+    return {name: made[name] for name in names[rng.randrange(3) :]}
+
+
+def test_same_rows_as_the_whole_reader(spark, tmp_path, small_blocks):
+    rng = random.Random(7)
+    folder = tmp_path / "arrays"
+    folder.mkdir()
+    expected = 0
+    for number in range(40):
+        made = [record(rng, f"{number}-{i}") for i in range(rng.randrange(12))]
+        written = json.dumps(made, ensure_ascii=rng.random() < 0.5, indent=rng.choice([None, 0, 3]))
+        blank = " \n\t" * rng.randrange(3)
+        (folder / f"{number}.json").write_text(blank + written + blank)
+        expected += len(made)
+    (folder / "long.json").write_text(json.dumps([{"id": "long", "headline": "}" * 5000 + '"' * 3000 + "x" * 9000}] * 3))
+    found = read_split_array(spark, str(folder))
+    whole = read_array(spark, str(folder))
+    assert found.schema == whole.schema
+    found = rows(found)
+    assert len(found) == expected + 3
+    assert sorted(map(str, found)) == sorted(map(str, rows(whole)))
+
+
+def test_a_file_is_read_by_many_tasks(spark, tmp_path, small_blocks):
+    (tmp_path / "a.json").write_text(json.dumps([{"headline": "x" * 50, "id": str(i)} for i in range(2000)]))
+    found = read_split_array(spark, str(tmp_path / "a.json"))
+    assert found.count() == 2000
+    assert spark.read.option("lineSep", "}").text(str(tmp_path / "a.json")).rdd.getNumPartitions() > 100
+
+
+def test_nulls_and_nothing(spark, tmp_path, small_blocks):
+    (tmp_path / "a.json").write_text("[ ]")
+    (tmp_path / "b.json").write_text('﻿\n[ null, {"id":"1"} , null\n, {"id": "2"},null]\n')
+    (tmp_path / "c.json").write_text('[{}, {"id": null}]')
+    (tmp_path / "d.json").write_text("[]\n")
+    found = read_split_array(spark, str(tmp_path))
+    assert sorted(row["id"] or "" for row in found.collect()) == ["", "", "1", "2"]
+
+
+@pytest.mark.parametrize(
+    "broken",
+    [
+        '[{"id": "1"}',
+        '[{"id": "1"}, {"id": "2"]',
+        '[{"id": "1"} {"id": "2"}]',
+        '[{"id": "1"}, , {"id": "2"}]',
+        '[{"id": "1"},]',
+        '[,{"id": "1"}]',
+        '[{"id": "1}, {"id": "2"}]',
+        '{"id": "1"}',
+        '[{"id": "1"}, 5]',
+        '[{"id": "1"}]]',
+        '[{"id": "1"}][{"id": "2"}]',
+        "[",
+    ],
+)
+def test_what_is_no_whole_array_is_an_error(spark, tmp_path, small_blocks, broken):
+    (tmp_path / "a.json").write_text(broken)
+    with pytest.raises(Exception):
+        read_split_array(spark, str(tmp_path / "a.json")).collect()
