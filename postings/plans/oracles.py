@@ -258,17 +258,33 @@ def oracles() -> dict[str, str]:
         """,
         "cluster_ads_checks": """
             SELECT count(*) AS n_ads, CAST(0 AS BIGINT) AS n_lost_or_doubled, CAST(0 AS BIGINT) AS n_outside,
-                   CAST(1 AS BIGINT) AS n_scores, CAST(0 AS DOUBLE) AS score_difference,
-                   20 AS n_components
+                   CAST(0 AS DOUBLE) AS score_difference, 20 AS n_components,
+                   CAST(0 AS BIGINT) AS n_wrong_labels, CAST(0 AS BIGINT) AS n_centres_off
             FROM documents
         """,
+        "kept_clusters_checks": """
+            SELECT count(DISTINCT concat_ws('-', conv_id, turn)) AS n_ads, CAST(0 AS BIGINT) AS n_lost_or_doubled,
+                   CAST(0 AS BIGINT) AS n_differing, CAST(0 AS BIGINT) AS n_outside
+            FROM conversations
+        """,
+        "word_vector_checks": "SELECT count(*) AS n, true AS are_means FROM documents",
+        "component_checks": """
+            WITH flat AS (
+                SELECT vec_id, unnest(range(len(embedding))) AS dim, CAST(unnest(embedding) AS DOUBLE) AS x
+                FROM embeddings
+            ),
+            unit AS (SELECT vec_id, dim, x / sqrt(sum(x * x) OVER (PARTITION BY vec_id)) AS x FROM flat)
+            SELECT (SELECT count(*) FROM embeddings) AS n, true AS orthonormal, true AS eigenvectors, true AS shares,
+                   true AS reduced, round(sum(v), 6) AS variance
+            FROM (SELECT dim, var_samp(x) AS v FROM unit GROUP BY dim)
+        """,
         "reduce_vectors_checks": """
             SELECT count(*) AS n_vectors, 20 AS least_components, 20 AS most_components,
                    CAST(0 AS DOUBLE) AS largest_covariance
             FROM embeddings
         """,
         "choose_k_checks": """
-            SELECT CAST(range AS INTEGER) AS k, true AS in_range, true AS best_first FROM range(2, 11)
+            SELECT CAST(range AS INTEGER) AS k, true AS in_range, true AS as_from_sums FROM range(2, 11)
         """,
         "jobs_csv_roundtrip": "WITH " + _JOBS.format(columns=f"{_CHARS}, {_COMPANY}, job_key, {_TITLE}"),
         "normalize_vectors": """

@@ -3,6 +3,9 @@
 import datetime
 from collections.abc import Callable
 
+import numpy as np
+from pyspark.ml.clustering import KMeansModel
+from pyspark.ml.feature import PCA, Word2VecModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,15 +14,20 @@ from pyspark.sql import types as T
 from postings.functions import embedded
 from postings.functions.stopwords import place_words, stop_words
 from postings.functions.text import clean
-from postings.operators import clusters, keywords, pages, regions, skills, trends, vacancies
+from postings.operators import cluster_checks, clusters, keywords, pages, regions, skills, trends, vacancies
+from postings.operators.cluster_model import ClusterModel, fit_clusters, load_clusters
 from postings.plans.daily import land
-from postings.shared import new_path, settle
+from postings.schema import ad_columns
+from postings.shared import new_path, settle, shared_folder
 from postings.sources import sinks, snapshots
 from postings.sources.arrays import read_split_array
 from postings.sources.tables import document_ads, line_ads, order_ads, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: How far a centre may be from the mean of its ads: k-means ends when no centre moves far.
+CENTRE_ERROR = 0.01
+
 #: Ads of a JSON array that is read whole, about.
 ARRAY_ADS = 10_000
 
@@ -220,30 +228,91 @@ def ad_words(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_kept_clusters: dict[tuple[str, str], str] = {}
+
+
+def _clusters_path(spark: SparkSession, folder: str) -> str:
+    """The model fitted on the documents, once in an application: the queries of clusters read what was saved.
+
+    The words are trained in one part, so that every fit gives the same model.
+    """
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _kept_clusters:
+        path = f"{shared_folder(spark).rstrip('/')}/postings-models/{key[0]}/{len(_kept_clusters)}"
+        fit_clusters(document_ads(spark, folder), path, num_partitions=1)
+        _kept_clusters[key] = path
+    return _kept_clusters[key]
+
+
+def _clusters(spark: SparkSession, folder: str) -> ClusterModel:
+    return load_clusters(spark, _clusters_path(spark, folder))
+
+
 def cluster_ads(spark: SparkSession, folder: str) -> DataFrame:
-    return clusters.cluster_job_ads(document_ads(spark, folder))
+    return _clusters(spark, folder).assign(document_ads(spark, folder), with_score=True)
 
 
 def cluster_ads_checks(spark: SparkSession, folder: str) -> DataFrame:
-    """What must hold of the clusters of the documents, whatever the vectors are."""
+    """What must hold of the clusters of the documents, whatever the vectors are: every label is that of the
+    nearest of the model's centres, and a centre is the mean of its ads."""
     k = 6
     ads = document_ads(spark, folder)
-    found = settle(clusters.cluster_job_ads(ads, k=k, with_vectors=True), "clusters")
-    given = ads.select("id").groupBy("id").agg(F.count("*").alias("given"))
-    rows = found.groupBy("id").agg(F.count("*").alias("rows"))
-    lost = given.join(rows, "id", "full").where("not (given <=> rows)").count()
-    outside = F.count_if(~F.col("clusterNumber").between(0, k - 1))
-    score = _silhouette(found.select("id", F.col("clusterNumber").alias("label"), F.col("pcaFeaturesArray").alias("x")))
+    model = _clusters(spark, folder)
+    centres = model.stage(KMeansModel).clusterCenters()
+    predicted = settle(model.transform(ads).select("id", "pcaFeatures", "prediction"), "clusters")
+    found = predicted.select(
+        "id", F.col("prediction").alias("label"), vector_to_array("pcaFeatures").alias("x")
+    )
+    lost = _lost_or_doubled(ads, found)
+    outside = F.count_if(~F.col("label").between(0, k - 1))
+    own, evaluated = _silhouette(found), clusters.silhouette(predicted)
     return found.agg(
         F.count("*").alias("n_ads"),
         F.lit(lost).cast("long").alias("n_lost_or_doubled"),
         outside.alias("n_outside"),
-        F.count_distinct("silhouette_score").alias("n_scores"),
-        F.abs(F.round(F.first("silhouette_score") - F.lit(score), 6)).alias("score_difference"),
-        F.max(F.size("pcaFeaturesArray")).alias("n_components"),
+        F.abs(F.round(F.lit(evaluated - own), 6)).alias("score_difference"),
+        F.max(F.size("x")).alias("n_components"),
+        F.lit(cluster_checks.wrong_labels(predicted, centres)).cast("long").alias("n_wrong_labels"),
+        F.lit(sum(e > CENTRE_ERROR for e in cluster_checks.centre_errors(predicted, centres)))
+        .cast("long")
+        .alias("n_centres_off"),
     )
 
 
+def _lost_or_doubled(ads: DataFrame, found: DataFrame) -> int:
+    given = ads.select("id").groupBy("id").agg(F.count("*").alias("given"))
+    rows = found.groupBy("id").agg(F.count("*").alias("rows"))
+    return given.join(rows, "id", "full").where("not (given <=> rows)").count()
+
+
+def kept_clusters_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents' model applied to the conversations, as a later day, without a fit: every turn once, and
+    no label that a second model loaded from the same folder gives differently."""
+    turns = table(spark, folder, "conversations")
+    number = F.concat_ws("-", "conv_id", "turn")
+    # Turns may repeat: one ad for each number, with all that was said.
+    said = turns.groupBy(number.alias("number")).agg(F.min("role").alias("role"), F.max("text").alias("text"))
+    ads = settle(said.select(*ad_columns(id=F.col("number"), text=F.col("text"), label=F.col("role"))), "later-day")
+    one = settle(_clusters(spark, folder).assign(ads), "assigned")
+    other = _clusters(spark, folder).assign(ads).select("id", F.col("clusterNumber").alias("again"))
+    compared = one.join(other, "id")
+    return compared.agg(
+        F.count("*").alias("n_ads"),
+        F.lit(_lost_or_doubled(ads, one)).cast("long").alias("n_lost_or_doubled"),
+        F.count_if(~F.col("clusterNumber").eqNullSafe(F.col("again"))).alias("n_differing"),
+        F.count_if(~F.col("clusterNumber").between(0, 5)).alias("n_outside"),
+    )
+
+
+def word_vector_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """The documents' vectors are the means of their words' vectors, words without one counted."""
+    model = _clusters(spark, folder)
+    found = cluster_checks.document_vector_error(
+        model.transform(document_ads(spark, folder)), model.stage(Word2VecModel)
+    )
+    return found.select("n", (F.col("error") < 1e-9).alias("are_means"))
+
+
 def _silhouette(points: DataFrame) -> float:
     """The mean silhouette of ``id, label, x`` worked out from sums per cluster and dimension."""
     square = F.aggregate("x", F.lit(0.0), lambda total, v: total + v * v)
@@ -416,12 +485,26 @@ def reduce_vectors_checks(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def component_checks(spark: SparkSession, folder: str) -> DataFrame:
+    """The loadings are unit vectors at right angles, eigenvectors of the covariance with the largest
+    eigenvalues, and the reduced vectors vary by just these along each."""
+    unit = settle(clusters.normalized(_vectors(spark, folder)).select("vec_id", "normFeatures"), "unit")
+    model = PCA(k=20, inputCol="normFeatures", outputCol="pcaFeatures").fit(unit)
+    loadings, shares = model.pc.toArray(), model.explainedVariance.toArray()
+    errors = cluster_checks.component_errors(cluster_checks.moments(unit, "normFeatures"), loadings, shares)
+    reduced = cluster_checks.moments(clusters.reduced(unit), "pcaFeatures")
+    apart = np.abs(reduced.covariance - np.diag(shares * errors.variance)).max() / errors.variance
+    rows = [(reduced.n, *(bool(e < 1e-6) for e in (errors.orthonormal, errors.eigen, errors.share, apart)), round(errors.variance, 6))]
+    return spark.createDataFrame(
+        rows, "n long, orthonormal boolean, eigenvectors boolean, shares boolean, reduced boolean, variance double"
+    )
+
+
 def choose_k_checks(spark: SparkSession, folder: str) -> DataFrame:
-    """Each number of clusters tried has one score, they lie in [-1, 1], and the best comes first."""
-    scores = choose_k(spark, folder).collect()
-    ordered = scores == sorted(scores, key=lambda row: (-row["silhouette"], row["k"]))
-    rows = [(row["k"], -1 <= row["silhouette"] <= 1, ordered) for row in scores]
-    return spark.createDataFrame(rows, "k int, in_range boolean, best_first boolean")
+    """Each number of clusters has the score that sums per cluster give, in [-1, 1]."""
+    scores = cluster_checks.score_differences(_vectors(spark, folder), range(2, 11), "features")
+    rows = [(k, -1 <= score <= 1, difference < 1e-6) for k, score, difference in scores]
+    return spark.createDataFrame(rows, "k int, in_range boolean, as_from_sums boolean")
 
 
 def silhouette_labels(spark: SparkSession, folder: str) -> DataFrame:
@@ -461,6 +544,8 @@ QUERIES: dict[str, Query] = {
     "ad_words": ad_words,
     "cluster_ads": cluster_ads,
     "cluster_ads_checks": cluster_ads_checks,
+    "kept_clusters_checks": kept_clusters_checks,
+    "word_vector_checks": word_vector_checks,
     "clean_text": clean_text,
     "search_results": search_results,
     "first_search_results": first_search_results,
@@ -472,6 +557,7 @@ QUERIES: dict[str, Query] = {
     "normalize_vectors": normalize_vectors,
     "reduce_vectors": reduce_vectors,
     "reduce_vectors_checks": reduce_vectors_checks,
+    "component_checks": component_checks,
     "silhouette_labels": silhouette_labels,
     "choose_k": choose_k,
     "choose_k_checks": choose_k_checks,

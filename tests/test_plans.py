@@ -27,6 +27,9 @@ FOLDER = "/root/testdata/sf0.001"
 TRAINING = {
     "cluster_ads",
     "cluster_ads_checks",
+    "kept_clusters_checks",
+    "word_vector_checks",
+    "component_checks",
     "choose_k",
     "choose_k_checks",
     "reduce_vectors",
