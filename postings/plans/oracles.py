@@ -165,6 +165,36 @@ def oracles() -> dict[str, str]:
                    (SELECT count(*) FROM orders WHERE o_orderkey % 7 = 0) AS n_bad_lines
             FROM ads WHERE CAST(id AS BIGINT) % 7 <> 0 GROUP BY region
         """,
+        "landing_counts": """
+            SELECT CAST(year(o_orderdate) AS INTEGER) AS yyyy, CAST(month(o_orderdate) AS INTEGER) AS mm, 1 AS dd,
+                   count(*) AS n, (SELECT count(*) FROM orders) AS n_lines,
+                   (SELECT count(*) FROM orders WHERE o_orderkey % 7 <> 0) AS n_ads,
+                   (SELECT count(*) FROM orders WHERE o_orderkey % 7 = 0) AS n_bad_lines
+            FROM orders WHERE o_orderkey % 7 <> 0 GROUP BY 1, 2
+        """,
+        "replaced_day": f"""
+            WITH {_ADS}
+            SELECT 1995 AS yyyy, CAST(month(day) AS INTEGER) AS mm, 1 AS dd, count(*) AS n,
+                   CAST(sum(vacancies) AS BIGINT) AS vacancies
+            FROM ads JOIN orders ON o_orderkey = CAST(id AS BIGINT)
+            WHERE date_trunc('month', day) = DATE '1995-04-01'
+                  OR date_trunc('month', day) = DATE '1995-03-01' AND o_orderpriority = '1-URGENT'
+            GROUP BY 2
+        """,
+        "collection_roundtrip": _REGIONS,
+        "overview": f"""
+            WITH {_ADS},
+            asked AS (SELECT p_type FROM lineitem JOIN part ON l_partkey = p_partkey),
+            rows AS (
+                SELECT 'day' AS kind, CAST(day AS VARCHAR) AS key, vacancies FROM ads
+                UNION ALL SELECT 'municipality', municipality, vacancies FROM ads
+                UNION ALL SELECT 'region', region, vacancies FROM ads
+                UNION ALL SELECT unnest(['day', 'municipality', 'region']), NULL, NULL FROM asked
+                UNION ALL SELECT 'skill', p_type, NULL FROM asked WHERE p_type IS NOT NULL
+            )
+            SELECT kind, key, count(*) AS n, count(vacancies) AS n_stated, CAST(sum(vacancies) AS BIGINT) AS vacancies
+            FROM rows GROUP BY kind, key
+        """,
         "line_quality": "SELECT o_orderkey % 7 = 0 AS is_bad, count(*) AS n FROM orders GROUP BY 1",
         "top_skills": """
             SELECT p_type AS skill_label, count(*) AS count

@@ -16,11 +16,13 @@ from postings.functions.stopwords import place_words, stop_words
 from postings.functions.text import clean
 from postings.operators import cluster_checks, clusters, keywords, pages, regions, skills, trends, vacancies
 from postings.operators.cluster_model import ClusterModel, fit_clusters, load_clusters
+from postings.operators.overview import overview_counts
 from postings.plans.daily import land
 from postings.schema import ad_columns
 from postings.shared import new_path, settle, shared_folder
 from postings.sources import sinks, snapshots
 from postings.sources.arrays import read_split_array
+from postings.sources.collections import CollectionSource, read_collection
 from postings.sources.tables import document_ads, line_ads, order_ads, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,11 +119,14 @@ def _archived_orders(spark: SparkSession, folder: str) -> DataFrame:
     """All orders, archived as one snapshot per month of publication."""
     root = new_path(spark, "archive")
     ads = order_ads(spark, folder, vacancies=True)
-    month = F.trunc(F.to_date("publication_date"), "month").cast("date")
-    snapshots.write_archive(ads, root, month, fmt="parquet")
+    snapshots.write_archive(ads, root, _month(), fmt="parquet")
     return snapshots.read_archive(spark, root, fmt="parquet")
 
 
+def _month() -> F.Column:
+    return F.trunc(F.to_date("publication_date"), "month").cast("date")
+
+
 def large_array_regions(spark: SparkSession, folder: str) -> DataFrame:
     """Ads per region, of ads written as the comma-separated records of JSON arrays."""
     path = new_path(spark, "array")
@@ -146,7 +151,7 @@ def _write_arrays(ads: DataFrame, record: F.Column, path: str) -> None:
     part = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(parts))
     listed = ads.groupBy(part.alias("part")).agg(F.collect_list(F.to_json(record)).alias("ads"))
     # All on one line, with blanks around every comma.
-    text = F.concat(F.lit(" [ "), F.array_join("ads", " , "), F.lit(" ]\n"))
+    text = F.concat(F.lit(" [ "), F.array_join("ads", " , "), F.lit(" ]"))
     listed.select(text).write.option("maxRecordsPerFile", 1).text(path)
 
 
@@ -176,6 +181,50 @@ def landed_regions(spark: SparkSession, folder: str) -> DataFrame:
     return counted.withColumn("n_bad_lines", F.lit(landed.n_bad_lines).cast("long"))
 
 
+def landing_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Ads of every month, with all, good and bad lines as observed while they were landed by month."""
+    path, archive = new_path(spark, "cut-lines"), new_path(spark, "landed")
+    _write_lines(order_ads(spark, folder, vacancies=True), path)
+    landed = land(spark, path, archive, _month())
+    return snapshots.manifest(landed.ads).select(
+        "*",
+        F.lit(landed.n_ads + landed.n_bad_lines).cast("long").alias("n_lines"),
+        F.lit(landed.n_ads).cast("long").alias("n_ads"),
+        F.lit(landed.n_bad_lines).cast("long").alias("n_bad_lines"),
+    )
+
+
+def replaced_day(spark: SparkSession, folder: str) -> DataFrame:
+    """Two days of an archive by month, after the first was landed again with only its ads of urgent orders."""
+    root = new_path(spark, "replaced")
+    ads = order_ads(spark, folder, vacancies=True)
+    snapshots.write_archive(ads, root, _month(), fmt="parquet")
+    again, other = datetime.date(1995, 3, 1), datetime.date(1995, 4, 1)
+    urgent = table(spark, folder, "orders").where("o_orderpriority = '1-URGENT'")
+    fewer = ads.where(_month() == F.lit(again)).join(urgent, F.col("id") == F.col("o_orderkey"), "left_semi")
+    snapshots.write_archive(fewer, root, again, fmt="parquet")
+    archive = snapshots.read_archive(spark, root, fmt="parquet")
+    days = snapshots.on_day(archive, again).unionByName(snapshots.on_day(archive, other))
+    return days.groupBy(*snapshots.DAY_COLUMNS).agg(
+        F.count("*").alias("n"), F.sum("number_of_vacancies").alias("vacancies")
+    )
+
+
+def collection_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
+    """Every ad as a document of a collection that held only some before; read back per region."""
+    target = new_path(spark, "collections")
+    ads = order_ads(spark, folder, place=True)
+    for documents in (ads.where("workplace_address.region is null"), ads):
+        sinks.save_result(documents, "ads", target, fmt=CollectionSource.name(), database="postings")
+    return regions.job_ads_per_region(read_collection(spark, target, "postings", "ads", ads.schema))
+
+
+def overview(spark: SparkSession, folder: str) -> DataFrame:
+    """Ads and openings per day, municipality, region and skill from one pass over orders and order lines."""
+    ads = order_ads(spark, folder, place=True, vacancies=True).unionByName(line_ads(spark, folder))
+    return overview_counts(ads)
+
+
 def line_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Good and bad lines, of ads written as JSON lines with every seventh cut short."""
     path = new_path(spark, "lines")
@@ -535,6 +584,10 @@ QUERIES: dict[str, Query] = {
     "array_to_lines_regions": array_to_lines_regions,
     "split_array_regions": split_array_regions,
     "landed_regions": landed_regions,
+    "landing_counts": landing_counts,
+    "replaced_day": replaced_day,
+    "collection_roundtrip": collection_roundtrip,
+    "overview": overview,
     "line_quality": line_quality,
     "stop_words": stop_words_query,
     "place_words_split": place_words_split,

@@ -4,6 +4,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 
+from postings.sources.collections import CollectionSource, write_collection
+
 _FILE_FORMATS = ("parquet", "json", "csv", "orc", "avro")
 
 
@@ -17,10 +19,16 @@ def save_result(
 ) -> None:
     """Write a result under its name.
 
-    File formats go to ``<target>/<name>``. Any other format is that of a connector on the session's
+    File formats go to ``<target>/<name>``. ``fmt="collection"`` replaces a collection of documents under
+    ``<target>/<database>/<name>`` once all tasks are done, see ``collections``. Any other format is that of a connector on the session's
     class path and gets the name as its ``collection`` with the options given, for example
     ``save_result(df, "vacancies", fmt="mongodb", database="...", **{"connection.uri": ...})``.
     """
+    if fmt == CollectionSource.name():
+        if target is None:
+            raise ValueError("a collection needs a target folder")
+        write_collection(df, mode, **{"uri": target, "collection": name, "database": "postings", **options})
+        return
     writer = df.write.format(fmt).mode(mode)
     if fmt in _FILE_FORMATS:
         if target is None:
