@@ -100,23 +100,18 @@ class Index:
 
 
 def ngrams(
-    text: np.ndarray, symbols: int, most: int, pair_counts: Callable[[np.ndarray, np.ndarray], np.ndarray] | None = None
+    text: np.ndarray, symbols: int, most: int, keep: Callable[[np.ndarray], np.ndarray] | None = None
 ) -> Iterator[Intervals]:
     """The n-grams of 1 to ``most`` words with their counts, one length after another.
 
-    They are extended by a word to the left, then to the right, and so on. ``pair_counts`` says of two words
-    whether they may stand side by side: an n-gram with another pair is left out, with all that hold it.
+    They are extended by a word to the left, then to the right, and so on. ``keep`` says of n-grams of two words
+    or more which are wanted: the others are left out, with all that hold them.
     """
     index = Index(text, symbols, most)
     grams = index.single()
     yield grams
     for size in range(2, most + 1):
-        if size % 2 == 0:
-            grams = index.to_left(grams)
-            new = grams.words[:, 0], grams.words[:, 1]
-        else:
-            grams = index.to_right(grams)
-            new = grams.words[:, -2], grams.words[:, -1]
-        if pair_counts is not None:
-            grams = grams.where(pair_counts(*new))
+        grams = index.to_left(grams) if size % 2 == 0 else index.to_right(grams)
+        if keep is not None:
+            grams = grams.where(keep(grams.words))
         yield grams

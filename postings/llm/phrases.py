@@ -2,6 +2,7 @@
 
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, islice
 from typing import NamedTuple
 
 import numpy as np
@@ -10,13 +11,15 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from postings.llm.fm_index import SEPARATOR, ngrams
+from postings.llm.fm_index import SEPARATOR, Intervals, ngrams
 from postings.llm.workers import map_batches
 from postings.shared import settle
 
 #: Bytes of text in a shard, or one text where that has more.
 SHARD = 12 << 20
-#: The filters of words and of pairs have 2**26 places, 8 MB, whatever the table.
+#: Rows of counts that a task adds up over its shards before it sends them on.
+HELD = 2_000_000
+#: The filters of words and of phrases of each length have 2**26 places, 8 MB, whatever the table.
 BITS = 26
 #: Parts that the phrases of a language are ranked in before the last ranking.
 PARTS = 64
@@ -78,10 +81,6 @@ def _seed(lang: str) -> np.uint64:
     return word_hashes(pa.array([b"lang " + lang.encode()], pa.large_binary()))[0]
 
 
-def _pairs(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return _mixed(first * np.uint64(0x9E3779B97F4A7C15) + second)
-
-
 class Places:
     """A set of hashes by their first bits: it may hold more than was put in, never less."""
 
@@ -129,57 +128,104 @@ def _count_words(batches):
 class _Shard:
     """The words of a shard that may be frequent; the others end pieces."""
 
-    def __init__(self, lang: str, texts: list[bytes], frequent: Places):
+    def __init__(self, lang: str, texts: list[bytes], frequent: list[Places]):
         ids, words = shard_words(texts)
         hashes = word_hashes(words) ^ _seed(lang)
-        keep = np.flatnonzero(frequent.has(hashes))
+        keep = np.flatnonzero(frequent[0].has(hashes))
         number = np.zeros(len(words) + 1, np.int64)
         number[keep + 1] = np.arange(1, len(keep) + 1)
-        self.ids, self.words, self.hashes = _joined(number[ids]), words.take(pa.array(keep)), hashes[keep]
-        self.symbols = len(keep) + 1
-
-    def pairs(self, first: np.ndarray, second: np.ndarray) -> np.ndarray:
-        return _pairs(self.hashes[first - 1], self.hashes[second - 1])
-
-
-def _count_pairs(shared):
-    """``place, n``: occurrences of two words side by side by the place of their hash."""
+        self.words, self.hashes = words.take(pa.array(keep)), hashes[keep]
+        self.symbols, self.frequent = len(keep) + 1, frequent
+        ids = _joined(number[ids])
+        self.counts = np.bincount(ids, minlength=self.symbols)[1:]
+        self.ids = self.linked(ids) if len(frequent) > 1 else ids
+
+    def linked(self, ids: np.ndarray) -> np.ndarray:
+        """Only words that stand in a pair that may be frequent, cut where a pair is not."""
+        both = np.flatnonzero((ids[:-1] != SEPARATOR) & (ids[1:] != SEPARATOR))
+        after = np.zeros(len(ids), bool)
+        after[both] = self.frequent[1].has(self.gram_hashes(np.stack([ids[both], ids[both + 1]], axis=1)))
+        stays = after.copy()
+        stays[1:] |= after[:-1]
+        ends = np.cumsum(1 + ~after[stays])
+        text = np.zeros(1 + (int(ends[-1]) if len(ends) else 0), np.int64)
+        text[ends - ~after[stays]] = ids[stays]
+        return text
+
+    def gram_hashes(self, grams: np.ndarray) -> np.ndarray:
+        found = self.hashes[grams[:, 0] - 1]
+        for i in range(1, grams.shape[1]):
+            found = _mixed(found * np.uint64(0x9E3779B97F4A7C15) + self.hashes[grams[:, i] - 1])
+        return found
+
+    def may_be_frequent(self, grams: np.ndarray) -> np.ndarray:
+        """By the longest part whose places are known; the other parts were looked at before."""
+        size = grams.shape[1]
+        if size <= len(self.frequent):
+            return self.frequent[size - 1].has(self.gram_hashes(grams))
+        if size == 2:
+            return np.ones(len(grams), bool)
+        new = grams[:, :-1] if size % 2 == 0 else grams[:, 1:]
+        return self.frequent[size - 2].has(self.gram_hashes(new))
+
+    def ngrams(self, most: int) -> Iterator[Intervals]:
+        return ngrams(self.ids, self.symbols, most, self.may_be_frequent)
+
+
+def _count_places(shared: list, size: int):
+    """``place, n``: occurrences of phrases of ``size`` words by the place of their hash."""
 
     def run(batches):
+        frequent = [filters.value for filters in shared]
         for lang, texts in _shards(batches):
-            shard = _Shard(lang, texts, shared.value)
-            *_, two = ngrams(shard.ids, shard.symbols, 2)
-            place = places(shard.pairs(two.words[:, 0], two.words[:, 1]))
-            yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(two.size)], ["place", "n"])
+            shard = _Shard(lang, texts, frequent)
+            *_, grams = shard.ngrams(size)
+            place = places(shard.gram_hashes(grams.words))
+            yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(grams.size)], ["place", "n"])
 
     return run
 
 
-def _count_phrases(shared_words, shared_pairs, most: int):
-    """``lang, phrase, words, n`` of the n-grams whose words and pairs may all be frequent."""
+def _count_phrases(shared: list, most: int):
+    """``lang, phrase, words, n`` of the phrases all of whose parts may be frequent."""
 
     def run(batches):
-        frequent = shared_pairs.value
+        frequent = [filters.value for filters in shared]
+        held: list[pa.Table] = []
         for lang, texts in _shards(batches):
-            shard = _Shard(lang, texts, shared_words.value)
-            allowed = lambda first, second: frequent.has(shard.pairs(first, second))  # noqa: E731, B023
-            for grams in ngrams(shard.ids, shard.symbols, most, allowed):
-                size = grams.words.shape[1]
-                columns = [shard.words.take(pa.array(grams.words[:, i] - 1)) for i in range(size)]
-                phrase = pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.large_binary())) if size > 1 else columns[0]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([lang] * len(phrase), pa.string()),
-                        phrase.cast(pa.binary()).cast(pa.string()),
-                        pa.array(np.full(len(phrase), size, np.int32)),
-                        pa.array(grams.size),
-                    ],
-                    ["lang", "phrase", "words", "n"],
-                )
+            held += _shard_counts(_Shard(lang, texts, frequent), lang, most)
+            if sum(table.num_rows for table in held) > HELD:
+                yield from _added(held)
+                held = []
+        yield from _added(held)
 
     return run
 
 
+def _shard_counts(shard: _Shard, lang: str, most: int) -> Iterator[pa.Table]:
+    single = np.arange(1, shard.symbols)[:, None]
+    longer = ((grams.words, grams.size) for grams in islice(shard.ngrams(most), 1, None))
+    for ids, counts in chain([(single, shard.counts)], longer):
+        size = ids.shape[1]
+        columns = [shard.words.take(pa.array(ids[:, i] - 1)) for i in range(size)]
+        phrase = pc.binary_join_element_wise(*columns, pa.scalar(b" ", pa.large_binary())) if size > 1 else columns[0]
+        yield pa.table(
+            {
+                "lang": pa.array([lang], pa.string()).take(pa.array(np.zeros(len(phrase), np.int64))),
+                "phrase": phrase.cast(pa.binary()).cast(pa.string()),
+                "words": np.full(len(phrase), size, np.int32),
+                "n": counts,
+            }
+        )
+
+
+def _added(held: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+    """The sums of the counts of several shards."""
+    if held:
+        added = pa.concat_tables(held).group_by(["lang", "phrase", "words"]).aggregate([("n", "sum")])
+        yield from added.rename_columns(["lang", "phrase", "words", "n"]).to_batches(max_chunksize=100_000)
+
+
 def frequent_places(counts: DataFrame, least: int) -> Places:
     """The places with ``least`` occurrences or more, as 2**26 bits that pass through the driver."""
     kept = counts.groupBy("place").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
@@ -206,10 +252,11 @@ def phrase_counts(
     text. A-Z count as a-z. A null language is ``und``, together with rows that say so; a null or empty text
     has no words. Repeated rows count each. A table without rows gives none.
 
-    Three maps over the texts, none of which moves a text. A task indexes its texts shard by shard. The first
-    two count words and pairs by 2**26 places of a hash: a place below ``least`` holds no frequent one, and
-    no phrase with an infrequent word or pair is frequent. The third counts phrases of the rest. The places
-    only spare work. However full they are, counts are the sums over all shards.
+    As many maps over the texts as ``most``, none of which moves a text. A task indexes its texts shard by
+    shard. Each map but the last counts phrases of one length more by 2**26 places of a hash: a place below
+    ``least`` holds no frequent one, and no phrase with an infrequent part is frequent. The last counts
+    phrases of what is left. The places only spare work. However full they are, counts are the sums over
+    all shards.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -219,16 +266,16 @@ def phrase_counts(
     words = map_batches(rows, _count_words, "lang string, place long, n long")
     words = words.groupBy("lang", "place").agg(F.sum("n").alias("n"))
     words = settle(words.where(F.col("place").isNull() | (F.col("n") >= least)), "phrase-words")
-    shared_words = spark.sparkContext.broadcast(frequent_places(words.where("place is not null"), least))
-    pairs = map_batches(rows, _count_pairs(shared_words), "place long, n long")
-    shared_pairs = spark.sparkContext.broadcast(frequent_places(pairs, least))
-    found = map_batches(
-        rows, _count_phrases(shared_words, shared_pairs, most), "lang string, phrase string, words int, n long"
-    )
+    share = spark.sparkContext.broadcast
+    shared = [share(frequent_places(words.where("place is not null"), least))]
+    for size in range(2, most):
+        counts = map_batches(rows, _count_places(shared, size), "place long, n long")
+        shared.append(share(frequent_places(counts, least)))
+    found = map_batches(rows, _count_phrases(shared, most), "lang string, phrase string, words int, n long")
     found = found.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     found = settle(found, "phrases")
-    shared_words.unpersist()
-    shared_pairs.unpersist()
+    for filters in shared:
+        filters.unpersist()
     return Phrases(found, words.where("place is null").select("lang", "n"))
 
 
