@@ -25,7 +25,7 @@ from postings.shared import settle
 
 UNKNOWN = "und"
 
-#: A classifier is fitted on at most about so many texts of each language, chosen by a hash of the id.
+#: A classifier is fitted on at most so many texts of each language, chosen by a hash of id and text.
 TEXTS_PER_LANGUAGE = 2000
 #: Trigrams kept of each language, the most frequent first.
 MOST_TRIGRAMS = 50_000
@@ -96,6 +96,19 @@ class TrigramTable:
         return scores
 
 
+    def sums_of(self, rows: list[list[int]]) -> np.ndarray:
+        """``sum_of`` for many words, a row each."""
+        languages = len(self.unseen)
+        lengths = np.array([len(row) for row in rows], dtype=np.int64)
+        flat = np.fromiter((r for row in rows for r in row), np.int64, int(lengths.sum()))
+        sizes = self.starts[flat + 1] - self.starts[flat]
+        ends = np.cumsum(sizes)
+        entry = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(self.starts[flat] - (ends - sizes), sizes)
+        word = np.repeat(np.repeat(np.arange(len(rows)), lengths), sizes)
+        more = np.bincount(word * languages + self.at[entry], self.more[entry], minlength=len(rows) * languages)
+        return lengths[:, None] * self.unseen + more.reshape(len(rows), languages)
+
+
 @dataclass
 class LanguageModel:
     """Log-probabilities of trigrams by language, and the scripts of each language."""
@@ -125,19 +138,54 @@ class LanguageModel:
         letters = len(word) if word.isalpha() else sum(map(str.isalpha, word))
         return self.word_scores(word, script(word[0])).astype("<f4").tobytes() + struct.pack("<f", letters)
 
-    def _piece(self, piece: str) -> bytes:
+    @staticmethod
+    def _words(piece: str) -> list[str]:
         # The score of a word is that of its lower-case form, and words share pieces' punctuation.
         if plain(piece):
-            words = _LATIN_WORD.findall(piece.lower())
-        else:
-            words = [piece[begin:end] for begin, end, _ in words_of(piece)]
-        return b"".join(map(self.words.__getitem__, words))
+            return _LATIN_WORD.findall(piece.lower())
+        return [piece[begin:end] for begin, end, _ in words_of(piece)]
 
-    def text_scores(self, text: str) -> np.ndarray:
-        """A row per word of the text: its scores, then its letters."""
+    def _piece(self, piece: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, self._words(piece)))
+
+    def _remember(self) -> None:
         if self.pieces is None:
             most = min(500_000, max(1_000, MOST_SCORES // max(1, len(self.languages))))
             self.words, self.pieces = Pieces(self._word, most=most), Pieces(self._piece, most=most)
+
+    def learn(self, texts: list[str | None], at_once: int = 20_000) -> None:
+        """Score the words of texts that are not remembered, many in one go."""
+        self._remember()
+        if not isinstance(self.table, TrigramTable):
+            return
+        pieces: set[str] = set()
+        for text in texts:
+            pieces.update((text or "").split())
+        new = [p for p in pieces if p not in self.pieces and p not in self.pieces.older]
+        known, older, longest = self.words, self.words.older, self.words.longest
+        words = list({w for p in new for w in self._words(p) if len(w) <= longest and w not in known and w not in older})
+        step = max(1, min(at_once, MOST_SCORES // max(1, 8 * len(self.languages))))
+        for begin in range(0, len(words), step):
+            part = words[begin : begin + step]
+            for word, found in zip(part, self._packed(part), strict=True):
+                self.words.keep(word, found)
+
+    def _packed(self, words: list[str]) -> Iterator[bytes]:
+        """What ``_word`` gives, for many words."""
+        unknown, get = len(self.index), self.index.get
+        rows = [[get(gram, unknown) for gram in trigrams(word)] for word in words]
+        scores = self.table.sums_of(rows)
+        letters = np.array([len(w) if w.isalpha() else sum(map(str.isalpha, w)) for w in words], dtype="<f4")
+        kinds = [self.scripts.get(script(word[0])) for word in words]
+        for i, allowed in enumerate(kinds):
+            if allowed is not None and not allowed.all():
+                scores[i, ~allowed] = -1e6
+        packed = np.concatenate([scores.astype("<f4"), letters[:, None]], axis=1)
+        return map(bytes, packed)
+
+    def text_scores(self, text: str) -> np.ndarray:
+        """A row per word of the text: its scores, then its letters."""
+        self._remember()
         joined = b"".join(map(self.pieces.__getitem__, text.split()))
         return np.frombuffer(joined, dtype="<f4").reshape(-1, len(self.languages) + 1)
 
@@ -194,6 +242,7 @@ def label_texts(model: LanguageModel, texts: list[str | None]) -> tuple[list[str
     count = len(model.languages)
     if not count:
         return [UNKNOWN] * len(texts), [0.0] * len(texts)
+    model.learn(texts)
     rows = [model.text_scores(text or "") for text in texts]
     lengths = np.array([len(row) for row in rows], dtype=np.int64)
     joined = np.concatenate(rows) if rows else np.zeros((0, count + 1), np.float32)
@@ -237,31 +286,36 @@ def fit_languages(
     lang: str = "lang",
     per_language: int = TEXTS_PER_LANGUAGE,
     switch: float = SWITCH,
+    most_trigrams: int | None = MOST_TRIGRAMS,
 ) -> LanguageModel:
     """Learn from the texts that have a language and are not held out.
 
-    Of each language at most about ``per_language`` whole texts are read, chosen by a hash of the id
-    against the number of its texts. Every language that occurs is learned. Only sums per script, and
-    of at most ``MOST_TRIGRAMS`` trigrams of each language, reach the driver.
+    Of each language at most ``per_language`` whole texts are read, those whose id and text have the smallest
+    hash; rows that repeat both count once, and texts without an id or under one id are as likely as others.
+    Every language that occurs is learned. Only sums per script, and of the ``most_trigrams`` most frequent
+    trigrams of each language (all of its sample for ``None``), reach the driver.
     """
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     rows = rows.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
-    sizes = settle(rows.groupBy("lang").agg(F.count("*").alias("texts")), "languages")
+    rows = rows.select("lang", "text", F.xxhash64("doc_id", "text", F.lit("language")).alias("name"))
+    sizes = settle(rows.groupBy("lang").agg(F.approx_count_distinct("name").alias("texts")), "languages")
     languages = sorted(row["lang"] for row in sizes.select("lang").collect())
     if not languages:
         return LanguageModel([], {}, np.zeros((1, 0)), {}, switch)
-    # A row per language, as the model has too.
+    # A row per language, as the model has too. About three times as many as are wanted come near.
     rows = rows.join(F.broadcast(sizes), "lang")
-    share = F.least(F.lit(1.0), F.lit(float(per_language)) / F.col("texts"))
-    chance = F.pmod(F.xxhash64("doc_id", F.lit("language")), F.lit(1 << 20)) / float(1 << 20)
-    counts = map_batches(
-        rows.where(chance < share).select("lang", "text"), _count_trigrams, "lang string, kind string, item string, n long"
-    )
+    share = F.least(F.lit(1.0), F.lit(3.0 * per_language) / F.col("texts"))
+    near = (F.pmod("name", F.lit(1 << 30)) / float(1 << 30)) < share
+    once = rows.where(near).groupBy("lang", "name").agg(F.first("text").alias("text"))
+    once = once.withColumn("place", F.expr("row_number() over (partition by lang order by pmod(name, 1073741824), name)"))
+    sample = once.where(F.col("place") <= per_language).select("lang", "text")
+    counts = map_batches(sample, _count_trigrams, "lang string, kind string, item string, n long")
     counts = counts.groupBy("lang", "kind", "item").agg(F.sum("n").alias("n"))
-    kept = counts.withColumn(
-        "rank", F.expr("row_number() over (partition by lang, kind order by n desc, item)")
-    ).where(F.col("rank") <= MOST_TRIGRAMS)
-    found = kept.select("lang", "kind", "item", "n").toArrow()
+    if most_trigrams is not None:
+        # The trigrams of a bounded sample.
+        rank = F.expr("row_number() over (partition by lang, kind order by n desc, item)")
+        counts = counts.withColumn("rank", rank).where(F.col("rank") <= most_trigrams)
+    found = counts.select("lang", "kind", "item", "n").toArrow()
     return _model(languages, found, switch)
 
 

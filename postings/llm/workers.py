@@ -3,11 +3,15 @@
 import gc
 import os
 import tempfile
+import weakref
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from sys import getsizeof
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 _PACKAGE = __name__.partition(".")[0]
 _shipped: set[str] = set()
@@ -33,9 +37,21 @@ def ship(spark: SparkSession) -> None:
 def map_batches(
     df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema
 ) -> DataFrame:
-    """``mapInArrow`` with this package on the executors."""
+    """``mapInArrow`` with this package on the executors.
+
+    Columns whose names hold dots or backticks, which ``mapInArrow`` would take for paths, go under other names
+    meanwhile; where ``schema`` has such columns it is a StructType.
+    """
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    long = "_" * (1 + max(map(len, df.columns), default=0))
+    odd = {name: f"{long}{i}" for i, name in enumerate(df.columns) if "." in name or "`" in name}
+    if not odd:
+        return df.mapInArrow(function, schema)
+    renamed = df.toDF(*[odd.get(name, name) for name in df.columns])
+    if not isinstance(schema, T.StructType):
+        return renamed.mapInArrow(function, schema)
+    fields = [T.StructField(odd.get(f.name, f.name), f.dataType, f.nullable) for f in schema.fields]
+    return renamed.mapInArrow(function, T.StructType(fields)).toDF(*schema.names)
 
 
 def release(spark: SparkSession) -> None:
@@ -71,20 +87,85 @@ class Pieces(dict):
     Words repeat: most lookups stay in C. When the newer generation is full it becomes the older one
     and the older one goes, so memory is bounded and frequent words are carried over. Pieces longer
     than ``longest`` are worked out anew each time.
+
+    All memories of a Python worker together stay below about ``MOST_BYTES``. One that neither the task at
+    work nor the one before it used is emptied, so models of steps that are over take no room.
     """
 
     def __init__(self, make: Callable, most: int = 500_000, longest: int = 64):
         super().__init__()
         self.make, self.most, self.longest, self.older = make, most, longest, {}
+        self.size, self.task, self.room = 0, None, MOST_BYTES // 2
+        _memories.add(_Reference(self))
 
     def __missing__(self, piece):
         found = self.older.get(piece)
         if found is None:
             found = self.make(piece)
-            if len(piece) > self.longest:
-                return found
-        if len(self) >= self.most:
+        self.keep(piece, found)
+        return found
+
+    def keep(self, piece, found) -> None:
+        """Remember what was worked out, unless the piece is long."""
+        task = _task()
+        if task != self.task:
+            self.task = task
+            _begin(task)
+        if len(piece) > self.longest:
+            return
+        if len(self) >= self.most or self.size >= self.room:
+            self.older = {}
             self.older = dict(self)
             self.clear()
+            self.size = 0
         self[piece] = found
-        return found
+        self.size += _ENTRY + getsizeof(piece) + getsizeof(found)
+
+    def forget(self) -> None:
+        self.clear()
+        self.older, self.size = {}, 0
+
+    def __reduce__(self):
+        raise TypeError("memories stay in their process")
+
+
+#: Bytes that the memories of a Python worker take together, about.
+MOST_BYTES = 192 << 20
+#: Bytes of an entry of a dict besides its key and value.
+_ENTRY = 104
+#: The tasks that last used a memory in this process, the latest first.
+_tasks: list = [-2, -2]
+_memories: set = set()
+
+
+def _task() -> int:
+    context = TaskContext.get()
+    return -1 if context is None else context.taskAttemptId()
+
+
+class _Reference(weakref.ref):
+    """A weak reference that is told apart by identity: dicts have no hash."""
+
+    def __hash__(self):
+        return id(self)
+
+    def __eq__(self, other):
+        return self is other
+
+
+def _alive() -> list[Pieces]:
+    for reference in [r for r in _memories if r() is None]:
+        _memories.discard(reference)
+    return [found for found in (r() for r in list(_memories)) if found is not None]
+
+
+def _begin(task: int) -> None:
+    """A memory is used for the first time in a task: the others make room."""
+    if task != _tasks[0]:
+        _tasks[:] = [task, _tasks[0]]
+    alive = _alive()
+    used = sum(memory.task in _tasks for memory in alive)
+    for memory in alive:
+        if memory.task not in _tasks:
+            memory.forget()
+        memory.room = MOST_BYTES // (2 * max(1, used))
