@@ -91,19 +91,39 @@ def without_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text")
     return docs.join(dropped, same, "left_anti")
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def one_of_each(docs: DataFrame, names: list[Column], key: str = "doc_id") -> DataFrame:
     """One row, with all its columns, for each value of ``names``: that with the smallest id, rows
     without an id last; of equal ids the one whose columns have the smallest hash.
 
-    Each partition keeps one row of a value before the shuffle, so very many copies cost little.
+    Each partition keeps one row of a value before the shuffle, so very many copies cost little. Columns may
+    have any names.
     """
-    hashed = [name for name, kind in docs.dtypes if "map<" not in kind]
-    order = [F.col(key).asc_nulls_last(), F.xxhash64(*hashed)]
+    hashed = [F.col(_quoted(name)) for name, kind in docs.dtypes if "map<" not in kind]
+    order = [F.col(_quoted(key)).asc_nulls_last(), F.xxhash64(*hashed)]
     rank = F.row_number().over(Window.partitionBy(*names).orderBy(*order))
-    return docs.withColumn("rank in group", rank).where(F.col("rank in group") == 1).drop("rank in group")
+    # A name that no column has.
+    free = "rank" + "_" * max(map(len, docs.columns), default=0)
+    return docs.withColumn(free, rank).where(F.col(free) == 1).drop(free)
 
 
-def one_of_each_text(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each_text(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", prefix: int = PREFIX
+) -> DataFrame:
     """One row of each group of equal texts, with all its columns; also where rows of a group repeat the
-    smallest id, or none has an id."""
-    return one_of_each(docs, [F.sha2(normalised(F.col(text)), 256)], key)
+    smallest id, or none has an id.
+
+    Progressive refinement: rows that share neither the length nor the hash of the first ``prefix`` characters
+    of the normalised text with another stay as they are. Only the others are hashed whole and moved.
+    """
+    content = normalised(F.col(_quoted(text)))
+    length, begin = F.length(content), F.xxhash64(F.substring(content, 1, prefix))
+    groups = docs.select(length.alias("length"), begin.alias("begin")).groupBy("length", "begin").agg(F.count("*").alias("n"))
+    shared = settle(groups.where("n > 1").select("length", "begin"), "dedup-groups")
+    same = (length == shared["length"]) & (begin == shared["begin"])
+    alone = docs.join(shared, same, "left_anti")
+    again = one_of_each(docs.join(shared, same, "left_semi"), [F.sha2(content, 256)], key)
+    return alone.unionByName(again)
