@@ -8,6 +8,7 @@ bounded sample of labelled texts; a text's features are the logarithms of one pl
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postings.llm.workers import Pieces, map_batches, ship, slices
+from postings.shared import settle
 
 #: Labelled texts that the regression is fitted on at most: toxic ones, and others.
 MOST_TOXIC, MOST_CLEAN = 2500, 5000
@@ -132,22 +134,26 @@ def labelled_sample(
     most_toxic: int = MOST_TOXIC,
     most_clean: int = MOST_CLEAN,
 ) -> DataFrame:
-    """``doc_id, text, grade`` of a bounded sample of labelled texts, chosen by a hash of the id.
+    """``doc_id, text, grade`` of a bounded sample of labelled texts, chosen by a hash of id and text.
 
-    An id with several labels counts with the highest; null labels, ids and texts are left out. The
-    sample's ids are broadcast, which ``most_toxic`` and ``most_clean`` bound.
+    At most ``most_toxic`` and ``most_clean`` rows. Rows that repeat id and text count once; several texts under one
+    labelled id are texts of their own. An id with several labels counts with the highest; null labels, ids
+    and texts are left out. The sample's hashes are broadcast, which the two numbers bound.
     """
     known = labels.select(F.col(key).alias("labelled"), F.col(grade).cast("int").alias("grade"))
     known = known.where("labelled is not null and grade is not null")
     known = known.groupBy("labelled").agg(F.max("grade").alias("grade"))
-    chance = F.xxhash64("labelled", F.lit("toxicity"))
-    toxic = known.where("grade > 0").orderBy(chance, "labelled").limit(most_toxic)
-    clean = known.where("grade <= 0").orderBy(chance, "labelled").limit(most_clean)
+    # Settled, so that the join is broadcast only where the labels are few.
+    known = settle(known.select("labelled", F.greatest("grade", F.lit(0)).alias("grade")), "labels")
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).where(F.col(text).isNotNull())
+    rows = rows.withColumn("name", F.xxhash64("doc_id", "text", F.lit("toxicity")))
+    # Ids and hashes are joined; no text moves but those of the sample.
+    names = rows.select("doc_id", "name").join(known, F.col("doc_id") == F.col("labelled"))
+    names = settle(names.groupBy("name").agg(F.max("grade").alias("grade")), "labelled-names")
+    toxic = names.where("grade > 0").orderBy("name").limit(most_toxic)
+    clean = names.where("grade <= 0").orderBy("name").limit(most_clean)
     chosen = F.broadcast(toxic.unionByName(clean))
-    return rows.join(chosen, rows["doc_id"] == chosen["labelled"]).select(
-        "doc_id", "text", F.greatest("grade", F.lit(0)).alias("grade")
-    )
+    return rows.join(chosen, "name").dropDuplicates(["name"]).select("doc_id", "text", "grade")
 
 
 def _sample_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,18 +189,22 @@ def fit_severity(sample: DataFrame, grades: int = GRADES) -> SeverityModel:
 
     Grades 0, 1, ... are taken as they are if any is above 1. If there are only 0 and 1, toxic texts
     are graded by their number of toxic features, split at the quantiles into ``grades`` equal parts.
-    Without both kinds of texts the model gives severity 0 to all.
+    Near copies of a text count once. Rows that repeat id and text count once, and different texts under one id
+    are texts of their own. Without both kinds of texts, or where no feature tells them apart, the model
+    gives severity 0 to all.
     """
-    from postings.shared import settle
-
     schema = "doc_id long, grade int, sketch long, feature string, n int"
-    rows = sample.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.col("grade").cast("int").alias("grade"))
+    rows = sample.select(F.xxhash64("doc_id", "text").alias("doc_id"), "text", F.col("grade").cast("int").alias("grade"))
+    rows = rows.dropDuplicates(["doc_id", "grade"])
     counts = settle(map_batches(rows, _sample_words, schema), "toxic-counts")
     # Near copies count once, or their odd words would look toxic.
     texts = counts.select("grade", "sketch").distinct()
     kinds = {row["toxic"]: row["n"] for row in texts.groupBy((F.col("grade") > 0).alias("toxic")).agg(F.count("*").alias("n")).collect()}
+    highest = texts.agg(F.max("grade")).first()[0] or 0
+    top = highest if highest > 1 else grades
+    none = SeverityModel({}, np.zeros(0), np.full(top, 30.0) + np.arange(top))
     if len(kinds) < 2:
-        return SeverityModel({}, np.zeros(0), np.full(grades, 30.0) + np.arange(grades))
+        return none
     once = counts.groupBy("feature", "sketch").agg(F.max("grade").alias("grade"))
     by_feature = once.groupBy("feature").agg(
         F.count_if(F.col("grade") > 0).alias("toxic"), F.count_if(F.col("grade") <= 0).alias("clean")
@@ -207,13 +217,19 @@ def fit_severity(sample: DataFrame, grades: int = GRADES) -> SeverityModel:
         .limit(MOST_FEATURES)
     )
     names = sorted(row["feature"] for row in chosen.select("feature").collect())
+    if not names:
+        return none
     features = {name: i for i, name in enumerate(names)}
     chosen = F.broadcast(sample.sparkSession.createDataFrame([(x,) for x in names], "chosen string"))
     # The texts' chosen features: a row for each text even where it has none.
-    hits = counts.join(chosen, counts["feature"] == F.col("chosen"), "left").groupBy("doc_id", "grade").agg(
+    hits = counts.join(chosen, counts["feature"] == F.col("chosen"), "left").groupBy("doc_id", "grade", "sketch").agg(
         F.collect_list(F.when(F.col("chosen").isNotNull(), F.struct("feature", "n"))).alias("hits")
     )
-    found = sorted(hits.collect(), key=lambda row: row["doc_id"])
+    # Of near copies the first one: an often repeated text would move the thresholds.
+    single: dict[tuple, Any] = {}
+    for row in sorted(hits.collect(), key=lambda row: (row["doc_id"], row["grade"])):
+        single.setdefault((row["sketch"], row["grade"]), row)
+    found = list(single.values())
     lengths = [len(row["hits"]) for row in found]
     at = np.repeat(np.arange(len(found)), lengths)
     columns = np.array([features[hit["feature"]] for row in found for hit in row["hits"]], dtype=np.int64)
