@@ -187,7 +187,8 @@ def best_products(
         if not len(open_):
             break
         wanted = targets[open_]
-        if len(members) <= beam:
+        if len(members) <= max(beam, BEAM):
+            # Such ranges have no graph.
             found = np.tile(members, (len(wanted), 1))
         else:
             # By the inner product itself, which ranks points as their distance does when lifted.
@@ -262,7 +263,8 @@ def build_index(vectors: DataFrame, shard_rows: int = SHARD) -> DataFrame:
 
     ship(vectors.sparkSession)
     schema = "shard long, vec_ids array<long>, vector array<double>, start int, edges array<int>"
-    return sharded.groupBy("shard").applyInArrow(build, schema)
+    # As many parts as shards: they are small in bytes, but each is much work.
+    return sharded.repartition(shards, "shard").groupBy("shard").applyInArrow(build, schema)
 
 
 def search_index(
@@ -272,17 +274,17 @@ def search_index(
 
     Every query goes to every shard, in blocks of queries, so a task holds a shard and a block. The
     score is the inner product of the original vectors in double precision; equal scores go to the
-    smaller id. Ranges of no more vectors than the beam is wide are searched whole.
+    smaller id. Ranges of no more vectors than ``BEAM`` or the beam are searched whole. The beam is at least
+    two wider than k, for the query itself and one to spare.
     """
+    beam = max(beam, k + 2)
     index = settle(index, "index")
-    shards = index.select("shard").distinct()
+    shards = 1 + (index.agg(F.max("shard")).first()[0] or 0)
     blocks = max(1, -(-queries.count() // block_rows))
     block = F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(blocks))
     asked = queries.select(F.col("vec_id").alias("query_id"), F.col("vector").alias("query"), block.alias("block"))
-    # A row per query and shard: the shard numbers are a list as long as the number of shards.
-    numbers = shards.agg(F.sort_array(F.collect_list("shard")).alias("shards"))
-    listed = (numbers.first() or [[]])[0] or []
-    asked = asked.withColumn("shard", F.explode(F.lit(listed).cast("array<bigint>")))
+    # A row per query and shard.
+    asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
     spread = index.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
 
     def search(graph: pa.Table, asked: pa.Table) -> pa.Table:
@@ -318,8 +320,9 @@ def search_index(
 
     ship(index.sparkSession)
     found = (
-        spread.groupBy("shard", "block")
-        .cogroup(asked.groupBy("shard", "block"))
+        spread.repartition(shards * blocks, "shard", "block")
+        .groupBy("shard", "block")
+        .cogroup(asked.repartition(shards * blocks, "shard", "block").groupBy("shard", "block"))
         .applyInArrow(search, "query_id long, vec_id long, score double")
     )
     ranked = found.where("query_id != vec_id").withColumn(

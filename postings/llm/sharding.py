@@ -64,14 +64,16 @@ def assign_shards(
 def number_slots(rows: DataFrame, shard: str = "shard", key: str = "doc_id") -> DataFrame:
     """The rows with ``slot``, from 0 without gaps in each shard.
 
-    No task sees a whole shard: rows are numbered in buckets of their key's hash, in the order of the
-    key (nulls first, repeated keys in the order of the other columns), and each bucket begins where
-    the buckets before it in its shard end. Only the counts per bucket are added up over a shard. The
-    rows are settled first, so that counts and numbers are those of the same rows.
+    No task sees a whole shard: rows are numbered in buckets, in the order of the key (nulls first,
+    repeated keys in the order of the other columns), and each bucket begins where the buckets before
+    it in its shard end. Only the counts per bucket are added up over a shard. The rows are settled first,
+    with their bucket's hash, so that counts and numbers are those of the same rows. It is a hash of a row's
+    place, so rows without a key, or of one key, are dealt over all buckets.
     """
-    rows = settle(rows, "sharded")
+    dealt = "dealt" + "_" * max(map(len, rows.columns))
+    rows = settle(rows.withColumn(dealt, F.xxhash64(F.monotonically_increasing_id())), "sharded")
     buckets = -(-rows.count() // ROWS_PER_BUCKET) + 1
-    placed = rows.withColumn("bucket", F.pmod(F.xxhash64(F.col(key), F.lit("slot")), F.lit(buckets)))
+    placed = rows.withColumn("bucket", F.pmod(F.col(dealt), F.lit(buckets)))
     counts = placed.groupBy(shard, "bucket").agg(F.count("*").alias("rows"))
     before = counts.select(
         F.col(shard).alias("in_shard"),
@@ -90,4 +92,4 @@ def number_slots(rows: DataFrame, shard: str = "shard", key: str = "doc_id") ->
         (F.col(shard) == F.col("in_shard")) & (F.col("bucket") == F.col("in_bucket")),
     )
     slot = (F.col("begin") + F.col("number") - 1).cast("long")
-    return joined.select(*rows.columns, slot.alias("slot"))
+    return joined.select(*[name for name in rows.columns if name != dealt], slot.alias("slot"))

@@ -25,6 +25,8 @@ from postings.llm.workers import map_batches, slices
 
 #: Ids of a sequence, sequences of a batch, and ids after which a file is closed.
 LENGTH, BATCH, FILE_IDS = 2048, 64, 64 << 20
+#: Characters of a text that rows of one id are parted by.
+BEGINNING = 64
 
 _MANIFEST = "part long, number long, file string, n_documents long, n_tokens long"
 _PLACES = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64())])
@@ -148,7 +150,7 @@ def write_token_files(
     """Write all texts in ascending order of their ids; the manifest, ``part, number, file,
     n_documents, n_tokens``, a row per file, is yet to be written by the caller.
 
-    The rows are dealt out by ranges of the id and sorted there, so files in the order of ``part`` and
+    The rows are dealt out by ranges of the id and the beginning of the text and sorted there, so files in the order of ``part`` and
     ``number`` follow each other. Rows without an id come first, rows with the same id in the order of
     their texts (null, then as UTF-8 bytes). A null text is as an empty one: its end id alone.
     ``folder`` is shared by all executors. A part that has more than ``file_ids`` ids closes its file
@@ -177,7 +179,8 @@ def write_token_files(
             yield listed(writer, number)
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # The beginning of the text is in the order of the texts, and parts rows without an id or of one id.
+    ordered = rows.repartitionByRange("doc_id", F.substring("text", 1, BEGINNING)).sortWithinPartitions("doc_id", "text")
     return map_batches(ordered, work, _MANIFEST)
 
 
