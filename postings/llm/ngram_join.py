@@ -339,7 +339,7 @@ def ngram_components(
     members, small = _clusters(members)
     links = settle(_linked(small, grams, percent), "links")
     component = settle(connected_components(links), "components")
-    for turn in range(leader_rounds + 1):
+    for turn in range(leader_rounds + 1 if members is not None else 0):
         release(docs.sparkSession)
         last = turn == leader_rounds
         members = _open(members, component, turn)
@@ -375,8 +375,9 @@ def _once(members: DataFrame) -> DataFrame:
     return settle(members.join(chosen, "signature", "left_semi"), "distinct-members")
 
 
-def _clusters(members: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The members of large clusters with their ``cluster``, and the tiles of all other clusters."""
+def _clusters(members: DataFrame) -> tuple[DataFrame | None, DataFrame]:
+    """The members of large clusters with their ``cluster``, or None without such clusters; and the tiles of all
+    other clusters."""
     low = members.groupBy("signature").agg(F.min("set_id").alias("low"))
     edges = members.join(settle(low, "block-lows"), "signature").select(F.col("set_id").alias("a"), F.col("low").alias("b"))
     found = settle(connected_components(edges), "clusters").withColumnRenamed("component", "cluster")
@@ -392,6 +393,8 @@ def _clusters(members: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("cluster").alias("tile"),
         F.pmod(F.xxhash64("cluster"), F.lit(buckets)).alias("bucket"),
     )
+    if large.isEmpty():
+        return None, small
     inside = settle(sized.join(large, "cluster", "left_semi").select("set_id", "cluster"), "in-large")
     return settle(members.join(inside, "set_id"), "large-members"), small
 

@@ -135,6 +135,39 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _ngram_join_sql() -> str:
+    """Overlaps of all sets that share a shingle, and the smallest id that links lead to."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return f"""
+        WITH RECURSIVE words AS MATERIALIZED (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents
+        ),
+        shingles AS MATERIALIZED (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS s
+            FROM words
+        ),
+        sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        links AS MATERIALIZED (
+            SELECT a, b
+            FROM (
+                SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared
+                FROM shingles x JOIN shingles y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL
+            )
+            JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+            WHERE 100 * shared >= 90 * (p.n + q.n - shared)
+        ),
+        ways AS MATERIALIZED (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reached(doc_id, other) AS (
+            SELECT a, b FROM ways UNION SELECT r.doc_id, w.b FROM reached r JOIN ways w ON w.a = r.other
+        )
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(low, d.doc_id)) AS component_id
+        FROM documents d LEFT JOIN sizes USING (doc_id)
+        LEFT JOIN (SELECT doc_id, min(other) AS low FROM reached GROUP BY doc_id) USING (doc_id)
+    """
+
+
 def _clustering_sql() -> str:
     """k-means in whole numbers: every round measures all vectors against all centroids."""
     nearest = """
@@ -344,6 +377,7 @@ def oracles() -> dict[str, str]:
             SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
             FROM hashed JOIN groups USING (text_sha256)
         """,
+        "op3_ngram_join": _ngram_join_sql(),
         "op11_clustering": _clustering_sql(),
         "op12_url_filter": _url_filter_sql(),
         "op13_phrases": _phrases_sql(),

@@ -8,6 +8,7 @@ import pytest
 from postings.llm import queries
 from postings.llm.components import connected_components
 from postings.llm.ngram_join import ngram_components, one_of_each_component, product_tile, signatures
+from tests.compare import assert_same, duckdb_rows, spark_rows
 from tests.llm import cases
 
 
@@ -146,3 +147,23 @@ def test_query(spark):
     given = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()
     found = queries.QUERIES["op3_ngram_join"](spark, folder)
     assert Counter(map(tuple, found.collect())) == brute_force([tuple(row) for row in given], 3, 90)
+
+
+def test_query(spark):
+    folder = "/root/testdata/sf0.01"
+    actual = spark_rows(queries.QUERIES["op3_ngram_join"](spark, folder))
+    assert_same(actual, duckdb_rows(queries.oracles()["op3_ngram_join"], folder))
+
+
+def test_components_of_long_chains(spark):
+    """Chains, rings and stars that share nodes: more rounds than one, and nothing left between components."""
+    links = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(50)] + [(149, 200), (200, 100)]
+    links += [(300 + i, 300 + (i * 7 + 3) % 40) for i in range(40)]
+    expected = {}
+    for a, b in links:
+        expected.setdefault(a, a), expected.setdefault(b, b)
+    for _ in links:
+        for a, b in links:
+            expected[a] = expected[b] = min(expected[a], expected[b])
+    found = connected_components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert {row["node"]: row["component"] for row in found} == expected and len(found) == len(expected)

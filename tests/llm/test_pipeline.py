@@ -62,5 +62,5 @@ def test_every_operator_is_registered():
         assert [name for name in names if name.startswith(f"op{number}_")], number
     assert names["pipeline"] is corpus_pipeline.run
     with_sql = {name for name in entry_points.oracle_sql() if name.startswith("op")}
-    assert {"op4_exact_dedup", "op11_clustering", "op12_url_filter", "op13_phrases"} <= with_sql
+    assert {"op3_ngram_join", "op4_exact_dedup", "op11_clustering", "op12_url_filter", "op13_phrases"} <= with_sql
     assert np.all([callable(query) for query in names.values()])
