@@ -20,13 +20,14 @@ are the links that join components, not pairs.
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postings.llm.components import connected_components
+from postings.llm.components import connected_components, contracted, joined_components
 from postings.llm.exact_dedup import one_of_each
 from postings.llm.workers import Pieces, map_batches, release, ship, slices
 from postings.shared import settle
@@ -37,6 +38,8 @@ CLASS_RATIO = 1.5
 CLASSES = 64
 #: Column blocks beyond those that a link needs, as a share of the n-grams in which linked sets differ.
 SPARE_SHARE = 0.1
+#: Parts of the signatures that are looked through one after the other, so that disks hold the shuffles of one.
+PASSES = 2
 #: Column blocks that the accumulation goes through.
 PRODUCT_BLOCKS = 4
 #: Rows of a tile on either side, and n-grams of them, about.
@@ -300,7 +303,7 @@ def ngram_components(
     percent: int = 80,
     key: str = "doc_id",
     text: str = "text",
-    leader_rounds: int = 2,
+    leader_rounds: int = 1,
 ) -> DataFrame:
     """``doc_id, text_hash, n_shingles, component_id, set_id, component_set`` of every row.
 
@@ -313,17 +316,7 @@ def ngram_components(
     null. Rows with the same id are rows of their own, each with its own set.
     """
     sets = settle(gram_sets(docs, n, percent, key, text), "gram-sets")
-    rows = sets.select(F.explode("signatures").alias("signature"), "set_id")
-
-    # Column blocks in which different sets agree. Copies have the same set_id and count once.
-    span = rows.groupBy("signature").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"))
-    shared = settle(span.where("low != high").select("signature"), "shared-blocks")
-    release(docs.sparkSession)
-    # Settled before the copies are taken out, so that the join of a signature with many can be split.
-    members = settle(rows.join(shared, "signature", "left_semi"), "block-rows")
-    release(docs.sparkSession)
-    members = _agreeing(settle(members.distinct(), "block-members"), sets)
-    members = _once(members)
+    members = _once(_agreeing(settle(_members(sets).distinct(), "block-members"), sets))
 
     wanted = members.select("set_id").distinct()
     owners = sets.groupBy("set_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("owner"))
@@ -334,9 +327,8 @@ def ngram_components(
     texts = texts.join(owners.hint("merge"), owned)
     grams = settle(_grams_of(texts.select("set_id", "text"), n), "grams")
     release(docs.sparkSession)
-    members = settle(members.join(grams.select("set_id", "n_grams"), "set_id"), "sized-members")
 
-    members, small = _clusters(members)
+    members, small = _clusters(members, grams.select("set_id", "n_grams"))
     links = settle(_linked(small, grams, percent), "links")
     component = settle(connected_components(links), "components")
     for turn in range(leader_rounds + 1 if members is not None else 0):
@@ -348,57 +340,91 @@ def ngram_components(
         blocks = _coarse(members) if last else members
         probes = _outsiders(blocks) if last else _leaders(blocks, turn)
         found = settle(_linked(_tiles(probes, blocks), grams, percent), f"links-{turn}")
-        links = links.unionByName(found)
-        component = settle(connected_components(links), f"components-{turn}")
+        if found.isEmpty():
+            continue
+        component = settle(joined_components(component, found), f"components-{turn}")
     return _labelled(sets, component)
 
 
+def _members(sets: DataFrame) -> DataFrame:
+    """``signature, set_id`` of the column blocks in which different sets agree; copies of a set are rows of their own."""
+    rows = sets.select(F.explode("signatures").alias("signature"), "set_id")
+    # The last bits of a signature are its class.
+    part = F.pmod(F.shiftrightunsigned("signature", CLASSES.bit_length() - 1), F.lit(PASSES))
+    found = []
+    for turn in range(PASSES):
+        turned = rows.where(part == turn)
+        span = turned.groupBy("signature").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"))
+        shared = settle(span.where("low != high").select("signature"), f"shared-blocks-{turn}")
+        # Settled before the copies are taken out, so that the join of a signature with many can be split.
+        found.append(settle(turned.join(shared, "signature", "left_semi"), f"block-rows-{turn}"))
+        release(sets.sparkSession)
+    return reduce(DataFrame.unionByName, found)
+
+
 def _agreeing(members: DataFrame, sets: DataFrame) -> DataFrame:
     """The members without the sets that agree with others in fewer blocks of a class than a link of
-    theirs would, and without the blocks in which only one set is left then."""
+    theirs would."""
     kind = F.col("signature").bitwiseAND(F.lit(CLASSES - 1))
     members = members.withColumn("class", kind)
     needs = sets.select("set_id", F.explode("needs").alias("n")).select("set_id", "n.*").distinct()
     agree = members.groupBy("set_id", "class").agg(F.count("*").alias("blocks"))
     enough = agree.join(needs, ["set_id", "class"]).where("blocks >= need").select("set_id", "class")
-    kept = settle(members.join(settle(enough, "agreeing"), ["set_id", "class"], "left_semi").select("signature", "set_id"), "agreeing-members")
-    shared = kept.groupBy("signature").agg(F.count("*").alias("rows")).where("rows > 1").select("signature")
-    return settle(kept.join(settle(shared, "still-shared"), "signature", "left_semi"), "still-members")
+    kept = members.join(settle(enough, "agreeing"), ["set_id", "class"], "left_semi")
+    return settle(kept.select("signature", "set_id"), "agreeing-members")
 
 
 def _once(members: DataFrame) -> DataFrame:
-    """Of the blocks in which the same sets agree, one: nothing new can be found in the others."""
+    """Of the blocks in which the same sets agree, one: nothing new can be found in the others, nor in
+    blocks with one set."""
     sums = [F.count("*"), F.bit_xor(F.xxhash64("set_id")), F.bit_xor(F.xxhash64("set_id", F.lit("again")))]
     blocks = members.groupBy("signature").agg(*[x.alias(f"c{i}") for i, x in enumerate(sums)])
-    chosen = blocks.groupBy("c0", "c1", "c2").agg(F.min("signature").alias("signature")).select("signature")
+    chosen = blocks.where("c0 > 1").groupBy("c0", "c1", "c2").agg(F.min("signature").alias("signature")).select("signature")
     chosen = settle(chosen, "distinct-blocks")
     return settle(members.join(chosen, "signature", "left_semi"), "distinct-members")
 
 
-def _clusters(members: DataFrame) -> tuple[DataFrame | None, DataFrame]:
-    """The members of large clusters with their ``cluster``, or None without such clusters; and the tiles of all
-    other clusters."""
+def _clusters(members: DataFrame, sizes: DataFrame) -> tuple[DataFrame | None, DataFrame]:
+    """The members of large clusters with their ``n_grams`` and ``cluster``, or None without such clusters; and the
+    tiles of all other clusters. ``sizes`` has the ``n_grams`` of every set."""
     low = members.groupBy("signature").agg(F.min("set_id").alias("low"))
     edges = members.join(settle(low, "block-lows"), "signature").select(F.col("set_id").alias("a"), F.col("low").alias("b"))
+    # Twice by tasks, the second time with all that is known of a node, which each task before gave one link at most.
+    edges = contracted(edges).repartition("a")
     found = settle(connected_components(edges), "clusters").withColumnRenamed("component", "cluster")
-    sized = members.select("set_id", "n_grams").distinct().join(found, F.col("set_id") == F.col("node"))
+    sized = sizes.join(found, F.col("set_id") == F.col("node"))
     sized = settle(sized.select("set_id", "n_grams", "cluster"), "clustered")
-    large = sized.groupBy("cluster").agg(F.count("*").alias("rows"), F.sum("n_grams").alias("grams"))
-    large = settle(large.where((F.col("rows") > TILE_MEMBERS) | (F.col("grams") > TILE_GRAMS)).select("cluster"), "large")
-    buckets = 1 + sized.count() // TILE_PROBES
-    small = sized.join(large, "cluster", "left_anti").select(
-        "set_id",
-        F.col("set_id").alias("component"),
-        F.lit(BOTH).alias("role"),
-        F.col("cluster").alias("tile"),
-        F.pmod(F.xxhash64("cluster"), F.lit(buckets)).alias("bucket"),
-    )
+    counts = sized.groupBy("cluster").agg(F.count("*").alias("rows"), F.sum("n_grams").alias("grams"))
+    is_large = (F.col("rows") > TILE_MEMBERS) | (F.col("grams") > TILE_GRAMS)
+    counts = settle(counts.withColumn("is_large", is_large), "cluster-sizes")
+    small = _cluster_tiles(sized, counts.where("not is_large"), 1 + sized.count() // TILE_PROBES)
+    large = counts.where("is_large").select("cluster")
     if large.isEmpty():
         return None, small
-    inside = settle(sized.join(large, "cluster", "left_semi").select("set_id", "cluster"), "in-large")
+    inside = settle(sized.join(large, "cluster", "left_semi"), "in-large")
     return settle(members.join(inside, "set_id"), "large-members"), small
 
 
+def _cluster_tiles(sized: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
+    """The tiles of whole clusters, those in ``counts``: the rows of a cluster are dealt into parts, and every
+    part meets itself and each other part in a tile of its own, so that no task has a cluster of many rows
+    to itself."""
+    parts = counts.select("cluster", F.ceil(F.col("rows") / TILE_PROBES).alias("parts"))
+    dealt = sized.join(parts, "cluster").withColumn(
+        "part", F.pmod(F.xxhash64("set_id", F.lit("tile")), F.col("parts"))
+    )
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    tile = F.xxhash64("cluster", F.least("part", "other"), F.greatest("part", "other"))
+    role = F.when(F.expr("part = other"), BOTH).when(F.expr("part < other"), PROBE).otherwise(MEMBER)
+    return dealt.select(
+        "set_id",
+        F.col("set_id").alias("component"),
+        role.alias("role"),
+        tile.alias("tile"),
+        F.pmod(F.xxhash64(tile), F.lit(buckets)).alias("bucket"),
+    )
+
+
 def _open(members: DataFrame, component: DataFrame, turn: int) -> DataFrame:
     """The members with their components, of the blocks that have more than one."""
     known = component.withColumnRenamed("component", "at")
