@@ -166,3 +166,23 @@ def test_memory_of_pieces_is_bounded():
     assert len(pieces) <= 10 and len(pieces.older) <= 10
     assert made.count("1") == 1, "a piece in use is carried over"
     assert pieces["long one"] == "long onelong one" and "long one" not in pieces
+
+
+def test_a_piece_of_one_word_is_remembered_once():
+    own_ids.cache_clear()
+    byte_pairs.cache_clear()
+    encode, pairs = own_ids(tokenizer_path(BYTE_BPE)), byte_pairs(tokenizer_path(BYTE_BPE))
+    encode("first zyxwv twice,there")
+    assert "zyxwv" in encode.pieces and " zyxwv" not in pairs.remembered
+    assert " twice" in pairs.remembered
+
+
+def test_short_words_are_merged_as_long_ones(monkeypatch):
+    from postings.llm import bpe
+
+    pairs = byte_pairs(tokenizer_path(BYTE_BPE))
+    words = ["aaaaaaaaa", " banananana", "lllllll", " übergrößenträger", "x", "((((()))))", " 0000000"]
+    symbols = [[pairs.inner[byte] for byte in word.encode()] for word in words]
+    short = [pairs.merge(given) for given in symbols]
+    monkeypatch.setattr(bpe, "SHORT", 0)
+    assert short == [pairs.merge(given) for given in symbols]
