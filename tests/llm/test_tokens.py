@@ -177,6 +177,23 @@ def test_a_piece_of_one_word_is_remembered_once():
     assert " twice" in pairs.remembered
 
 
+@pytest.mark.parametrize("name", [BYTE_BPE, WORD_BPE])
+def test_a_word_with_marks_around_it_is_encoded_once(monkeypatch, name):
+    made = []
+
+    class Seen(Pieces):
+        def __init__(self, make, **given):
+            super().__init__(lambda piece: made.append(piece) or make(piece), **given)
+
+    monkeypatch.setattr("postings.llm.tokens.Pieces", Seen)
+    library_ids.cache_clear()
+    encode, text = library_ids(tokenizer_path(name)), "a zyxwv, zyxwv.\n(zyxwv! zyxwv zyxwv's"
+    ids = Tokenizer.from_file(tokenizer_path(name)).encode(text, add_special_tokens=False).ids
+    library_ids.cache_clear()
+    assert encode(text) == np.array(ids, "<u4").tobytes()
+    assert len([piece for piece in made if piece.strip() == "zyxwv"]) <= 2 and not any("zyxwv," in piece for piece in made)
+
+
 def test_short_words_are_merged_as_long_ones(monkeypatch):
     from postings.llm import bpe
 
