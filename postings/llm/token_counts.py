@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postings.llm.bpe import BytePairs, byte_pairs
-from postings.llm.tokens import PLAIN_WORDS, plain
+from postings.llm.tokens import PLAIN_PARTS, PLAIN_WORDS, plain
 from postings.llm.workers import Pieces, map_batches, slices
 
 #: Prefixes of words up to so many bytes are remembered, so many of them at once.
@@ -108,6 +108,7 @@ class PrefixCounts:
         self.states: dict[bytes, tuple[int, int, int, int]] = {}
         self.words = Pieces(self._word)
         self.pieces = Pieces(self._piece)
+        self.parts = Pieces(self._part)
 
     def _fits(self, pair: tuple[int, int]) -> bool:
         """Whether the second token can follow the first (-1: nothing) in an encoding."""
@@ -177,15 +178,17 @@ class PrefixCounts:
             begin, word = match.start(), match.group()
             if begin > at:
                 found += [total] * (begin - at)
-            if word[0] == "'" and word[1:].isalpha():
-                # A prefix of 's, 'll and the like falls apart into the mark and the letters.
-                counts = [1, *(len(self.pairs.encode_ordinary(word[:k])) for k in range(2, len(word) + 1))]
-            else:
-                counts = self.words[word]
+            counts = self._contraction(word) or self.words[word]
             found += [total + count for count in counts] if total else counts
             total, at = found[-1], match.end()
         return found + [total] * (len(text) - at) if at < len(text) else found
 
+    def _contraction(self, word: str) -> list[int] | None:
+        """A prefix of 's, 'll and the like falls apart into the mark and the letters."""
+        if word[0] != "'" or not word[1:].isalpha():
+            return None
+        return [1, *(len(self.pairs.encode_ordinary(word[:k])) for k in range(2, len(word) + 1))]
+
     def of_ordinary(self, text: str) -> list[int]:
         """The same for a text that is not normalised."""
         if plain(text) or text.isascii():
@@ -272,21 +275,34 @@ class PrefixCounts:
             return array("i", counts).tobytes() + array("i", counts[-1:]).tobytes()
         return self.of_piece(piece).tobytes()
 
+    def _part(self, part: str) -> bytes:
+        """Tokens of every prefix of a word, or of the white space between words, in a plain lower-cased text."""
+        return array("i", [0] if part.isspace() else self._contraction(part) or self._word(part)).tobytes()
+
     def __call__(self, text: str | None) -> np.ndarray:
         """Tokens of the prefixes of 0, 1, 2, ... characters of a text."""
         if not text:
             return np.zeros(1, dtype=np.int32)
+        if plain(text) and not self.pairs.special_pattern.search(text):
+            parts = list(map(self.parts.__getitem__, PLAIN_PARTS.findall(text.lower())))
+            counts = np.frombuffer(b"".join([b"\0\0\0\0", *parts]), dtype=np.int32).copy()
+            self._add_up(counts[1:], parts)
+            return counts
         parts = list(map(self.pieces.__getitem__, text.split(" ")))
         counts = np.frombuffer(b"".join(parts), dtype=np.int32).copy()
-        lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
-        ends = np.cumsum(lengths)
-        totals = counts[ends - 1]
-        counts += np.repeat(np.cumsum(totals, dtype=np.int32) - totals, lengths)
+        self._add_up(counts, parts)
         # The entry for the space behind the last piece makes room for that of the empty prefix.
         counts[1:] = counts[:-1].copy()
         counts[0] = 0
         return counts
 
+    @staticmethod
+    def _add_up(counts: np.ndarray, parts: list[bytes]) -> None:
+        """Add to the counts in each part those of the parts before it."""
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+        totals = counts[np.cumsum(lengths) - 1]
+        counts += np.repeat(np.cumsum(totals, dtype=np.int32) - totals, lengths)
+
 
 @functools.lru_cache(maxsize=4)
 def prefix_counter(path: str) -> PrefixCounts:

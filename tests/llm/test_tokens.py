@@ -194,6 +194,18 @@ def test_a_word_with_marks_around_it_is_encoded_once(monkeypatch, name):
     assert len([piece for piece in made if piece.strip() == "zyxwv"]) <= 2 and not any("zyxwv," in piece for piece in made)
 
 
+def test_a_word_with_marks_around_it_is_counted_once(monkeypatch):
+    counter = prefix_counter(tokenizer_path(WORD_BPE))
+    made, word = [], counter._word
+    monkeypatch.setattr(counter, "_word", lambda given: made.append(given) or word(given))
+    counter.pieces.forget(), counter.parts.forget()
+    text = "  Uvutsrq, uvutsrq.\n\n(uvutsrq) uvutsrq's 'lluvutsrq"
+    library = Tokenizer.from_file(tokenizer_path(WORD_BPE))
+    expected = [len(library.encode(text[:k], add_special_tokens=False).ids) for k in range(len(text) + 1)]
+    assert counter(text).tolist() == expected
+    assert not counter.pieces and made.count("uvutsrq") == 1
+
+
 def test_short_words_are_merged_as_long_ones(monkeypatch):
     from postings.llm import bpe
 
