@@ -32,14 +32,15 @@ def stars_of(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[away], nodes[low[away]]
 
 
-def contracted(links: DataFrame) -> DataFrame:
-    """Stars in place of the links that lie in one task."""
+def contracted(links: DataFrame, most: int | None = None) -> DataFrame:
+    """Stars in place of the links that lie in one task, ``most`` of them (``HELD_LINKS``) at once."""
+    most = most or HELD_LINKS
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in batches:
             held.append(batch)
-            if sum(map(len, held)) >= HELD_LINKS:
+            if sum(map(len, held)) >= most:
                 yield stars(held)
                 held = []
         if held:
@@ -89,18 +90,24 @@ def connected_components(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     The component is its smallest node. Nulls and links of a node to itself are ignored. All steps
     are group-bys and joins of settled tables; a hub's links are split by adaptive execution, and
     only whether a round was the last one comes to the driver. Links that lie in one task are
-    made stars first, which spares rounds.
+    made stars first, which spares rounds; if what is left is no more than a task holds at once,
+    one does the rest.
     """
     low, high = F.least("a", "b"), F.greatest("a", "b")
     links = links.where("a != b").select(high.alias("a"), low.alias("b"))
     links = settle(contracted(links), "links")
-    for _ in range(most_rounds):
-        if _are_stars(links):
-            break
-        links = settle(_large_star(links), "large-star")
-        links = settle(_small_star(links), "small-star")
+    if links.count() <= HELD_LINKS:
+        links = settle(contracted(links.coalesce(1), HELD_LINKS + 1), "stars")
     else:
-        raise RuntimeError(f"components are not stable after {most_rounds} rounds")
+        # Again, now with all that is known of a node, which each task before gave one link at most.
+        links = settle(contracted(links.repartition("a")), "links-by-node")
+        for _ in range(most_rounds):
+            if _are_stars(links):
+                break
+            links = settle(_large_star(links), "large-star")
+            links = settle(_small_star(links), "small-star")
+        else:
+            raise RuntimeError(f"components are not stable after {most_rounds} rounds")
     stars = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     roots = links.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return stars.unionByName(roots)

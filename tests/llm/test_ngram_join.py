@@ -167,3 +167,23 @@ def test_components_of_long_chains(spark):
             expected[a] = expected[b] = min(expected[a], expected[b])
     found = connected_components(spark.createDataFrame(links, "a long, b long")).collect()
     assert {row["node"]: row["component"] for row in found} == expected and len(found) == len(expected)
+
+
+def test_few_links_need_no_rounds(spark, monkeypatch):
+    """A chain over many partitions, in which no task sees more than a few links."""
+    from postings.llm import components
+
+    links = [(i, i + 1) for i in range(300)] + [(1000, 2000)]
+    random.Random(5).shuffle(links)
+    links = spark.createDataFrame(links, "a long, b long").repartition(20)
+    expected = {i: 0 for i in range(301)} | {1000: 1000, 2000: 1000}
+    monkeypatch.setattr(components, "HELD_LINKS", 100)
+    assert dict(map(tuple, connected_components(links).collect())) == expected
+    monkeypatch.undo()
+
+    def fail(links):
+        raise AssertionError("a round for few links")
+
+    for step in ("_large_star", "_small_star", "_are_stars"):
+        monkeypatch.setattr(components, step, fail)
+    assert dict(map(tuple, connected_components(links).collect())) == expected
