@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postings.llm.components import connected_components, contracted, joined_components
+from postings.llm.components import connected_components, joined_components
 from postings.llm.exact_dedup import one_of_each
 from postings.llm.workers import Pieces, map_batches, release, ship, slices
 from postings.shared import settle
@@ -328,15 +328,16 @@ def ngram_components(
     grams = settle(_grams_of(texts.select("set_id", "text"), n), "grams")
     release(docs.sparkSession)
 
-    members, small = _clusters(members, grams.select("set_id", "n_grams"))
+    members, inside, small = _clusters(members, grams.select("set_id", "n_grams"))
     links = settle(_linked(small, grams, percent), "links")
     component = settle(connected_components(links), "components")
     for turn in range(leader_rounds + 1 if members is not None else 0):
         release(docs.sparkSession)
         last = turn == leader_rounds
-        members = _open(members, component, turn)
-        if members.isEmpty():
-            break
+        if turn:
+            members = _open(members, inside, component, turn)
+            if members.isEmpty():
+                break
         blocks = _coarse(members) if last else members
         probes = _outsiders(blocks) if last else _leaders(blocks, turn)
         found = settle(_linked(_tiles(probes, blocks), grams, percent), f"links-{turn}")
@@ -384,13 +385,16 @@ def _once(members: DataFrame) -> DataFrame:
     return settle(members.join(chosen, "signature", "left_semi"), "distinct-members")
 
 
-def _clusters(members: DataFrame, sizes: DataFrame) -> tuple[DataFrame | None, DataFrame]:
-    """The members of large clusters with their ``n_grams`` and ``cluster``, or None without such clusters; and the
-    tiles of all other clusters. ``sizes`` has the ``n_grams`` of every set."""
+#: Columns of a member of a large cluster, besides its component.
+_MEMBER = ["signature", "set_id", "n_grams", "cluster"]
+
+
+def _clusters(members: DataFrame, sizes: DataFrame) -> tuple[DataFrame | None, DataFrame | None, DataFrame]:
+    """The members of large clusters with their ``n_grams`` and ``cluster``, each a component of its own, and the sets
+    in these clusters, or None without such clusters; and the tiles of all other clusters. ``sizes`` has the ``n_grams``
+    of every set."""
     low = members.groupBy("signature").agg(F.min("set_id").alias("low"))
     edges = members.join(settle(low, "block-lows"), "signature").select(F.col("set_id").alias("a"), F.col("low").alias("b"))
-    # Twice by tasks, the second time with all that is known of a node, which each task before gave one link at most.
-    edges = contracted(edges).repartition("a")
     found = settle(connected_components(edges), "clusters").withColumnRenamed("component", "cluster")
     sized = sizes.join(found, F.col("set_id") == F.col("node"))
     sized = settle(sized.select("set_id", "n_grams", "cluster"), "clustered")
@@ -400,9 +404,10 @@ def _clusters(members: DataFrame, sizes: DataFrame) -> tuple[DataFrame | None, D
     small = _cluster_tiles(sized, counts.where("not is_large"), 1 + sized.count() // TILE_PROBES)
     large = counts.where("is_large").select("cluster")
     if large.isEmpty():
-        return None, small
+        return None, None, small
     inside = settle(sized.join(large, "cluster", "left_semi"), "in-large")
-    return settle(members.join(inside, "set_id"), "large-members"), small
+    members = members.join(inside, "set_id").select(*_MEMBER, F.col("set_id").alias("component"))
+    return settle(members, "large-members"), inside, small
 
 
 def _cluster_tiles(sized: DataFrame, counts: DataFrame, buckets: int) -> DataFrame:
@@ -425,18 +430,24 @@ def _cluster_tiles(sized: DataFrame, counts: DataFrame, buckets: int) -> DataFra
     )
 
 
-def _open(members: DataFrame, component: DataFrame, turn: int) -> DataFrame:
-    """The members with their components, of the blocks that have more than one."""
+def _open(members: DataFrame, inside: DataFrame, component: DataFrame, turn: int) -> DataFrame:
+    """The members with their components, of the blocks that have more than one.
+
+    A set is a member of many blocks: components are looked up set by set, and clusters that are one
+    component go before their members are touched.
+    """
     known = component.withColumnRenamed("component", "at")
-    members = (
-        members.drop("component")
-        .join(known, members["set_id"] == known["node"], "left")
-        .select("signature", "set_id", "n_grams", "cluster", F.coalesce("at", "set_id").alias("component"))
-    )
-    members = settle(members, f"members-{turn}")
-    spread = members.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    unfinished = settle(spread.where("low != high").select("signature"), f"open-{turn}")
-    return _once(settle(members.join(unfinished, "signature", "left_semi"), f"open-members-{turn}"))
+    sets = inside.join(known, inside["set_id"] == known["node"], "left")
+    sets = settle(sets.select("set_id", "cluster", F.coalesce("at", "set_id").alias("component")), f"sets-{turn}")
+    members = members.drop("component").join(_apart(sets, "cluster", turn).drop("cluster"), "set_id")
+    return _apart(settle(members.select(*_MEMBER, "component"), f"members-{turn}"), "signature", turn)
+
+
+def _apart(rows: DataFrame, name: str, turn: int) -> DataFrame:
+    """The rows of the groups that have more than one component."""
+    spread = rows.groupBy(name).agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    unfinished = settle(spread.where("low != high").select(name), f"open-{name}-{turn}")
+    return settle(rows.join(unfinished, name, "left_semi"), f"in-open-{name}-{turn}")
 
 
 def _leaders(members: DataFrame, turn: int) -> DataFrame:

@@ -187,3 +187,30 @@ def test_few_links_need_no_rounds(spark, monkeypatch):
     for step in ("_large_star", "_small_star", "_are_stars"):
         monkeypatch.setattr(components, step, fail)
     assert dict(map(tuple, connected_components(links).collect())) == expected
+
+
+def test_members_of_a_finished_cluster_are_not_joined_with_components(spark, monkeypatch):
+    """Copies with one changed word each are one component after the leaders: rows for each set are looked at
+    then, not for each block of each set."""
+    from postings.llm import ngram_join
+
+    rng = random.Random(2)
+    base = [f"w{i}" for i in range(300)]
+    made = []
+    for i in range(40):
+        text = list(base)
+        text[rng.randrange(300)] = f"changed{i}"
+        made.append((i, " ".join(text)))
+    rows, settle = {}, ngram_join.settle
+
+    def counted(df, name):
+        found = settle(df, name)
+        rows[name] = found.count()
+        return found
+
+    monkeypatch.setattr(ngram_join, "settle", counted)
+    monkeypatch.setattr(ngram_join, "TILE_MEMBERS", 10)
+    found = ngram_components(spark.createDataFrame(made, "doc_id long, text string"), 3, 90)
+    assert {row["component_id"] for row in found.collect()} == {0}
+    assert rows["large-members"] > 5 * 40
+    assert "members-0" not in rows and rows["sets-1"] == 40 and rows["members-1"] == 0
