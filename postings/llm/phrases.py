@@ -19,6 +19,8 @@ from postings.shared import settle
 SHARD = 12 << 20
 #: Rows of counts that a task adds up over its shards before it sends them on.
 HELD = 2_000_000
+#: Words that a task of the last map has at least, about, as long as there are tasks for all cores.
+TASK_WORDS = 12_000_000
 #: The filters of words and of phrases of each length have 2**26 places, 8 MB, whatever the table.
 BITS = 26
 #: Parts that the phrases of a language are ranked in before the last ranking.
@@ -195,9 +197,12 @@ def _count_phrases(shared: list, most: int):
         for lang, texts in _shards(batches):
             held += _shard_counts(_Shard(lang, texts, frequent), lang, most)
             if sum(table.num_rows for table in held) > HELD:
-                yield from _added(held)
-                held = []
-        yield from _added(held)
+                held = [_added(held)]
+                if held[0].num_rows > HELD // 2:
+                    yield from held[0].to_batches(max_chunksize=100_000)
+                    held = []
+        if held:
+            yield from _added(held).to_batches(max_chunksize=100_000)
 
     return run
 
@@ -219,11 +224,10 @@ def _shard_counts(shard: _Shard, lang: str, most: int) -> Iterator[pa.Table]:
         )
 
 
-def _added(held: list[pa.Table]) -> Iterator[pa.RecordBatch]:
+def _added(held: list[pa.Table]) -> pa.Table:
     """The sums of the counts of several shards."""
-    if held:
-        added = pa.concat_tables(held).group_by(["lang", "phrase", "words"]).aggregate([("n", "sum")])
-        yield from added.rename_columns(["lang", "phrase", "words", "n"]).to_batches(max_chunksize=100_000)
+    added = pa.concat_tables(held).group_by(["lang", "phrase", "words"]).aggregate([("n", "sum")])
+    return added.rename_columns(["lang", "phrase", "words", "n"])
 
 
 def frequent_places(counts: DataFrame, least: int) -> Places:
@@ -256,7 +260,8 @@ def phrase_counts(
     shard. Each map but the last counts phrases of one length more by 2**26 places of a hash: a place below
     ``least`` holds no frequent one, and no phrase with an infrequent part is frequent. The last counts
     phrases of what is left. The places only spare work. However full they are, counts are the sums over
-    all shards.
+    all shards. Every task of the last map sends a row for each phrase it has, so its tasks are made larger,
+    up to ``TASK_WORDS``, where there are enough of them for the cores.
     """
     spark = docs.sparkSession
     rows = docs.select(
@@ -271,12 +276,15 @@ def phrase_counts(
     for size in range(2, most):
         counts = map_batches(rows, _count_places(shared, size), "place long, n long")
         shared.append(share(frequent_places(counts, least)))
-    found = map_batches(rows, _count_phrases(shared, most), "lang string, phrase string, words int, n long")
+    totals = words.where("place is null").select("lang", "n")
+    tasks = (totals.agg(F.sum("n")).first()[0] or 0) // TASK_WORDS + 1
+    joined = rows.coalesce(max(tasks, 2 * spark.sparkContext.defaultParallelism))
+    found = map_batches(joined, _count_phrases(shared, most), "lang string, phrase string, words int, n long")
     found = found.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
     found = settle(found, "phrases")
     for filters in shared:
         filters.unpersist()
-    return Phrases(found, words.where("place is null").select("lang", "n"))
+    return Phrases(found, totals)
 
 
 def _exact(name: str) -> Column:

@@ -140,3 +140,31 @@ def test_query(spark):
     actual = spark_rows(queries.QUERIES["op13_phrases"](spark, folder))
     assert len(actual[1]) > 200
     assert_same(actual, duckdb_rows(queries.oracles()["op13_phrases"], folder))
+
+
+def test_the_last_map_sends_no_row_for_each_small_partition(spark, monkeypatch):
+    """One text in each of 60 partitions: the rows sent do not grow with partitions beyond the cores'."""
+    rows = [("en", "one two three four")] * 60
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(60)
+    sent, map_batches = [], phrases.map_batches
+    monkeypatch.setattr(phrases, "map_batches", lambda df, f, schema: sent.append(map_batches(df, f, schema)) or sent[-1])
+    found = phrase_counts(docs)
+    assert {(row["phrase"], row["n"]) for row in found.phrases.collect()} >= {("one two three four", 60), ("two", 60)}
+    assert sent[-1].count() <= 10 * 2 * spark.sparkContext.defaultParallelism
+
+
+def test_counts_held_by_a_task_are_added_up_before_they_are_sent(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "SHARD", 20)
+    frequent = [phrases.Places([(i, b"\xff" * 4096) for i in range(1, 1 + (1 << (phrases.BITS - 15)))])]
+    run = phrases._count_phrases([type("Shared", (), {"value": frequent[0]})], 2)
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * 40, "text": ["one two three four"] * 40})
+    expected = counted([("en", "one two three four")] * 40, most=2)[0]
+    for held, rows in ((25, 7), (3, None)):
+        monkeypatch.setattr(phrases, "HELD", held)
+        found = [tuple(row.values()) for part in run(iter([batch])) for row in part.to_pylist()]
+        if rows:
+            assert len(found) == rows
+        total = Counter()
+        for lang, phrase, _, n in found:
+            total[lang, tuple(phrase.split(" "))] += n
+        assert total == expected
