@@ -29,6 +29,8 @@ LEAST_LOG_RATIO = 1.5
 BEGINNINGS = (4, 5, 6)
 #: Grades above 0 that toxic texts without a grade of their own are split into.
 GRADES = 3
+#: Pieces of text whose features are remembered, about: few have any, and those that are rare are soon worked out.
+MOST_PIECES = 100_000
 #: Strength of the pull of the weights to zero, per text.
 SHRINK = 1e-5
 
@@ -48,11 +50,15 @@ class SeverityModel:
     weights: np.ndarray
     thresholds: np.ndarray
     pieces: Pieces | None = field(default=None, repr=False)
+    #: All features of a word begin with its first letters, so most words are seen to have none at once.
+    starts: set[str] = field(default_factory=set, repr=False)
 
     def _piece(self, piece: str) -> bytes:
+        least, starts = BEGINNINGS[0], self.starts
         found = [
             self.features[name]
             for word in _WORD.findall(piece.lower())
+            if word[:least] in starts
             for name in features_of(word)
             if name in self.features
         ]
@@ -60,7 +66,8 @@ class SeverityModel:
 
     def score(self, text: str | None) -> float:
         if self.pieces is None:
-            self.pieces = Pieces(self._piece)
+            self.pieces = Pieces(self._piece, most=MOST_PIECES)
+            self.starts = {name[: BEGINNINGS[0]] for name in self.features}
         found = np.frombuffer(b"".join(map(self.pieces.__getitem__, (text or "").split())), dtype="<i4")
         if not len(found):
             return 0.0
