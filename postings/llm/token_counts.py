@@ -19,11 +19,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postings.llm.bpe import BytePairs, byte_pairs
-from postings.llm.tokens import PLAIN_PARTS, PLAIN_WORDS, plain
+from postings.llm.tokens import PLAIN_WORDS, plain
 from postings.llm.workers import Pieces, map_batches, slices
 
-#: Prefixes of words up to so many bytes are remembered, so many of them at once.
-REMEMBERED, MOST_STATES = 24, 500_000
+#: Prefixes of words up to so many bytes are remembered, so many of them at once. Few words share longer ones.
+REMEMBERED, MOST_STATES = 7, 500_000
+#: The key of tokens where others are bytes.
+TOKENS = -1
 
 _SPACE = regex.compile(r"\p{White_Space}")
 _LETTER = regex.compile(r"\p{L}")
@@ -49,19 +51,11 @@ def _opens(character: str) -> bool:
     return not unicodedata.combining(first) and first not in _joining()
 
 
-class _Grown(bytearray):
-    """Bytes that can be added to, of which slices can be looked up."""
-
-    def __getitem__(self, at):
-        found = super().__getitem__(at)
-        return bytes(found) if isinstance(at, slice) else found
-
-
 class _Growing:
     """The states of the prefixes of one word, to be added to at the end and cut back."""
 
     def __init__(self, counter: "PrefixCounts"):
-        self.counter, self.data = counter, _Grown()
+        self.counter, self.data = counter, bytearray()
         self.count, self.last, self.begins = [0], [-1], [0]
 
     def add(self, text: str) -> None:
@@ -75,8 +69,7 @@ class _Growing:
 
     def finished(self) -> int:
         """Tokens of the word if it ends here."""
-        counter, end = self.counter, len(self.data)
-        return self.count[counter._last(self.data, end, counter.final, self.last, self.begins)[0]] + 1
+        return self.counter._state(self.data, len(self.data), True, self.count, self.last, self.begins)[3]
 
     def cut(self, size: int) -> None:
         """Back to the first ``size`` bytes."""
@@ -103,7 +96,13 @@ class PrefixCounts:
                 for data, number in self.final.items()
             },
         }
-        self.longest = max(map(len, [*self.inner, *self.final]))
+        # The tokens by their bytes from the last to the first. Under ``TOKENS``: inside a word, and at its end.
+        self.endings: dict = {}
+        for data in self.inner.keys() | self.final.keys():
+            node = self.endings
+            for byte in reversed(data):
+                node = node.setdefault(byte, {})
+            node[TOKENS] = self.inner.get(data), self.final.get(data)
         self.fits = Pieces(self._fits, longest=2)
         self.states: dict[bytes, tuple[int, int, int, int]] = {}
         self.words = Pieces(self._word)
@@ -117,31 +116,32 @@ class PrefixCounts:
             return self.pairs.merge(self.symbols[second]) == [second]
         return self.pairs.merge(self.symbols[first] + self.symbols[second]) == [first, second]
 
-    def _last(
-        self, data: bytes, end: int, table: dict[bytes, int], last: list[int], begins: list[int]
-    ) -> tuple[int, int]:
-        """Where the last token of ``data[:end]`` begins, and that token. There is only one that fits,
-        and often it is the last one of the prefix before, made longer."""
-        fits = self.fits
-        guess = begins[end - 1]
-        token = table.get(data[guess:end])
-        if token is not None and fits[last[guess], token]:
-            return guess, token
-        for begin in range(max(0, end - self.longest), end):
-            token = table.get(data[begin:end])
-            if token is not None and begin != guess and fits[last[begin], token]:
-                return begin, token
-        raise AssertionError("every byte is a token")
-
     def _state(
         self, data: bytes, end: int, whole: bool, count: list[int], last: list[int], begins: list[int]
     ) -> tuple[int, int, int, int]:
-        """Of ``data[:end]``: tokens if the word goes on, the last one and its begin; tokens if not."""
-        begin, token = self._last(data, end, self.inner, last, begins)
-        finished = 0
-        if whole:
-            finished = count[self._last(data, end, self.final, last, begins)[0]] + 1
-        return count[begin] + 1, token, begin, finished
+        """Of ``data[:end]``: tokens if the word goes on, the last one and its begin; tokens if not.
+
+        Of the tokens that ``data[:end]`` ends in only one fits, most often one of the longest.
+        """
+        fits, node, ending = self.fits, self.endings, []
+        for at in range(end - 1, -1, -1):
+            node = node.get(data[at])
+            if node is None:
+                break
+            if TOKENS in node:
+                ending.append((at, node[TOKENS]))
+        ending.reverse()
+        for begin, (token, _) in ending:
+            if token is not None and fits[last[begin], token]:
+                break
+        else:
+            raise AssertionError("every byte is a token")
+        if not whole:
+            return count[begin] + 1, token, begin, 0
+        for at, (_, closing) in ending:
+            if closing is not None and fits[last[at], closing]:
+                return count[begin] + 1, token, begin, count[at] + 1
+        raise AssertionError("every byte is a token at the end of a word")
 
     def _word(self, word: str) -> list[int]:
         """Tokens of every prefix of a word, by character.
@@ -275,19 +275,24 @@ class PrefixCounts:
             return array("i", counts).tobytes() + array("i", counts[-1:]).tobytes()
         return self.of_piece(piece).tobytes()
 
-    def _part(self, part: str) -> bytes:
-        """Tokens of every prefix of a word, or of the white space between words, in a plain lower-cased text."""
-        return array("i", [0] if part.isspace() else self._contraction(part) or self._word(part)).tobytes()
+    def _part(self, word: str) -> bytes:
+        """Tokens of every prefix of a word of a plain lower-cased text."""
+        return array("i", self._contraction(word) or self._word(word)).tobytes()
 
     def __call__(self, text: str | None) -> np.ndarray:
         """Tokens of the prefixes of 0, 1, 2, ... characters of a text."""
         if not text:
             return np.zeros(1, dtype=np.int32)
         if plain(text) and not self.pairs.special_pattern.search(text):
-            parts = list(map(self.parts.__getitem__, PLAIN_PARTS.findall(text.lower())))
+            parts = list(map(self.parts.__getitem__, PLAIN_WORDS.findall(text.lower())))
             counts = np.frombuffer(b"".join([b"\0\0\0\0", *parts]), dtype=np.int32).copy()
-            self._add_up(counts[1:], parts)
-            return counts
+            if parts:
+                self._add_up(counts[1:], parts)
+            # All but white space is in words, and white space adds nothing.
+            characters = np.frombuffer(text.encode("utf-32-le"), dtype="<u4")
+            places = np.zeros(len(text) + 1, dtype=np.int64)
+            np.cumsum((characters != 32) & (characters != 10), out=places[1:])
+            return counts[places]
         parts = list(map(self.pieces.__getitem__, text.split(" ")))
         counts = np.frombuffer(b"".join(parts), dtype=np.int32).copy()
         self._add_up(counts, parts)

@@ -215,3 +215,24 @@ def test_short_words_are_merged_as_long_ones(monkeypatch):
     short = [pairs.merge(given) for given in symbols]
     monkeypatch.setattr(bpe, "SHORT", 0)
     assert short == [pairs.merge(given) for given in symbols]
+
+
+class CountedBytes(bytes):
+    looks = 0
+
+    def __getitem__(self, at):
+        CountedBytes.looks += 1
+        return super().__getitem__(at)
+
+
+def test_a_prefix_is_looked_at_no_further_back_than_tokens_reach():
+    counter = prefix_counter(tokenizer_path(WORD_BPE))
+    word = "qzxjkvwqpzjxkqvz" * 4
+    data, count, last, begins = CountedBytes(word.encode()), [0], [-1], [0]
+    CountedBytes.looks = 0
+    for end in range(1, len(word) + 1):
+        state = counter._state(data, end, True, count, last, begins)
+        assert state[3] == len(counter.pairs.encode_ordinary(word[:end]))
+        for values, value in zip((count, last, begins), state, strict=False):
+            values.append(value)
+    assert CountedBytes.looks < 5 * len(word)
