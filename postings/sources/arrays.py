@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from postings.schema import AD_SCHEMA
+from postings.shared import settle
 
 _BLANK = r"[ \t\r\n\x{feff}]*"
 
@@ -17,13 +18,14 @@ def read_split_array(spark: SparkSession, path: str, schema: T.StructType = AD_S
     before it. So each block is summed up as a map: from the state at its beginning (in a string or not) to
     that at its end and to the change of depth. The maps of a file, one row a block, are composed in order.
     With the state at its beginning each block is cut where a brace closes a record, and what crosses the end
-    of a block is put together again. The text is shuffled once, by block.
+    of a block is put together again. The text is shuffled once, by block, and its fragments are written to the
+    shared folder (runs a job): both those inside a block and those at its edges are taken from there.
 
     Elements that are null are left out, as are files without any text. An array that is not whole, or has
     anything but objects and nulls in it, is an error. Only the schema's fields are looked at.
     """
     pieces = _pieces(spark, path)
-    fragments = _fragments(pieces, _entries(pieces))
+    fragments = settle(_fragments(pieces, _entries(pieces)), "fragments")
     inner = fragments.where("fragment > 0 and ended").select("file", "text", "ended")
     edges = fragments.where("fragment = 0 or not ended")
     records = inner.unionByName(_put_together(edges)).select(_body(F.col("text"), F.col("ended")).alias("body"))

@@ -96,3 +96,10 @@ def test_what_is_no_whole_array_is_an_error(spark, tmp_path, small_blocks, broke
     (tmp_path / "a.json").write_text(broken)
     with pytest.raises(Exception):
         read_split_array(spark, str(tmp_path / "a.json")).collect()
+
+
+def test_the_text_is_cut_once(spark, tmp_path):
+    (tmp_path / "a.json").write_text('[{"id": "1"}, {"id": "2"}]')
+    found = read_split_array(spark, str(tmp_path / "a.json"))
+    assert "Scan text" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(row["id"] for row in found.collect()) == ["1", "2"]
