@@ -214,3 +214,33 @@ def test_members_of_a_finished_cluster_are_not_joined_with_components(spark, mon
     assert {row["component_id"] for row in found.collect()} == {0}
     assert rows["large-members"] > 5 * 40
     assert "members-0" not in rows and rows["sets-1"] == 40 and rows["members-1"] == 0
+
+
+@pytest.mark.parametrize("most_changes", [5, 40])
+def test_a_large_cluster_is_not_moved_once_for_each_block(spark, monkeypatch, most_changes):
+    """Copies that agree in many blocks, all linked or many of them not: a set is in a few tiles, not in one for
+    each of its blocks, and no link is lost."""
+    from postings.llm import ngram_join
+
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(300)]
+    made = []
+    for i in range(120):
+        text = list(base)
+        for at in rng.sample(range(300), rng.randint(0, most_changes)):
+            text[at] = f"changed{i}"
+        made.append((i, " ".join(text)))
+    moved, linked = [], ngram_join._linked
+
+    def counted(tiles, *given):
+        moved.append(tiles.count())
+        return linked(tiles, *given)
+
+    monkeypatch.setattr(ngram_join, "_linked", counted)
+    monkeypatch.setattr(ngram_join, "TILE_PROBES", 16)
+    monkeypatch.setattr(ngram_join, "TILE_MEMBERS", 40)
+    found = ngram_components(spark.createDataFrame(made, "doc_id long, text string"), 5, 80)
+    rows = Counter(map(tuple, found.select("doc_id", "n_shingles", "component_id").collect()))
+    assert rows == brute_force(made, 5, 80)
+    assert (len({row[2] for row in rows}) == 1) == (most_changes == 5)
+    assert len(moved) > 1 and sum(moved) < 10 * len(made), moved
