@@ -1,9 +1,10 @@
 """Collections of documents that are replaced as a whole: a data source that commits when every task is done.
 
 A collection is a folder ``<uri>/<database>/<collection>`` of JSON documents, one a line, and a list
-``current.json`` of the files that belong to it. A write makes new files beside the old ones; they belong to
-the collection only once the list names them, which happens in one step at the end. A write that fails, or
-a task that is tried twice, leaves files that no list names; the former are deleted.
+``current.json`` of the files that belong to it. The tasks of a write make new files in a folder of their own,
+which goes when the write is done or has failed, so that a task that ends later finds no place for its file. The
+files of a write that is done are moved beside the old ones; they belong to the collection only once the list
+names them, which happens in one step at the end.
 """
 
 import json
@@ -53,6 +54,9 @@ def _folder(options) -> str:
 class CollectionWriter(DataSourceArrowWriter):
     def __init__(self, folder: str, overwrite: bool):
         self.folder, self.overwrite, self.run = folder, overwrite, uuid.uuid4().hex
+        # Made once, before there are tasks: none can make it again when it is gone.
+        system, root = _opened(folder)
+        system.create_dir(f"{root}/.{self.run}", recursive=True)
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         """One file of documents; a null field is left out."""
@@ -62,8 +66,7 @@ class CollectionWriter(DataSourceArrowWriter):
         for batch in iterator:
             for row in batch.to_pylist():
                 if out is None:
-                    system.create_dir(root, recursive=True)
-                    out = system.open_output_stream(f"{root}/{name}")
+                    out = system.open_output_stream(f"{root}/.{self.run}/{name}")
                 document = {key: value for key, value in row.items() if value is not None}
                 out.write(json.dumps(document, ensure_ascii=False, default=str).encode() + b"\n")
                 count += 1
@@ -73,29 +76,37 @@ class CollectionWriter(DataSourceArrowWriter):
 
     def commit(self, messages) -> None:
         system, root = _opened(self.folder)
-        system.create_dir(root, recursive=True)
         before = _listed(system, root)
         files = [message.file for message in messages if message is not None and message.file]
+        for file in files:
+            system.move(f"{root}/.{self.run}/{file}", f"{root}/{file}")
         kept = [] if self.overwrite else before
         text = "".join(json.dumps({"file": file}) + "\n" for file in [*kept, *files])
         # Moving over a file is one step: readers see the old list or the new one.
-        with system.open_output_stream(f"{root}/.{self.run}") as out:
+        with system.open_output_stream(f"{root}/.{self.run}/{LIST}") as out:
             out.write(text.encode())
-        system.move(f"{root}/.{self.run}", f"{root}/{LIST}")
+        system.move(f"{root}/.{self.run}/{LIST}", f"{root}/{LIST}")
         for file in set(before) - set(kept):
             _delete(system, f"{root}/{file}")
-        self._delete_others(system, root, set(files))
+        self._end(system, root)
 
     def abort(self, messages) -> None:
         system, root = _opened(self.folder)
-        self._delete_others(system, root, set())
-
-    def _delete_others(self, system: fs.FileSystem, root: str, files: set[str]) -> None:
-        """What tasks of this write left that were tried again, or whose write failed."""
+        self._end(system, root)
+        listed = set(_listed(system, root))
         for info in system.get_file_info(fs.FileSelector(root, allow_not_found=True)):
-            if info.base_name.startswith(f"{self.run}-") and info.base_name not in files:
+            if info.base_name.startswith(f"{self.run}-") and info.base_name not in listed:
                 _delete(system, info.path)
 
+    def _end(self, system: fs.FileSystem, root: str) -> None:
+        """The folder of the tasks goes, with what was left by those that were tried again or failed."""
+        try:
+            # Tasks that still run could make files in it while it is emptied.
+            system.move(f"{root}/.{self.run}", f"{root}/.{self.run}-ended")
+        except FileNotFoundError:
+            return
+        system.delete_dir(f"{root}/.{self.run}-ended")
+
 
 def _listed(system: fs.FileSystem, root: str) -> list[str]:
     path = f"{root}/{LIST}"

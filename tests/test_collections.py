@@ -2,10 +2,11 @@ import datetime
 import json
 import os
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from postings.sources.collections import read_collection, write_collection
+from postings.sources.collections import CollectionSource, read_collection, write_collection
 from postings.sources.sinks import save_result
 from tests.ads import rows
 
@@ -61,6 +62,22 @@ def test_a_failed_write_leaves_the_old_collection(spark, tmp_path):
         assert files(tmp_path) == before
 
 
+def test_a_task_that_ends_after_its_write_failed_leaves_nothing(tmp_path):
+    options = {"uri": str(tmp_path), "database": "jobs", "collection": "found"}
+    batch = pa.RecordBatch.from_pydict({"region": ["late"]})
+    writer = CollectionSource(options).writer(None, overwrite=True)
+
+    def late():
+        yield batch
+        writer.abort([])
+        yield batch
+
+    writer.write(late())
+    with pytest.raises(FileNotFoundError):
+        writer.write(iter([batch]))
+    assert os.listdir(folder(tmp_path)) == []
+
+
 def test_nothing_replaces_something(spark, tmp_path):
     df = spark.createDataFrame(MADE, SCHEMA)
     write_collection(df, uri=str(tmp_path), database="jobs", collection="found")
