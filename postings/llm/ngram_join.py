@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from postings.llm.components import connected_components, joined_components
 from postings.llm.exact_dedup import one_of_each
 from postings.llm.workers import Pieces, map_batches, release, ship, slices
-from postings.shared import settle
+from postings.shared import discard, passing_tables, settle
 
 #: Sizes in one class lie within this ratio, and all sets of a class use the same column blocks.
 CLASS_RATIO = 1.5
@@ -41,7 +41,7 @@ CLASSES = 64
 #: Column blocks beyond those that a link needs, as a share of the n-grams in which linked sets differ.
 SPARE_SHARE = 0.1
 #: Parts of the signatures that are looked through one after the other, so that disks hold the shuffles of one.
-PASSES = 2
+PASSES = 4
 #: Column blocks that the accumulation goes through.
 PRODUCT_BLOCKS = 4
 #: Rows of a tile on either side, and n-grams of them, about.
@@ -321,36 +321,57 @@ def ngram_components(
     without id belongs to its component but does not name it; where no row has one, the component is
     null. Rows with the same id are rows of their own, each with its own set.
     """
-    sets = settle(gram_sets(docs, n, percent, key, text), "gram-sets")
-    members = _once(_agreeing(settle(_members(sets).distinct(), "block-members"), sets))
-
-    wanted = members.select("set_id").distinct()
-    owners = sets.groupBy("set_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("owner"))
-    owners = settle(wanted.join(owners, "set_id").select("set_id", "owner.*"), "set-owners")
-    texts = _texts(docs, key, text)
-    owned = texts["doc_id"].eqNullSafe(owners["doc_id"]) & (texts["text_hash"] == owners["text_hash"])
-    # The number of owners grows with the texts; the texts are shuffled at every size.
-    texts = texts.join(owners.hint("merge"), owned)
-    grams = settle(_grams_of(texts.select("set_id", "text"), n), "grams")
-    release(docs.sparkSession)
+    spark = docs.sparkSession
+    # What a step needed goes with it, so that disks hold little besides the shuffle of the moment.
+    with passing_tables(spark) as keep:
+        wide = settle(gram_sets(docs, n, percent, key, text), "gram-sets")
+        members = _members(wide)
+        sets = keep(settle(wide.drop("signatures"), "sets"))
+        discard(wide)
+        members = keep(_once(_agreeing(members, sets)))
+    release(spark)
+
+    with passing_tables(spark) as keep:
+        wanted = members.select("set_id").distinct()
+        owners = sets.groupBy("set_id").agg(F.min(F.struct("doc_id", "text_hash")).alias("owner"))
+        owners = settle(wanted.join(owners, "set_id").select("set_id", "owner.*"), "set-owners")
+        texts = _texts(docs, key, text)
+        owned = texts["doc_id"].eqNullSafe(owners["doc_id"]) & (texts["text_hash"] == owners["text_hash"])
+        # The number of owners grows with the texts; the texts are shuffled at every size.
+        texts = texts.join(owners.hint("merge"), owned)
+        grams = keep(settle(_grams_of(texts.select("set_id", "text"), n), "grams"))
+    release(spark)
+
+    with passing_tables(spark) as keep:
+        component = keep(_joined(members, grams, percent, leader_rounds))
+    discard(members, grams)
+    release(spark)
+    return _labelled(sets, component)
+
 
+def _joined(members: DataFrame, grams: DataFrame, percent: int, leader_rounds: int) -> DataFrame:
+    """``node, component``, settled, of the sets that links join."""
+    spark = grams.sparkSession
     members, inside, small = _clusters(members, grams.select("set_id", "n_grams"))
     links = settle(_linked(small, grams, percent), "links")
     component = settle(connected_components(links), "components")
     for turn in range(leader_rounds + 1 if members is not None else 0):
-        release(docs.sparkSession)
+        release(spark)
         last = turn == leader_rounds
-        if turn:
-            members = _open(inside, component, turn)
-            if members.isEmpty():
-                break
-        blocks = _coarse(members)
-        probes = _outsiders(blocks) if last else _leaders(blocks, turn)
-        found = settle(_linked(_tiles(probes, blocks), grams, percent), f"links-{turn}")
-        if found.isEmpty():
-            continue
-        component = settle(joined_components(component, found), f"components-{turn}")
-    return _labelled(sets, component)
+        with passing_tables(spark) as keep:
+            if turn:
+                members = _open(inside, component, turn)
+                if members.isEmpty():
+                    break
+            blocks = _coarse(members)
+            if not turn:
+                discard(members)
+            probes = _outsiders(blocks) if last else _leaders(blocks, turn)
+            found = settle(_linked(_tiles(probes, blocks), grams, percent), f"links-{turn}")
+            if found.isEmpty():
+                continue
+            component = keep(settle(joined_components(component, found), f"components-{turn}"))
+    return component
 
 
 def _members(sets: DataFrame) -> DataFrame:
@@ -363,10 +384,14 @@ def _members(sets: DataFrame) -> DataFrame:
         turned = rows.where(part == turn)
         span = turned.groupBy("signature").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"))
         shared = settle(span.where("low != high").select("signature"), f"shared-blocks-{turn}")
+        # The rows move again; where they moved for their spans is let go first.
+        release(sets.sparkSession)
         # Settled before the copies are taken out, so that the join of a signature with many can be split.
         found.append(settle(turned.join(shared, "signature", "left_semi"), f"block-rows-{turn}"))
         release(sets.sparkSession)
-    return reduce(DataFrame.unionByName, found)
+    members = settle(reduce(DataFrame.unionByName, found).distinct(), "block-members")
+    discard(*found)
+    return members
 
 
 def _agreeing(members: DataFrame, sets: DataFrame) -> DataFrame:

@@ -1,3 +1,4 @@
+import os
 import random
 import re
 from collections import Counter
@@ -5,9 +6,10 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from postings.llm import queries
+from postings.llm import ngram_join, queries
 from postings.llm.components import connected_components
 from postings.llm.ngram_join import ngram_components, one_of_each_component, product_tile, signatures
+from postings.shared import application_folder
 from tests.compare import assert_same, duckdb_rows, spark_rows
 from tests.llm import cases
 
@@ -244,3 +246,17 @@ def test_a_large_cluster_is_not_moved_once_for_each_block(spark, monkeypatch, mo
     assert rows == brute_force(made, 5, 80)
     assert (len({row[2] for row in rows}) == 1) == (most_changes == 5)
     assert len(moved) > 1 and sum(moved) < 10 * len(made), moved
+
+
+def test_tables_go_with_the_steps_that_need_them(spark, monkeypatch):
+    # Small tiles, so that there are large clusters and all rounds.
+    monkeypatch.setattr(ngram_join, "TILE_MEMBERS", 4)
+    rows = near_copies()
+    folder = application_folder(spark)
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    found = ngram_components(spark.createDataFrame(rows, "doc_id long, text string"), 3, 80)
+    left = sorted(name.rpartition("-")[0] for name in set(os.listdir(folder)) - before)
+    # Nothing as wide as signatures, n-grams or members of blocks; only rows of ids.
+    assert set(left) <= {"sets", "components", "components-0", "components-1", "in-components", "component-ids"}
+    got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found.collect())
+    assert got == brute_force(rows, 3, 80)

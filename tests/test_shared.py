@@ -2,7 +2,7 @@ import types
 
 import pytest
 
-from postings.shared import checkpointed, new_path, settle, shared_folder
+from postings.shared import checkpointed, discard, new_path, passing_tables, settle, shared_folder
 
 
 def fake_session(master, setting=None, current=None):
@@ -42,3 +42,28 @@ def test_settled_and_checkpointed(spark):
         assert copy.schema.simpleString() == df.schema.simpleString()
         assert sorted(copy.collect()) == sorted(df.collect())
     assert new_path(spark, "x") != new_path(spark, "x")
+
+
+def test_tables_that_pass(spark):
+    df = spark.createDataFrame([(1,), (2,)], "n long")
+    with passing_tables(spark) as keep_outside:
+        with passing_tables(spark) as keep:
+            gone, kept = settle(df, "gone"), keep(settle(df, "kept"))
+            settle(gone.unionByName(kept), "union")
+        assert kept.count() == 2
+        with pytest.raises(Exception, match="(?i)path|file"):
+            gone.collect()
+        stays, discarded = keep_outside(settle(kept, "stays")), settle(df, "discarded")
+        discard(discarded)
+        discard(discarded)
+    assert stays.count() == 2
+    for table in (kept, discarded):
+        with pytest.raises(Exception, match="(?i)path|file"):
+            table.collect()
+    with pytest.raises(ZeroDivisionError), passing_tables(spark):
+        failed = settle(df, "failed")
+        1 / 0
+    with pytest.raises(Exception, match="(?i)path|file"):
+        failed.collect()
+    after = settle(df, "after")
+    assert after.count() == 2
