@@ -26,7 +26,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postings.llm.components import connected_components, joined_components
@@ -379,15 +379,14 @@ def _members(sets: DataFrame) -> DataFrame:
     rows = sets.select(F.explode("signatures").alias("signature"), "set_id")
     # The last bits of a signature are its class.
     part = F.pmod(F.shiftrightunsigned("signature", CLASSES.bit_length() - 1), F.lit(PASSES))
+    block = Window.partitionBy("signature")
     found = []
     for turn in range(PASSES):
-        turned = rows.where(part == turn)
-        span = turned.groupBy("signature").agg(F.min("set_id").alias("low"), F.max("set_id").alias("high"))
-        shared = settle(span.where("low != high").select("signature"), f"shared-blocks-{turn}")
-        # The rows move again; where they moved for their spans is let go first.
-        release(sets.sparkSession)
-        # Settled before the copies are taken out, so that the join of a signature with many can be split.
-        found.append(settle(turned.join(shared, "signature", "left_semi"), f"block-rows-{turn}"))
+        # The rows of a block meet once: what tells whether it has different sets is added where they are.
+        spans = rows.where(part == turn).withColumns(
+            {"low": F.min("set_id").over(block), "high": F.max("set_id").over(block)}
+        )
+        found.append(settle(spans.where("low != high").select("signature", "set_id"), f"block-rows-{turn}"))
         release(sets.sparkSession)
     members = settle(reduce(DataFrame.unionByName, found).distinct(), "block-members")
     discard(*found)

@@ -260,3 +260,24 @@ def test_tables_go_with_the_steps_that_need_them(spark, monkeypatch):
     assert set(left) <= {"sets", "components", "components-0", "components-1", "in-components", "component-ids"}
     got = Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in found.collect())
     assert got == brute_force(rows, 3, 80)
+
+
+def test_the_rows_of_a_block_move_once(spark, monkeypatch):
+    """Whatever the size of the table of blocks that sets share: no join brings the rows to it."""
+    made = [(1, [8, 16]), (1, [8, 16]), (2, [8]), (3, [8, 24]), (4, [24, 32]), (5, None), (6, [40]), (6, [40]), (7, [])]
+    sets = spark.createDataFrame(made, "set_id long, signatures array<long>")
+    plans = []
+
+    def read(df, name):
+        if name.startswith(("block-rows", "shared-blocks")):
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return settle(df, name)
+
+    settle = ngram_join.settle
+    monkeypatch.setattr(ngram_join, "settle", read)
+    found = ngram_join._members(sets)
+    assert Counter((row["signature"], row["set_id"]) for row in found.collect()) == Counter(
+        [(8, 1), (8, 2), (8, 3), (24, 3), (24, 4)]
+    )
+    assert len(plans) == ngram_join.PASSES
+    assert all(plan.count("Exchange hashpartitioning(signature") == 1 and "Join" not in plan for plan in plans)
