@@ -4,7 +4,9 @@ import json
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
+from postings.sources import arrays
 from postings.sources.arrays import read_split_array
 from postings.sources.snapshots import read_array
 from tests.ads import rows
@@ -103,3 +105,20 @@ def test_the_text_is_cut_once(spark, tmp_path):
     found = read_split_array(spark, str(tmp_path / "a.json"))
     assert "Scan text" not in found._jdf.queryExecution().executedPlan().toString()
     assert sorted(row["id"] for row in found.collect()) == ["1", "2"]
+
+
+def test_a_block_is_put_in_order_by_many_tasks(spark, tmp_path, monkeypatch):
+    """A task holds little of the text, also of a file that is one block; parts begin anywhere in a record."""
+    monkeypatch.setattr(arrays, "PART_PIECES", 4, raising=False)
+    monkeypatch.setattr(arrays, "TASK_BYTES", 1500, raising=False)
+    rng = random.Random(3)
+    file = tmp_path / "a.json"
+    file.write_text(json.dumps([record(rng, str(i)) for i in range(60)], ensure_ascii=False))
+    (tmp_path / "long.json").write_text(json.dumps([{"id": "long", "headline": "}" * 50 + '"' * 30}, {"id": "short"}, {}]))
+    pieces = arrays._pieces(spark, str(tmp_path))
+    assert pieces.rdd.getNumPartitions() >= file.stat().st_size // 1500 > 10
+    task = F.spark_partition_id().alias("task")
+    assert pieces.select("file", "block").distinct().count() == 2
+    assert pieces.where("file like '%a.json'").select(task).distinct().count() > 5
+    found = rows(read_split_array(spark, str(tmp_path)))
+    assert sorted(map(str, found)) == sorted(map(str, rows(read_array(spark, str(tmp_path)))))
